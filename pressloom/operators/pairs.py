@@ -54,6 +54,10 @@ def _set_pairs(sets: DataFrame, t: int) -> DataFrame:
     )
 
 
+def _distinct_sets(sets: DataFrame) -> DataFrame:
+    return sets.select("tokens").distinct().select(_group_key().alias("g"), "tokens")
+
+
 def _group_key(tokens: str = "tokens"):
     """128 bits of the set: equal sets, equal key."""
     joined = F.concat_ws("\u0001", tokens)
@@ -94,7 +98,7 @@ def shared_concept_pairs(bridge: DataFrame, min_shared: int, article: str = "art
     The answer itself can be large when many articles are copies of each other.
     """
     sets = concept_sets(bridge, article, concept)
-    distinct = sets.groupBy("tokens").agg(F.lit(1)).select(_group_key().alias("g"), "tokens")
+    distinct = _distinct_sets(sets)
     return _article_pairs(_set_pairs(distinct, min_shared), _members(sets, article, None), distinct, article, min_shared)
 
 
@@ -109,7 +113,7 @@ def shared_concepts(bridge: DataFrame, k: int = 20, min_shared: int = 1, article
     spark = bridge.sparkSession
     shared_dir(spark)
     sets = concept_sets(bridge, article, concept).checkpoint()
-    distinct = sets.groupBy("tokens").agg(F.lit(1)).select(_group_key().alias("g"), "tokens")
+    distinct = _distinct_sets(sets)
     members = _members(sets, article, k + 1)
     order = [F.col("shared_concepts").desc(), F.col("article_1"), F.col("article_2")]
     largest = sets.agg(F.max(F.size("tokens"))).first()[0]
@@ -224,50 +228,46 @@ def _event_chain(articles: DataFrame, article: str, max_hours: int | None) -> Da
 def _concept_chain(articles: DataFrame, bridge: DataFrame, k: int, max_hours: int, article: str,
                    concept: str) -> DataFrame:
     """Each article to the latest earlier article, at most ``max_hours`` before, of every
-    concept set that shares ``k`` concepts with its own and has the same category.
-
-    Time is cut into slots of ``max_hours``; the partner lies in the article's own slot or
-    the one before, so each group is spread over its slots. In its own slot the partner is
-    the previous row of a window; in the slot before it can only be that slot's last
-    article, which one aggregate delivers.
-    """
+    concept set that shares ``k`` concepts with its own and has the same category."""
     sets = concept_sets(bridge, article, concept).where(F.size("tokens") >= k)
     keyed = sets.select(article, _group_key().alias("g"))
-    distinct = sets.groupBy("tokens").agg(F.lit(1)).select(_group_key().alias("g"), "tokens")
+    distinct = _distinct_sets(sets)
     across = _set_pairs(distinct, k).select("g1", "g2")
-    itself = distinct.select(F.col("g").alias("g1"), F.col("g").alias("g2"))
-    # Directed: an article of set g looks for partners in set h.
-    seen = across.unionByName(across.select(F.col("g2").alias("g1"), F.col("g1").alias("g2"))).unionByName(itself)
-    seen = seen.select(F.col("g1").alias("g"), F.col("g2").alias("h"))
-    slot = F.floor(F.unix_seconds("ts") / F.lit(max_hours * 3600))
-    rows = keyed.join(articles.where("ts IS NOT NULL AND category IS NOT NULL").select(article, "category", "ts"), article)
-    rows = rows.withColumn("slot", slot)
-    seekers = rows.join(seen, "g").select("h", "category", "slot", "ts", article, F.lit(1).alias("_seek"))
-    partners = rows.select(F.col("g").alias("h"), "category", "slot", "ts", article, F.lit(0).alias("_seek"))
-    seq = F.struct("ts", article)
-    w = Window.partitionBy("h", "category", "slot").orderBy("ts", article, "_seek")
-    strictly_before = w.rowsBetween(Window.unboundedPreceding, -1)
-    offered = F.when(F.col("_seek") == 0, seq)
-    # A seeker of set h that is itself a member sorts after its own partner row, so the
-    # partner row of the same article is skipped by taking the one before it.
-    both = seekers.unionByName(partners)
-    near = both.withColumn("_p1", F.last(offered, ignorenulls=True).over(strictly_before))
-    own = F.col("_seek") == 1
-    member_before = (
-        partners.withColumn("_p0", F.lag(seq).over(Window.partitionBy("h", "category", "slot").orderBy("ts", article)))
-        .select("h", "category", "slot", F.col(article).alias("_self"), "_p0")
+    # Directed: an article of set g looks for partners in set h, its own set included.
+    seen = (
+        across.select(F.col("g1").alias("g"), F.col("g2").alias("h"))
+        .unionByName(across.select(F.col("g2").alias("g"), F.col("g1").alias("h")))
+        .unionByName(distinct.select("g", F.col("g").alias("h")))
     )
-    near = near.where(own)
-    self_hit = F.col(f"_p1.{article}") == F.col(article)
-    near = near.join(
-        member_before,
-        (near["h"] == member_before["h"]) & (near["category"] == member_before["category"])
-        & (near["slot"] == member_before["slot"]) & (F.col(article) == F.col("_self")) & self_hit,
-        "left",
-    ).select(near["h"], near["category"], near["slot"], "ts", article,
-             F.when(self_hit, F.col("_p0")).otherwise(F.col("_p1")).alias("_near"))
-    tail = partners.groupBy("h", "category", (F.col("slot") + 1).alias("slot")).agg(F.max(seq).alias("_far"))
-    found = near.join(tail, ["h", "category", "slot"], "left").withColumn("_p", F.coalesce("_near", "_far"))
+    dated = articles.where("ts IS NOT NULL AND category IS NOT NULL").select(article, "category", "ts")
+    rows = keyed.join(dated, article)
+    partners = rows.withColumnRenamed("g", "h")
+    found = _previous(rows.join(seen, "g").drop("g"), partners, ["h", "category"], article)
     return found.where(F.col("ts") <= F.col("_p.ts") + hours(max_hours)).select(
         F.col(f"_p.{article}").alias("article_1"), F.col(article).alias("article_2")
     )
+
+
+def _previous(seekers: DataFrame, partners: DataFrame, group: list[str], article: str) -> DataFrame:
+    """Seekers with ``_p``: the latest partner of the group before them in (ts, article) order.
+
+    A group is cut into hours, so that a hot one is spread over many tasks. Inside an hour
+    a window finds the partner; else it is the last partner of an earlier hour, which a
+    window over the (few) filled hours of the group delivers.
+    """
+    seq = F.struct("ts", article)
+    cols = [*group, "h_", "ts", article]
+    s = seekers.withColumn("h_", F.date_trunc("hour", "ts")).select(*cols, F.lit(1).alias("_seek"))
+    p = partners.withColumn("h_", F.date_trunc("hour", "ts")).select(*cols, F.lit(0).alias("_seek"))
+    both = s.unionByName(p)
+    offered = F.when(F.col("_seek") == 0, seq)
+    # A seeker sorts before its own row among the partners and so never finds itself.
+    inner = Window.partitionBy(*group, "h_").orderBy("ts", article, F.desc("_seek"))
+    near = both.withColumn(
+        "_near", F.last(offered, ignorenulls=True).over(inner.rowsBetween(Window.unboundedPreceding, -1))
+    ).where("_seek = 1")
+    filled = both.groupBy(*group, "h_").agg(F.max(offered).alias("_last"))
+    earlier = Window.partitionBy(*group).orderBy("h_").rowsBetween(Window.unboundedPreceding, -1)
+    far = filled.select(*group, "h_", F.last("_last", ignorenulls=True).over(earlier).alias("_far"))
+    joined = near.join(far, [*group, "h_"])
+    return joined.withColumn("_p", F.coalesce("_near", "_far")).where("_p IS NOT NULL")

@@ -148,16 +148,14 @@ def category_ancestors(categories: DataFrame, max_depth: int = 16) -> DataFrame:
     A parent that is no row of the table is still an ancestor, and ends the walk. Cycles
     end at ``max_depth``. The walk is a recursive query over the category table.
     """
-    spark = categories.sparkSession
-    view = f"categories_{id(categories)}"
-    categories.select("uri", "parent_uri").where("parent_uri IS NOT NULL").createOrReplaceTempView(view)
-    return spark.sql(f"""
+    edges = categories.select("uri", "parent_uri").where("parent_uri IS NOT NULL")
+    return categories.sparkSession.sql(f"""
         WITH RECURSIVE up(uri, ancestor_uri, depth) AS (
-            SELECT uri, parent_uri, 1 FROM {view}
+            SELECT uri, parent_uri, 1 FROM {{edges}}
             UNION ALL
             SELECT up.uri, c.parent_uri, up.depth + 1
-            FROM up JOIN {view} c ON c.uri = up.ancestor_uri
+            FROM up JOIN {{edges}} c ON c.uri = up.ancestor_uri
             WHERE up.depth < {int(max_depth)}
         )
         SELECT uri, ancestor_uri, CAST(MIN(depth) AS BIGINT) AS depth FROM up GROUP BY uri, ancestor_uri
-    """)
+    """, edges=edges)
