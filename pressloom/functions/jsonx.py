@@ -27,17 +27,18 @@ def parsed(value: Column | str) -> Column:
     return F.when(is_populated(value), F.parse_json(_c(value)))
 
 
+_TYPES = {"OBJECT": "object", "ARRAY": "array", "STRING": "string", "BOOLEAN": "boolean", "VOID": "null"}
+
+
 def json_type(value: Column) -> Column:
     """``object``, ``array``, ``string``, ``number``, ``boolean`` or ``null``."""
-    shape = F.schema_of_variant(value)
-    return (
-        F.when(shape.startswith("OBJECT"), "object")
-        .when(shape.startswith("ARRAY"), "array")
-        .when(shape == "STRING", "string")
-        .when(shape == "BOOLEAN", "boolean")
-        .when(shape == "VOID", "null")
-        .when(shape.isNotNull(), "number")
-    )
+    token = F.regexp_extract(F.schema_of_variant(value), "^[A-Z]+", 0)
+    names = F.create_map(*[F.lit(x) for pair in _TYPES.items() for x in pair])
+    return F.when(value.isNotNull(), F.coalesce(F.try_element_at(names, token), F.lit("number")))
+
+
+def is_object(value: Column) -> Column:
+    return F.startswith(F.schema_of_variant(value), F.lit("OBJECT"))
 
 
 def has_key(value: Column, key: str) -> Column:

@@ -25,7 +25,7 @@ def _clock(value: Column, strict: bool) -> Column:
     parsed = stamped.cast("timestamp") if strict else stamped.try_cast("timestamp")
     digits = F.rtrim(F.date_format(parsed, "SSSSSS"), F.lit("0"))
     whole = F.date_format(parsed, "HH:mm:ss")
-    return F.when(digits == "", whole).otherwise(F.concat_ws(".", whole, digits))
+    return F.when(digits == "", whole).when(digits != "", F.concat(whole, F.lit("."), digits))
 
 
 def _cast(name: str, kind: str, strict: bool) -> Column:

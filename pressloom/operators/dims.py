@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pressloom.functions.jsonx import filled_text_at, has_key, items, json_at, json_type, parsed
+from pressloom.functions.jsonx import filled_text_at, items, json_at, parsed
 from pressloom.functions.text import blank_to_null
 from pressloom.functions.times import instant
 from pressloom.operators.casts import valid_key
@@ -16,14 +16,12 @@ from pressloom.operators.merge import merge_dimension, replace_links
 
 
 def source_uri_of(column: str = "source") -> Column:
-    """uri of a source object, NULL for every unusable value."""
-    v = parsed(column)
-    return F.when((json_type(v) == "object") & has_key(v, "uri"), filled_text_at(v, "uri"))
+    """uri of a source object; a path into anything but an object gives NULL."""
+    return filled_text_at(parsed(column), "uri")
 
 
 def explode_sources(staged: DataFrame) -> DataFrame:
-    v = parsed("source")
-    rows = valid_key(staged, "uri").select(v.alias("_v")).where(json_type(F.col("_v")) == "object")
+    rows = valid_key(staged, "uri").select(parsed("source").alias("_v"))
     v = F.col("_v")
     return rows.select(
         filled_text_at(v, "uri").alias("uri"),

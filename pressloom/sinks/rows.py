@@ -6,8 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pressloom.contracts import ARTICLE_COLUMNS, EVENT_COLUMNS, HEADLINE_COLUMNS
-from pressloom.functions.jsonx import text_at
-from pressloom.sources.payloads import member
+from pressloom.functions.jsonx import json_at, text_at
 
 # Artifact column -> API field, where they differ by more than nothing.
 _ARTICLE_FIELDS = {
@@ -30,8 +29,13 @@ _EVENT_JSON = [
 ]
 
 
-def _json(value: Column) -> Column:
-    return F.coalesce(F.to_json(value), F.lit("null"))
+def _json(value: Column, path: str) -> Column:
+    """JSON text of a member; an absent one is the text ``null``."""
+    return F.coalesce(json_at(value, path), F.lit("null"))
+
+
+def _filled_json(value: Column, path: str) -> Column:
+    return F.nullif(json_at(value, path), F.lit("null"))
 
 
 def _run(value) -> Column:
@@ -43,12 +47,12 @@ def to_article_csv_row(articles: DataFrame, run_type, nth_run, article: str = "a
     an absent scalar is empty, authors default to ``[]``, shares to the social score."""
     v = F.col(article)
     out = {c: F.coalesce(text_at(v, _ARTICLE_FIELDS.get(c, c)), F.lit("")) for c in ARTICLE_COLUMNS}
-    out |= {c: _json(member(v, _ARTICLE_FIELDS.get(c, c))) for c in _ARTICLE_JSON}
+    out |= {c: _json(v, _ARTICLE_FIELDS.get(c, c)) for c in _ARTICLE_JSON}
     out |= {
         "run_type": _run(run_type),
         "nth_run": _run(nth_run),
-        "authors": F.coalesce(F.to_json(member(v, "authors")), F.lit("[]")),
-        "shares": _json(F.coalesce(member(v, "shares"), member(v, "socialScore"))),
+        "authors": F.coalesce(_filled_json(v, "authors"), F.lit("[]")),
+        "shares": F.coalesce(_filled_json(v, "shares"), _json(v, "socialScore")),
         "raw_article": F.to_json(v),
     }
     return articles.select(*[out[c].alias(c) for c in ARTICLE_COLUMNS])
@@ -64,13 +68,13 @@ def to_article_json_record(articles: DataFrame, run: dict, article: str = "artic
         if c in ("uri", "run_type", "nth_run"):
             continue
         if c == "authors":
-            value = F.coalesce(member(v, "authors"), F.parse_json(F.lit("[]")))
+            value = F.parse_json(F.coalesce(_filled_json(v, "authors"), F.lit("[]")))
         elif c == "shares":
-            value = F.coalesce(member(v, "shares"), member(v, "socialScore"))
+            value = F.parse_json(F.coalesce(_filled_json(v, "shares"), _json(v, "socialScore")))
         elif c == "raw_article":
             value = v
         else:
-            value = member(v, _ARTICLE_FIELDS.get(c, c))
+            value = F.try_variant_get(v, f"$.{_ARTICLE_FIELDS.get(c, c)}", "variant")
         parts.append(value.alias(c))
     return articles.select(F.to_json(F.struct(*parts), {"ignoreNullFields": "false"}).alias("record"))
 
@@ -79,7 +83,7 @@ def to_event_csv_row(events: DataFrame, run_type, nth_run, event: str = "event")
     """VARIANT events to the 19 text columns."""
     v = F.col(event)
     out = {c: F.coalesce(text_at(v, _EVENT_FIELDS.get(c, c)), F.lit("")) for c in EVENT_COLUMNS}
-    out |= {c: _json(member(v, _EVENT_FIELDS.get(c, c))) for c in _EVENT_JSON}
+    out |= {c: _json(v, _EVENT_FIELDS.get(c, c)) for c in _EVENT_JSON}
     out |= {"run_type": _run(run_type), "nth_run": _run(nth_run), "raw_event": F.to_json(v)}
     return events.select(*[out[c].alias(c) for c in EVENT_COLUMNS])
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pressloom.functions.jsonx import items, json_type, text_at
+from pressloom.functions.jsonx import is_object, items, text_at
 from pressloom.functions.text import blank_to_null
 
 # Fields an event entry may carry outside or inside its ``info`` object.
@@ -16,15 +16,9 @@ EVENT_FIELDS = [
 ]
 
 
-def member(value: Column, path: str) -> Column:
-    """Member of a JSON object; absent and JSON ``null`` are both NULL."""
-    found = F.try_variant_get(value, f"$.{path}", "variant")
-    return F.when(~F.is_variant_null(found), found)
-
-
 def _object(value: Column, path: str) -> Column:
     found = F.try_variant_get(value, f"$.{path}", "variant")
-    return F.when(json_type(found) == "object", found)
+    return F.when(is_object(found), found)
 
 
 def _list(value: Column, path: str) -> Column:
@@ -63,21 +57,35 @@ def split_get_article_response(raw: DataFrame, payload: str = "payload") -> tupl
     return articles, errors
 
 
-def normalize_keyed_event(key: Column, value: Column) -> Column:
-    """VARIANT event of one keyed entry: outer fields win over those of ``info``, other
-    ``info`` fields are kept, the uri is that of ``info`` unless empty, else the key."""
-    info = _object(value, "info")
-    inner_uri = F.when(json_type(F.try_variant_get(info, "$.uri", "variant")) == "string",
-                       blank_to_null(text_at(info, "uri")))
-    null_value = F.parse_json(F.lit("null"))
-    merged = {name: F.coalesce(member(value, name), member(info, name), null_value) for name in EVENT_FIELDS}
-    own = F.create_map(*[x for name, col in merged.items() for x in (F.lit(name), col)])
-    uri = F.create_map(F.lit("uri"), F.coalesce(inner_uri, key).cast("variant"))
-    extras = F.map_filter(
-        F.coalesce(_entries(info), F.create_map().cast("map<string,variant>")),
-        lambda k, _: ~k.isin("uri", *EVENT_FIELDS),
+def normalize_keyed_event(entries: DataFrame, key: str = "key", value: str = "value",
+                          out: str = "event") -> DataFrame:
+    """VARIANT event of each keyed entry: outer fields win over those of ``info``, other
+    ``info`` fields are kept, the uri is that of ``info`` unless empty, else the key.
+    JSON ``null`` counts as absent; a field found nowhere is JSON ``null``."""
+    keep = [c for c in entries.columns if c not in (key, value)]
+    empty = F.create_map().cast("map<string,variant>")
+    # The maps are columns of their own, so each JSON value is taken apart once.
+    opened = entries.select(
+        *keep, key, _entries(F.col(value)).alias("_outer"),
+        F.coalesce(_entries(F.try_variant_get(value, "$.info", "variant")), empty).alias("_info"),
+    )
+    uri = F.try_element_at("_info", F.lit("uri"))
+    inner_uri = F.when(F.schema_of_variant(uri) == "STRING", blank_to_null(F.try_variant_get(uri, "$", "string")))
+    names = F.array(*[F.lit(f) for f in EVENT_FIELDS])
+
+    def present(fields: str) -> Column:
+        return F.map_filter(fields, lambda k, v: F.array_contains(names, k) & ~F.is_variant_null(v))
+
+    opened = opened.select(
+        "*", present("_outer").alias("_o"), present("_info").alias("_i"),
+        F.coalesce(inner_uri, F.col(key)).cast("variant").alias("_uri"),
     )
-    return F.to_variant_object(F.map_concat(extras, own, uri))
+    own = F.map_from_entries(F.transform(names, lambda f: F.struct(
+        f, F.coalesce(F.try_element_at("_o", f), F.try_element_at("_i", f), F.parse_json(F.lit("null")))
+    )))
+    extras = F.map_filter("_info", lambda k, _: ~F.array_contains(names, k) & (k != "uri"))
+    whole = F.map_concat(extras, own, F.create_map(F.lit("uri"), F.col("_uri")))
+    return opened.select(*keep, F.to_variant_object(whole).alias(out))
 
 
 def flatten_event_payload(raw: DataFrame, payload: str = "payload") -> DataFrame:
@@ -91,16 +99,15 @@ def flatten_event_payload(raw: DataFrame, payload: str = "payload") -> DataFrame
         _list(v, "events.results"),
         _list(v, "results"),
     )
-    keyed = F.map_entries(F.map_filter(_entries(v), lambda k, e: k.contains("-") & json_type(e).isin("object", "array")))
     keep = [c for c in raw.columns if c != payload]
     parsed = _parse(raw, payload).withColumn("_listed", listed)
     plain = parsed.where(F.col("_listed").isNotNull()).select(*keep, F.explode("_listed").alias("event"))
-    by_key = (
+    entries = (
         parsed.where(F.col("_listed").isNull())
-        .select(*keep, F.explode(keyed).alias("_e"))
-        .select(*keep, normalize_keyed_event(F.col("_e.key"), F.col("_e.value")).alias("event"))
+        .select(*keep, F.explode(_entries(v)).alias("key", "value"))
+        .where(F.col("key").contains("-") & F.schema_of_variant("value").rlike("^(OBJECT|ARRAY)"))
     )
-    return plain.unionByName(by_key)
+    return plain.unionByName(normalize_keyed_event(entries))
 
 
 def read_uri_list(values: DataFrame, column: str = "uris") -> DataFrame:
