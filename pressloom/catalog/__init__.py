@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["intake"]
+MODULES = ["intake", "merging"]
 
 
 def load_all() -> None:

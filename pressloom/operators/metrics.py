@@ -149,9 +149,9 @@ def candidate_articles(articles: DataFrame, run: dict | None = None, time_column
 def stage_durations(metrics: DataFrame) -> DataFrame:
     """Elapsed seconds per run and stage."""
     start, end = F.min("stage_started_at"), F.max("stage_completed_at")
-    seconds = F.unix_millis(end) - F.unix_millis(start)
+    seconds = F.unix_micros(end) - F.unix_micros(start)
     return metrics.groupBy(*RUN_KEY, "stage").agg(
-        start.alias("started_at"), end.alias("completed_at"), (seconds / 1000.0).alias("seconds")
+        start.alias("started_at"), end.alias("completed_at"), (seconds / F.lit(1e6)).alias("seconds")
     )
 
 
