@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["intake", "merging"]
+MODULES = ["intake", "merging", "analysis"]
 
 
 def load_all() -> None:

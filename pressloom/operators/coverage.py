@@ -36,7 +36,7 @@ def articles_for_concept(articles: DataFrame, links: DataFrame, concepts: DataFr
     if uri is not None:
         hit = links.where(F.col("concept_uri") == uri)
     else:
-        named = concepts.where(label_at(F.parse_json("label")) == label).select(F.col("uri").alias("concept_uri"))
+        named = concepts.where(text_at(F.parse_json("label"), "eng") == label).select(F.col("uri").alias("concept_uri"))
         hit = links.join(named, "concept_uri", "left_semi")
     return articles.join(hit.select(F.col("article_uri").alias("uri")).distinct(), "uri", "left_semi")
 
