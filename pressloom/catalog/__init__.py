@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["intake", "merging", "analysis"]
+MODULES = ["intake", "merging", "analysis", "streams"]
 
 
 def load_all() -> None:

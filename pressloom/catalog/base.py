@@ -47,6 +47,13 @@ class Tables:
         naive = [c for c, t in df.dtypes if t == "timestamp_ntz"]
         return df.withColumns({c: F.col(c).cast("timestamp") for c in naive}) if naive else df
 
+    def stream(self, name: str) -> DataFrame:
+        """The input table as a file stream."""
+        schema = self.spark.read.parquet(f"{self.folder}/{name}.parquet").schema
+        df = self.spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(self.folder)
+        naive = [c for c, t in df.dtypes if t == "timestamp_ntz"]
+        return df.withColumns({c: F.col(c).cast("timestamp") for c in naive}) if naive else df
+
     def fx(self, name: str) -> DataFrame:
         """A projection; its SQL text is the one the oracle uses."""
         text = PROJECTIONS[name]
