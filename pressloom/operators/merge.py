@@ -57,17 +57,23 @@ def _join_on(key: list[str]) -> Column:
 
 def merge_rows(target: DataFrame, incoming: DataFrame, key: list[str], matched: dict[str, Column],
                inserted: dict[str, Column], action: Column) -> DataFrame:
-    """Generic merge. ``matched`` gives new values of target columns (``t.x``, ``s.x``) for
-    rows with a partner, ``inserted`` values of new rows; other columns stay, or are taken
-    from the incoming row of the same name, or are NULL."""
+    """Generic merge. ``matched`` gives new values of target columns for rows with a
+    partner, ``inserted`` values of new rows; other columns stay, or are taken from the
+    incoming row of the same name, or are NULL.
+
+    Expressions see the old row as ``t``, the incoming one as ``s`` and the row's action as
+    ``_action``, which is a column of its own so that it is computed once per row.
+    """
     hit = F.col("s._hit").isNotNull()
     joined = target.alias("t").join(incoming.withColumn("_hit", F.lit(True)).alias("s"), _join_on(key), "left")
-    stay = joined.select(
+    decided = joined.withColumn("_action", F.when(hit, action).otherwise(F.lit(KEPT)))
+    partner = F.col("_action") != KEPT
+    stay = decided.select(
         *[
-            (F.when(hit, matched[c]).otherwise(F.col(f"t.{c}")) if c in matched else F.col(f"t.{c}")).alias(c)
+            (F.when(partner, matched[c]).otherwise(F.col(f"t.{c}")) if c in matched else F.col(f"t.{c}")).alias(c)
             for c in target.columns
         ],
-        F.when(hit, action).otherwise(F.lit(KEPT)).alias("_action"),
+        "_action",
     )
     known = target.select(*key).join(incoming.select(*key), key, "left_semi")
     fresh = incoming.join(known, key, "left_anti")
@@ -98,13 +104,13 @@ def merge_changed(target: DataFrame, staged: DataFrame, key: list[str], tracked:
         staged = require_unique(staged, key)
     else:
         raise ValueError(f"unknown on_duplicate {on_duplicate}")
-    differs = changed(tracked)
+    differs = F.col("_action") == UPDATED
     matched = {c: F.when(differs, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")) for c in tracked}
     for c, v in (on_change or {}).items():
         matched[c] = F.when(differs, v).otherwise(F.col(f"t.{c}"))
     for c, v in (touch_unchanged or {}).items():
         matched[c] = v
-    action = F.when(differs, F.lit(UPDATED)).otherwise(F.lit(UNCHANGED))
+    action = F.when(changed(tracked), F.lit(UPDATED)).otherwise(F.lit(UNCHANGED))
     return merge_rows(target, staged, key, matched, on_insert or {}, action)
 
 

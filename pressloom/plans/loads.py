@@ -64,7 +64,7 @@ def load_articles(store: TableStore, run_dir: str, manifest: dict, as_of, on_dup
         merged = merge.upsert_articles(store.read("articles", keys), typed, as_of, on_duplicate=on_duplicate)
         synced = dims.sync_source_uri(merged, staged, as_of)
         synced = synced.persist(StorageLevel.MEMORY_AND_DISK)
-        counts = merge.merge_counts(merged)
+        counts = merge.merge_counts(synced)
         concept_links, category_links = dims.concept_links(staged), dims.category_links(staged)
 
         def dimension(name: str, best: DataFrame) -> DataFrame:
@@ -81,7 +81,9 @@ def load_articles(store: TableStore, run_dir: str, manifest: dict, as_of, on_dup
         log = runs.mark_loaded(log, _log_row(
             spark, run, as_of, **{k: summary[k] for k in ("rows_loaded", "db_rows_inserted", "db_rows_updated")}))
         store.publish({
-            "articles": synced.drop("_action"),
+            "articles": synced.where(
+                F.col("_action").isin(merge.INSERTED, merge.UPDATED) | (F.col("updated_at") == instant(as_of))
+            ).drop("_action"),
             "sources": dimension("sources", dims.best_sources(staged)),
             "concepts": dimension("concepts", dims.best_concepts(staged)),
             "categories": dimension("categories", dims.best_categories(staged)),

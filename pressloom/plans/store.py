@@ -41,8 +41,11 @@ class TableStore:
         if not numbers:
             return 0, {}
         newest = max(numbers)
-        text = self.spark.read.text(f"{self.root}/{_POINTERS}/{newest:09d}.json", wholetext=True).first()[0]
-        return newest, json.loads(text)
+        stream = fs.open(jvm.org.apache.hadoop.fs.Path(folder, f"{newest:09d}.json"))
+        try:
+            return newest, json.loads(jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
 
     def publish(self, changes: dict[str, DataFrame], replace: bool = False) -> dict[str, str]:
         """Write each table's changed rows, then make all of them visible at once."""
