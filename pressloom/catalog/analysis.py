@@ -66,12 +66,13 @@ def top_entities_by_label(t: Tables) -> DataFrame:
     return coverage.top_entities_by_label(t.fx("articles"))
 
 
-@query("stop_concepts", with_fx("supply_links") + """
-SELECT category_uri AS concept_uri, count(*) AS article_count, round(count(*) / (SELECT count(DISTINCT article_uri) FROM fx_supply_links), 6) AS share
-FROM fx_supply_links GROUP BY ALL HAVING count(*) / (SELECT count(DISTINCT article_uri) FROM fx_supply_links) > 0.0401""")
+@query("stop_concepts", dims_cte(_CAT) + """,
+links AS (SELECT DISTINCT article_uri, uri AS concept_uri FROM cat)
+SELECT concept_uri, count(*) AS article_count, round(count(*) / (SELECT count(DISTINCT article_uri) FROM links), 6) AS share
+FROM links GROUP BY ALL HAVING count(*) / (SELECT count(DISTINCT article_uri) FROM links) > 0.1""")
 def stop_concepts(t: Tables) -> DataFrame:
-    links = t.fx("supply_links").withColumnRenamed("category_uri", "concept_uri")
-    return pairs.stop_concepts(links, 0.0401).withColumn("share", F.round("share", 6))
+    links = dims.category_links(t.fx("articles")).withColumnRenamed("category_uri", "concept_uri")
+    return pairs.stop_concepts(links, 0.1).withColumn("share", F.round("share", 6))
 
 
 # --- lookups ----------------------------------------------------------------------------

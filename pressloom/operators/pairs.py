@@ -1,73 +1,80 @@
 """Article pairs by shared concepts, without emitting all pairs of a concept.
 
-Three exact reductions keep the work away from ``sum(n_concept ** 2)``:
+Exact reductions keep the work away from ``sum(n_concept ** 2)``:
 
 * Articles with the same concept set are one *set*; a third of all rows being copies of
   one article is one entry in the comparison.
-* Two sets that share at least ``t`` concepts share one of the first ``size - t + 1``
-  when concepts are ordered rarest first. Only that prefix is joined on, so a concept
-  that nearly all articles have is compared only by sets made of such concepts.
-* For a top-k answer, ``t`` starts at the largest set and comes down until k pairs are
-  found; a set needs only its k + 1 smallest articles, since by the tie order no later
-  article can be in the answer.
+* Order concepts rarest first. The first two concepts that two sets have in common, if
+  they share at least ``t``, both lie in the first ``size - t + 2`` concepts of each. Sets
+  are joined on the hash of such two-concept combinations, so a concept that nearly all
+  articles have joins nothing by itself. Candidates are then verified on the full sets.
+* For a top-k answer, the smallest ``t`` whose joins are cheap (they are counted first) is
+  tried, and ``t`` comes down only while fewer than k pairs are found. A set needs only its
+  k + 1 smallest articles, since by the tie order no later article can be in the answer.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pressloom.functions.times import hours
 from pressloom.operators.joins import lookup
-from pressloom.session import shared_dir
+from pressloom.session import materialize
 
 
 def concept_sets(bridge: DataFrame, article: str = "article_uri", concept: str = "concept_uri") -> DataFrame:
-    """(article, tokens): the article's distinct concepts, rarest first.
+    """(article, tokens, g): the article's distinct concepts, rarest first, and the set's key.
 
     The array of one article is the article's own concept list. The frequency lookup is
-    salted, as one concept may be in a third of all links.
+    salted, as one concept may be in a third of all links. Equal sets have equal keys: the
+    key is 128 bits of the whole set.
     """
-    links = bridge.select(article, concept).where(f"{concept} IS NOT NULL").distinct()
+    links = bridge.select(article, concept).where(f"{concept} IS NOT NULL")
     freq = links.groupBy(concept).agg(F.count("*").alias("_f"))
     ranked = lookup(links, freq, concept, [article], "inner")
-    return ranked.groupBy(article).agg(
-        F.transform(F.sort_array(F.collect_list(F.struct("_f", concept))), lambda x: x[concept]).alias("tokens")
+    listed = ranked.groupBy(article).agg(
+        F.array_distinct(F.transform(F.sort_array(F.collect_list(F.struct("_f", concept))), lambda x: x[concept]))
+        .alias("tokens")
     )
+    return listed.withColumn("g", F.unhex(F.md5(F.concat_ws("\u0001", "tokens"))))
 
 
-def _set_pairs(sets: DataFrame, t: int) -> DataFrame:
-    """(g1, g2, shared) of distinct sets that share at least ``t`` concepts, each once.
-
-    A pair is emitted at its first shared concept only, which lies in both prefixes.
-    """
-    big = sets.where(F.size("tokens") >= t)
-    prefix = F.slice(F.col("tokens"), F.lit(1), F.size("tokens") - F.lit(t - 1))
-    posted = big.select("g", "tokens", F.explode(prefix).alias("token"))
-    a, b = posted.alias("a"), posted.alias("b")
-    common = F.array_intersect(F.col("a.tokens"), F.col("b.tokens"))
-    joined = a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.g") < F.col("b.g")))
-    return joined.select(
-        F.col("a.g").alias("g1"), F.col("b.g").alias("g2"), F.col("a.token").alias("token"), common.alias("common")
-    ).where((F.size("common") >= t) & (F.col("common")[0] == F.col("token"))).select(
-        "g1", "g2", F.size("common").alias("shared")
-    )
+def _distinct_sets(sets: DataFrame) -> DataFrame:
+    return sets.groupBy("g").agg(F.first("tokens").alias("tokens"))
 
 
-def _distinct_sets(sets: DataFrame) -> DataFrame:
-    return sets.select("tokens").distinct().select(_group_key().alias("g"), "tokens")
+def _signatures(t: int) -> Column:
+    """Join keys of a set: hashes of the two-concept combinations of its prefix, or of
+    single concepts when one shared concept is enough."""
+    tokens = F.col("tokens")
+    if t < 2:
+        return F.transform(tokens, lambda x: F.xxhash64(x))
+    prefix = F.slice(tokens, F.lit(1), F.size(tokens) - F.lit(t - 2))
+    return F.flatten(F.transform(
+        prefix, lambda x, i: F.transform(F.slice(prefix, i + F.lit(2), F.size(prefix)), lambda y: F.xxhash64(x, y))
+    ))
 
 
-def _group_key(tokens: str = "tokens"):
-    """128 bits of the set: equal sets, equal key."""
-    joined = F.concat_ws("\u0001", tokens)
-    return F.md5(joined)
+def _set_pairs(sets: DataFrame, t: int) -> DataFrame:
+    """(g1, g2, shared) of distinct sets that share at least ``t`` concepts, each once."""
+    big = sets.where(F.size("tokens") >= t)
+    posted = big.select("g", F.explode(_signatures(t)).alias("key"))
+    a, b = posted.alias("a"), posted.alias("b")
+    candidates = (
+        a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.g") < F.col("b.g")))
+        .select(F.col("a.g").alias("g1"), F.col("b.g").alias("g2")).distinct()
+    )
+    one = big.select(F.col("g").alias("g1"), F.col("tokens").alias("_t1"))
+    two = big.select(F.col("g").alias("g2"), F.col("tokens").alias("_t2"))
+    shared = F.size(F.array_intersect("_t1", "_t2")).alias("shared")
+    return candidates.join(one, "g1").join(two, "g2").select("g1", "g2", shared).where(F.col("shared") >= t)
 
 
 def _members(sets: DataFrame, article: str, keep: int | None) -> DataFrame:
     """(g, article): the articles of each set, all or the ``keep`` smallest. The limit is
     pushed below the shuffle, so a set of copies sends ``keep`` rows per task."""
-    rows = sets.select(_group_key().alias("g"), article)
+    rows = sets.select("g", article)
     if keep is None:
         return rows
     w = Window.partitionBy("g").orderBy(article)
@@ -106,34 +113,48 @@ def shared_concepts(bridge: DataFrame, k: int = 20, min_shared: int = 1, article
                     concept: str = "concept_uri") -> DataFrame:
     """The ``k`` pairs that share most concepts; ties by (article_1, article_2).
 
-    Each step lowers the required overlap ``t``; a step that yields k pairs holds the whole
-    answer, because every pair with at least ``t`` shared concepts was seen. Below two, the
-    rest of the answer comes from the smallest articles of each concept.
+    A step with required overlap ``t`` that yields k pairs holds the whole answer, because
+    every pair with at least ``t`` shared concepts was seen. Below two, the rest of the
+    answer comes from the smallest articles of each concept.
     """
-    spark = bridge.sparkSession
-    shared_dir(spark)
-    sets = concept_sets(bridge, article, concept).checkpoint()
+    sets = materialize(concept_sets(bridge, article, concept), "concept-sets")
     distinct = _distinct_sets(sets)
     members = _members(sets, article, k + 1)
     order = [F.col("shared_concepts").desc(), F.col("article_1"), F.col("article_2")]
+    top = _empty_pairs(sets, article)
     largest = sets.agg(F.max(F.size("tokens"))).first()[0]
     if not largest or largest < min_shared:
-        return _empty_pairs(sets, article)
-    t, floor = largest, max(min_shared, 2)
-    top = _empty_pairs(sets, article)
+        return top
+    floor = max(min_shared, 2)
+    t = _cheapest_step(distinct, floor, largest)
     while t >= floor:
         found = _article_pairs(_set_pairs(distinct, t), members, distinct, article, t)
-        top = found.orderBy(*order).limit(k).checkpoint()
-        if top.count() == k:
-            return top
-        if t == floor:
+        top = materialize(found.orderBy(*order).limit(k), "top-pairs")
+        if t == floor or top.count() == k:
             break
-        t = max(floor, min(t - 1, int(t * 0.75)))
-    if min_shared > 1:
+        t -= 1
+    if min_shared > 1 or top.count() == k:
         return top
     return top.unionByName(_single_concept_pairs(sets, top, k, article)).orderBy(*order).limit(k)
 
 
+def _cheapest_step(distinct: DataFrame, floor: int, largest: int, budget: float = 64.0) -> int:
+    """Smallest required overlap whose candidates are at most ``budget`` per join row.
+
+    One count per tried value, combined on the map side. A value that is too costly is
+    only skipped here, not given up: the search comes back to it when it must.
+    """
+    t = floor
+    while t < largest:
+        keys = distinct.where(F.size("tokens") >= t).select(F.explode(_signatures(t)).alias("key"))
+        n = F.col("n").cast("double")
+        rows, candidates = keys.groupBy("key").agg(F.count("*").alias("n")).agg(F.sum(n), F.sum(n * (n - 1) / 2)).first()
+        if not rows or candidates <= budget * rows:
+            break
+        t = min(largest, max(t + 1, int(t * 1.5)))
+    return t
+
+
 def _empty_pairs(sets: DataFrame, article: str) -> DataFrame:
     return sets.where(F.lit(False)).select(
         F.col(article).alias("article_1"), F.col(article).alias("article_2"),
@@ -230,7 +251,7 @@ def _concept_chain(articles: DataFrame, bridge: DataFrame, k: int, max_hours: in
     """Each article to the latest earlier article, at most ``max_hours`` before, of every
     concept set that shares ``k`` concepts with its own and has the same category."""
     sets = concept_sets(bridge, article, concept).where(F.size("tokens") >= k)
-    keyed = sets.select(article, _group_key().alias("g"))
+    keyed = sets.select(article, "g")
     distinct = _distinct_sets(sets)
     across = _set_pairs(distinct, k).select("g1", "g2")
     # Directed: an article of set g looks for partners in set h, its own set included.

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pressloom.session import shared_dir
+from pressloom.session import materialize
 
 
 def number_rows(df: DataFrame, by: list[str], order: list[Column], out: str = "rn") -> DataFrame:
@@ -20,17 +20,12 @@ def number_rows(df: DataFrame, by: list[str], order: list[Column], out: str = "r
     continues at most one group, so the offset table has fewer rows than there are
     partitions and is safe to broadcast. ``order`` must end in a unique column.
 
-    The range borders come from a sample, so the partitioned rows are checkpointed before
-    they are read twice.
+    The range borders come from a sample, so the partitioned rows are written before they
+    are read twice.
     """
-    spark = df.sparkSession
-    shared_dir(spark)
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    placed = (
-        df.repartitionByRange(parts, *[F.col(c).asc_nulls_first() for c in by], *order)
-        .withColumn("_pid", F.spark_partition_id())
-        .checkpoint()
-    )
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(parts, *[F.col(c).asc_nulls_first() for c in by], *order)
+    placed = materialize(ranged.withColumn("_pid", F.spark_partition_id()), "ranged")
     local = Window.partitionBy("_pid", *by).orderBy(*order)
     numbered = placed.withColumn("_local", F.row_number().over(local))
     runs = placed.groupBy("_pid", *by).agg(F.count("*").alias("_n"))
