@@ -137,7 +137,8 @@ HEADLINES = Contract(
     ("ingestion_source", "run_id", "collected_at", "window_from", "window_to"),
 )
 
-MANIFEST_SCHEMA = T.StructType.fromDDL(
+# DDL texts: readers parse them once there is a session.
+MANIFEST_SCHEMA = (
     "artifact_contract_version string, ingestion_source string, canonical_tz string, "
     "collector_mode string, cycle_hours int, run_id string, run_type string, nth_run int, "
     "window_from string, window_to string, collected_at string, source_uris array<string>, "
@@ -147,7 +148,7 @@ MANIFEST_SCHEMA = T.StructType.fromDDL(
     "schedule_recommendation struct<service:string,timezone:string,time:string,note:string>, "
     "csv_file string"
 )
-EVENT_MANIFEST_SCHEMA = T.StructType.fromDDL(
+EVENT_MANIFEST_SCHEMA = (
     "artifact_contract_version string, ingestion_source string, run_id string, run_type string, "
     "nth_run int, collected_at string, parent_run_id string, parent_run_type string, "
     "parent_nth_run int, parent_ingestion_source string, parent_load_report_path string, "
@@ -157,7 +158,7 @@ EVENT_MANIFEST_SCHEMA = T.StructType.fromDDL(
     "candidate_articles_scanned bigint, distinct_event_uris_discovered bigint, "
     "distinct_event_uris_selected bigint, events_fetched bigint, csv_file string"
 )
-REPORT_SCHEMA = T.StructType.fromDDL(
+REPORT_SCHEMA = (
     "artifact_contract_version string, ingestion_source string, run_id string, run_type string, "
     "nth_run int, artifacts_dir string, rows_in_artifact bigint, rows_attempted bigint, "
     "rows_loaded bigint, db_rows_inserted bigint, db_rows_updated bigint, "

@@ -4,19 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from pressloom.contracts import RUN_KEY, SEED_RUN_ID
 from pressloom.functions.text import error_text
 from pressloom.operators.merge import backfill_defaults
 from pressloom.operators.ranking import number_rows
 
-LOG_SCHEMA = T.StructType.fromDDL(
-    "run_id timestamp, ingestion_source string, run_type string, nth_run int, kind string, "
-    "at timestamp, window_from timestamp, window_to timestamp, articles_fetched bigint, "
-    "articles_deduped bigint, rows_loaded bigint, db_rows_inserted bigint, "
-    "db_rows_updated bigint, error_code string, error_message string"
-)
+LOG_COLUMNS = {
+    "run_id": "timestamp", "ingestion_source": "string", "run_type": "string", "nth_run": "int", "kind": "string",
+    "at": "timestamp", "window_from": "timestamp", "window_to": "timestamp", "articles_fetched": "bigint",
+    "articles_deduped": "bigint", "rows_loaded": "bigint", "db_rows_inserted": "bigint", "db_rows_updated": "bigint",
+    "error_code": "string", "error_message": "string",
+}
+LOG_SCHEMA = ", ".join(f"{name} {kind}" for name, kind in LOG_COLUMNS.items())
 
 # Event kind -> status it sets. ``load_started`` sets none.
 _STATUS = {
@@ -29,9 +29,8 @@ def log_rows(rows: DataFrame, kind: str, fields: list[str]) -> DataFrame:
     """Rows of (run key, at, fields...) as log events of one kind."""
     given = set(RUN_KEY) | {"at"} | set(fields)
     return rows.select(*[
-        (F.lit(kind) if f.name == "kind" else F.col(f.name) if f.name in given else F.lit(None))
-        .cast(f.dataType).alias(f.name)
-        for f in LOG_SCHEMA.fields
+        (F.lit(kind) if name == "kind" else F.col(name) if name in given else F.lit(None)).cast(type_).alias(name)
+        for name, type_ in LOG_COLUMNS.items()
     ])
 
 

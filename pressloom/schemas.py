@@ -33,7 +33,7 @@ TABLES = {
     "run_metrics": f"{_RUN}, stage string, metric_name string, metric_value bigint, "
     "stage_started_at timestamp, stage_completed_at timestamp, created_at timestamp",
     "event_requests": f"{_RUN}, event_uri string",
-    "run_log": ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in LOG_SCHEMA.fields),
+    "run_log": LOG_SCHEMA,
 }
 
 # Row identity: the newest row per key is current. Bridges are current per article.
