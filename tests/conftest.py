@@ -15,7 +15,7 @@ DATA = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 def spark():
     shared = tempfile.mkdtemp(prefix="run-", dir="/tmp")
     session = build_session("tests", "local[8]", **{
-        "spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g", "spark.checkpoint.dir": "file:" + shared,
+        "spark.sql.shuffle.partitions": "4", "spark.driver.memory": "8g", "spark.checkpoint.dir": "file:" + shared,
         "spark.ui.showConsoleProgress": "false",
     })
     session.sparkContext.setLogLevel("ERROR")
