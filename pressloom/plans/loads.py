@@ -15,6 +15,9 @@ from pressloom.sinks.artifacts import write_row_json
 from pressloom.sources.files import scan_csv
 
 
+METRIC_COLUMNS = [*C.METRIC_KEY, "metric_value", "stage_started_at", "stage_completed_at", "created_at"]
+
+
 def run_of(manifest: dict) -> dict:
     return {k: manifest[k] for k in (*C.RUN_KEY, "collected_at")}
 
@@ -31,6 +34,11 @@ def _empty_log(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], runs.LOG_SCHEMA)
 
 
+def _small(df: DataFrame) -> DataFrame:
+    """A summary of a fixed, small number of rows, computed once and kept as a local table."""
+    return df.sparkSession.createDataFrame(df.collect(), df.schema)
+
+
 def _loaded(store: TableStore, run: dict) -> bool:
     """One run key is looked up: at most one row."""
     log = casts.by_run(store.read("run_log"), {**run, "run_id": instant(run["run_id"])})
@@ -64,7 +72,7 @@ def load_articles(store: TableStore, run_dir: str, manifest: dict, as_of, on_dup
         merged = merge.upsert_articles(store.read("articles", keys), typed, as_of, on_duplicate=on_duplicate)
         synced = dims.sync_source_uri(merged, staged, as_of)
         synced = synced.persist(StorageLevel.MEMORY_AND_DISK)
-        counts = merge.merge_counts(synced)
+        counts = _small(merge.merge_counts(synced))
         concept_links, category_links = dims.concept_links(staged), dims.category_links(staged)
 
         def dimension(name: str, best: DataFrame) -> DataFrame:
@@ -72,7 +80,7 @@ def load_articles(store: TableStore, run_dir: str, manifest: dict, as_of, on_dup
             return merge.merge_dimension(old, best, as_of=as_of).drop("_action")
 
         scope = casts.by_run(synced, {**run, "run_id": instant(run["run_id"])})
-        measured = metrics.article_load_metrics(scope, concept_links, category_links)
+        measured = _small(metrics.article_load_metrics(scope, concept_links, category_links))
         stamped = metrics.stamp_metrics(measured, "article_load", as_of, as_of, run)
         stamped = stamped.withColumn("created_at", instant(as_of))
         summary = counts.first().asDict()
@@ -89,7 +97,7 @@ def load_articles(store: TableStore, run_dir: str, manifest: dict, as_of, on_dup
             "categories": dimension("categories", dims.best_categories(staged)),
             "article_concepts": _bridge_delta(staged, concept_links, "concept_uri"),
             "article_categories": _bridge_delta(staged, category_links, "category_uri"),
-            "run_metrics": stamped.select(*[f.name for f in store.read("run_metrics").schema.fields]),
+            "run_metrics": stamped.select(*METRIC_COLUMNS),
             "run_log": log,
         })
         report = metrics.load_report(
@@ -124,13 +132,13 @@ def load_events(store: TableStore, run_dir: str, manifest: dict, as_of, touch_un
         typed = casts.cast_events(staged)
         merged = merge.upsert_events(store.read("events", typed), typed, as_of, touch_unchanged)
         merged = merged.persist(StorageLevel.MEMORY_AND_DISK)
-        counts = merge.merge_counts(merged)
+        counts = _small(merge.merge_counts(merged))
         measured = metrics.event_load_metrics(counts)
         stamped = metrics.stamp_metrics(measured, "event_load", as_of, as_of, run).withColumn("created_at", instant(as_of))
         changes = merged if touch_unchanged else _changes(merged)
         store.publish({
             "events": changes.drop("_action"),
-            "run_metrics": stamped.select(*[f.name for f in store.read("run_metrics").schema.fields]),
+            "run_metrics": stamped.select(*METRIC_COLUMNS),
         })
         renamed = counts.withColumnsRenamed({"db_rows_inserted": "events_inserted", "db_rows_updated": "events_updated"})
         report = metrics.load_report(
@@ -173,6 +181,6 @@ def collect_events(store: TableStore, parent: dict, as_of, **flags) -> DataFrame
     keyed = wanted.select(*[(instant(parent[k]) if k == "run_id" else F.lit(parent[k])).alias(k) for k in C.RUN_KEY], "event_uri")
     store.publish({
         "event_requests": keyed,
-        "run_metrics": stamped.select(*[f.name for f in store.read("run_metrics").schema.fields]),
+        "run_metrics": stamped.select(*METRIC_COLUMNS),
     })
     return keyed

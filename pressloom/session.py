@@ -23,6 +23,8 @@ SPEED_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # Call sites are recorded per column expression; plans here have thousands.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
