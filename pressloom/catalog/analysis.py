@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pressloom.catalog.base import Tables, query, sql_items, sql_ts, ts_text, with_fx
 from pressloom.catalog.merging import _CAT, _CON, dims_cte
 from pressloom.functions.vectors import cosine
-from pressloom.operators import casts, coverage, dims, pairs, topics
+from pressloom.operators import coverage, dims, pairs, topics
 from pressloom.operators.joins import lookup
 
 _TITLE = "CASE WHEN source NOT IN ('', 'null') THEN source->>'title' END"
@@ -207,15 +207,16 @@ WITH m AS (SELECT label, i, avg(CAST(embedding[i] AS DOUBLE)) AS x FROM embeddin
 cen AS (SELECT label AS topic_id, list(x ORDER BY i) AS centroid FROM m GROUP BY label),
 scored AS (SELECT vec_id AS story_id, topic_id, 0.5 * list_cosine_similarity(CAST(embedding AS DOUBLE[]), centroid) + 0.3 * ((vec_id % 4) / 4)
   + CASE WHEN label = topic_id THEN 0.1 ELSE 0 END + 0.1 * greatest(0, 1 - abs(topic_id - vec_id % 10) * 12 / 72) AS score
-  FROM embeddings JOIN cen ON label % 3 = topic_id % 3)
+  FROM embeddings JOIN cen ON topic_id IN (label, (label + 1) % 10, (label + 4) % 10))
 SELECT story_id, arg_min(topic_id, (-score, topic_id)) AS topic_id, round(max(score), 5) AS composite_score,
   CASE WHEN max(score) >= 0.6 THEN 'assigned_existing' ELSE 'created_new' END AS action FROM scored GROUP BY story_id""")
 def score_topic_assignment(t: Tables) -> DataFrame:
-    """Candidates are the topics of the story's block (its label modulo 3), not all topics."""
+    """Each story has three candidate topics."""
     e = t.raw("embeddings")
-    centroids = topics.topic_centroids(e.withColumnRenamed("label", "topic_id"), 64).withColumn("block", F.col("topic_id") % 3)
+    centroids = topics.topic_centroids(e.withColumnRenamed("label", "topic_id"), 64)
+    offered = F.array(*[((F.col("label") + i) % 10) for i in (0, 1, 4)])
     near = F.abs(F.col("topic_id") - F.col("vec_id") % 10) * 12.0
-    candidates = e.withColumn("block", F.col("label") % 3).join(centroids, "block").select(
+    candidates = lookup(e.withColumn("topic_id", F.explode(offered)), centroids, "topic_id", ["vec_id"], "inner").select(
         F.col("vec_id").alias("story_id"), "topic_id", cosine("embedding", "centroid").alias("embedding_similarity"),
         (F.col("vec_id") % 4 / 4).alias("concept_overlap_score"), (F.col("label") == F.col("topic_id")).alias("category_match"),
         near.alias("temporal_distance_hours"))

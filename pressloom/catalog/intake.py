@@ -346,17 +346,13 @@ def set_difference(t: Tables) -> DataFrame:
 
 
 @query("missing_uri_report", """
-WITH asked AS (SELECT lang, d.doc_id, l.doc_id IS NULL AS lost FROM documents d LEFT JOIN labels l USING (doc_id))
-SELECT lang, count(*) AS requested_article_uri_count, count(*) FILTER (WHERE lost) AS missing_article_uri_count,
-  coalesce(string_agg('doc-' || doc_id, '|' ORDER BY doc_id) FILTER (WHERE lost), '') AS missing
-FROM asked GROUP BY lang""")
+WITH asked AS (SELECT d.doc_id, d.source, l.doc_id IS NULL AS lost FROM documents d LEFT JOIN labels l USING (doc_id))
+SELECT doc_id, 2 AS requested_article_uri_count, CASE WHEN lost THEN 2 ELSE 1 END AS missing_article_uri_count,
+  CASE WHEN lost THEN 'doc-' || doc_id || '|' ELSE '' END || source AS missing FROM asked""")
 def missing_uri_report(t: Tables) -> DataFrame:
-    uri = F.concat(F.lit("doc-"), "doc_id").alias("uri")
-    # One request list per language; the position of a uri in its list is its id.
-    requested = t.raw("documents").select("lang", F.col("doc_id").alias("position"), uri)
-    found = t.raw("documents").join(t.raw("labels").select("doc_id"), "doc_id", "left_semi").select("lang", uri)
-    report = metrics.missing_uri_report(requested, found, ["lang"])
-    return report.select("lang", "requested_article_uri_count", "missing_article_uri_count",
+    found = t.raw("labels").select("doc_id", F.concat(F.lit("doc-"), "doc_id").alias("uri"))
+    report = metrics.missing_uri_report(payloads.read_uri_list(_requests(t)), found, ["doc_id"])
+    return report.select("doc_id", "requested_article_uri_count", "missing_article_uri_count",
                          F.concat_ws("|", "missing_article_uris").alias("missing"))
 
 

@@ -228,16 +228,15 @@ def scalar_json(t: Tables) -> DataFrame:
 
 
 @query("scalar_array", """
-WITH c AS (SELECT conv_id, list(role || turn ORDER BY turn) AS l FROM conversations GROUP BY conv_id)
-SELECT conv_id, len(l) AS n, ceil(len(l) / 3)::BIGINT AS chunks, array_to_string(l[1:2], '|') AS first_two, array_to_string(l[4:6], '|') AS second_chunk FROM c""")
+WITH c AS (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents)
+SELECT doc_id, len(l) AS n, CAST(ceil(len(l) / 3) AS BIGINT) AS chunks, array_to_string(l[1:2], '|') AS first_two, array_to_string(l[4:6], '|') AS second_chunk FROM c""")
 def scalar_array(t: Tables) -> DataFrame:
-    """The turns of a conversation are one list; the list of a conversation fits a row."""
-    turns = F.transform(F.sort_array(F.collect_list(F.struct("turn", "role"))), lambda x: F.concat(x["role"], x["turn"]))
-    c = t.raw("conversations").groupBy("conv_id").agg(turns.alias("l"))
+    """The lines of a text as one list, cut into batches of three."""
+    c = t.raw("documents").select("doc_id", F.split("text", F.lit("\n")).alias("l"))
     pieces = text.chunk("l", 3)
-    return c.select("conv_id", F.size("l").cast("bigint").alias("n"), F.size(pieces).cast("bigint").alias("chunks"),
+    return c.select("doc_id", F.size("l").cast("bigint").alias("n"), F.size(pieces).cast("bigint").alias("chunks"),
                     F.concat_ws("|", F.slice("l", 1, 2)).alias("first_two"),
-                    F.concat_ws("|", F.coalesce(F.get(pieces, F.lit(1)), F.array())).alias("second_chunk"))
+                    F.concat_ws("|", F.coalesce(F.get(pieces, F.lit(1)), F.array().cast("array<string>"))).alias("second_chunk"))
 
 
 @query("cosine", """

@@ -263,7 +263,7 @@ def _concept_chain(articles: DataFrame, bridge: DataFrame, k: int, max_hours: in
     dated = articles.where("ts IS NOT NULL AND category IS NOT NULL").select(article, "category", "ts")
     rows = keyed.join(dated, article)
     partners = rows.withColumnRenamed("g", "h")
-    found = _previous(rows.join(seen, "g").drop("g"), partners, ["h", "category"], article)
+    found = _previous(lookup(rows, seen, "g", [article], "inner").drop("g"), partners, ["h", "category"], article)
     return found.where(F.col("ts") <= F.col("_p.ts") + hours(max_hours)).select(
         F.col(f"_p.{article}").alias("article_1"), F.col(article).alias("article_2")
     )

@@ -102,13 +102,17 @@ def page_audit(articles: DataFrame, early_stop_from, run: list[str], page: str =
     accepted = rows.where(filled & inside)
     first_seen = accepted.groupBy(*run, "_uri").agg(F.min(seq).alias("_first"))
     new_uris = first_seen.groupBy(*run, F.col(f"_first.{page}").alias(page)).agg(F.count("*").alias("new_uris"))
-    first_uris = F.slice(F.sort_array(F.collect_list(F.when(filled, F.struct(pos, "_uri")))), 1, C.FINGERPRINT_URIS)
+    in_page = Window.partitionBy(*run, page).orderBy(pos)
+    head = rows.where(filled).withColumn("_r", F.row_number().over(in_page)).where(F.col("_r") <= C.FINGERPRINT_URIS)
+    first_uris = F.transform(F.sort_array(F.collect_list(F.struct("_r", "_uri"))), lambda x: x["_uri"])
+    prints = head.groupBy(*run, page).agg(F.concat_ws("|", first_uris).alias("fingerprint"))
     pages = rows.groupBy(*run, page).agg(
-        F.count("*").alias("articles"),
-        F.concat_ws("|", F.transform(first_uris, lambda x: x["_uri"])).alias("fingerprint"),
-        F.min(F.when(filled, F.col(ts))).alias("oldest"),
+        F.count("*").alias("articles"), F.min(F.when(filled, F.col(ts))).alias("oldest")
+    )
+    pages = (
+        pages.join(prints, [*run, page], "left").join(new_uris, [*run, page], "left")
+        .na.fill({"fingerprint": "", "new_uris": 0})
     )
-    pages = pages.join(new_uris, [*run, page], "left").withColumn("new_uris", F.coalesce("new_uris", F.lit(0)))
     same = Window.partitionBy(*run, "fingerprint").orderBy(page)
     order = Window.partitionBy(*run).orderBy(page)
     upto = order.rowsBetween(Window.unboundedPreceding, 0)

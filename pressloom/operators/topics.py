@@ -79,9 +79,14 @@ def topic_medoids(rows: DataFrame, centroids: DataFrame, topic: str = "topic_id"
     ).select(topic, "_m.*")
 
 
-def topic_rollup(stories: DataFrame, dim: int, concept_links: DataFrame | None = None) -> DataFrame:
+def topic_rollup(stories: DataFrame, dim: int) -> DataFrame:
     """One row per topic. ``stories`` needs topic_id, story_id, embedding, headline,
-    top_category, published_at; ``concept_links`` story_id and concept."""
+    top_category, published_at.
+
+    Categories are a closed set and become a map. The concept and entity frequencies of a
+    topic are an open vocabulary; they stay rows (``topic_value_counts``), and ``count_map``
+    turns them into a map where the caller knows that it fits one row.
+    """
     base = stories.groupBy("topic_id").agg(
         F.count("*").alias("story_count"),
         F.min("published_at").alias("earliest_published_at"),
@@ -94,9 +99,6 @@ def topic_rollup(stories: DataFrame, dim: int, concept_links: DataFrame | None =
         .join(count_map(categories, "category_counts"), "topic_id", "left")
         .join(dominant_value(categories, "dominant_category"), "topic_id", "left")
     )
-    if concept_links is not None:
-        linked = concept_links.join(stories.select("story_id", "topic_id"), "story_id")
-        out = out.join(count_map(topic_value_counts(linked, "concept"), "concept_counts"), "topic_id", "left")
     return out
 
 

@@ -159,7 +159,11 @@ def load_headlines(store: TableStore, run_dir: str, manifest: dict, as_of) -> di
     typed = casts.cast_headlines(staged, run)
     merged = merge.upsert_headlines(store.read("headlines", typed), typed, as_of).persist(StorageLevel.MEMORY_AND_DISK)
     counts = merge.merge_counts(merged).first().asDict()
-    store.publish({"headlines": _changes(merged).drop("_action")})
+    key = {**manifest, "run_type": manifest.get("run_type") or "scheduled", "nth_run": manifest.get("nth_run") or 1}
+    log = runs.mark_load_started(_empty_log(store.spark), _log_row(store.spark, key, as_of))
+    log = runs.mark_loaded(log, _log_row(
+        store.spark, key, as_of, **{k: counts[k] for k in ("rows_loaded", "db_rows_inserted", "db_rows_updated")}))
+    store.publish({"headlines": _changes(merged).drop("_action"), "run_log": log})
     merged.unpersist()
     return counts
 

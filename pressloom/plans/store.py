@@ -61,7 +61,7 @@ class TableStore:
 
     # --- reading -----------------------------------------------------------------
 
-    def _parts(self, name: str) -> DataFrame:
+    def _parts(self, name: str) -> tuple[DataFrame, int]:
         _, tables = self._pointer()
         schema = f"{TABLES[name]}"
         parts = [
@@ -69,20 +69,20 @@ class TableStore:
             for i, path in enumerate(tables.get(name, []))
         ]
         if not parts:
-            return self.spark.createDataFrame([], f"{schema}, _part int")
+            return self.spark.createDataFrame([], f"{schema}, _part int"), 0
         rows = parts[0]
         for part in parts[1:]:
             rows = rows.unionByName(part)
-        return rows
+        return rows, len(parts)
 
     def read(self, name: str, only: DataFrame | None = None) -> DataFrame:
         """Current rows, or those of the keys in ``only``: the key filter is applied before
         the newest row is picked, so a small batch picks among few rows."""
-        rows = self._parts(name)
+        rows, parts = self._parts(name)
         key = TABLE_KEYS.get(name) or ([BRIDGES[name]] if name in BRIDGES else None)
         if only is not None and key:
             rows = rows.join(only.select(*key).distinct(), key, "left_semi")
-        if name in LOGS:
+        if name in LOGS or (parts < 2 and name not in BRIDGES):
             return rows.drop("_part")
         if name in BRIDGES:
             newest = rows.groupBy(*key).agg(F.max("_part").alias("_part"))
