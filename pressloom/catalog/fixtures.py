@@ -6,6 +6,8 @@ blanks, so they are already canonical; NULLs, blanks, JSON nulls and values of t
 JSON type are there on purpose.
 """
 
+from pressloom.contracts import ARTICLE_INGESTION_SOURCE
+
 PROJECTIONS = {
     "articles": """
 SELECT doc_id,
@@ -35,7 +37,7 @@ SELECT doc_id,
   CASE WHEN doc_id % 7 = 0 THEN 'null' WHEN doc_id % 8 = 0 THEN ''
     ELSE '{"label":{"eng":"City ' || CAST(doc_id % 31 AS STRING) || '"}}' END AS location,
   TIMESTAMP '2026-02-15 00:00:00' + INTERVAL '1' DAY * CAST(doc_id % 28 AS INT) AS run_id,
-  'newsapi-ai' AS ingestion_source,
+  '""" + ARTICLE_INGESTION_SOURCE + """' AS ingestion_source,
   CASE lang WHEN 'en' THEN 'scheduled' WHEN 'fr' THEN 'backfill' ELSE 'seed' END AS run_type,
   1 AS nth_run
 FROM $documents""",
@@ -51,7 +53,7 @@ SELECT 'a-' || CAST(o_orderkey AS STRING) AS uri, 'Story ' || CAST(o_orderkey AS
   'cust-' || CAST(o_custkey AS STRING) AS source_uri, o_orderpriority AS category,
   CASE WHEN o_orderstatus = 'P' THEN NULL ELSE 'ev-' || CAST(o_custkey AS STRING) END AS event_uri,
   o_orderdate AS ts, o_orderdate AS date_time_published, o_totalprice AS price,
-  'newsapi-ai' AS ingestion_source, date_trunc('month', o_orderdate) AS run_id,
+  '""" + ARTICLE_INGESTION_SOURCE + """' AS ingestion_source, date_trunc('month', o_orderdate) AS run_id,
   CASE o_orderstatus WHEN 'F' THEN 'scheduled' WHEN 'O' THEN 'backfill' ELSE 'seed' END AS run_type, 1 AS nth_run
 FROM $orders""",
     "categories": """

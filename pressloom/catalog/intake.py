@@ -528,7 +528,7 @@ def cast_events(t: Tables) -> DataFrame:
 
 @query("cast_headlines", """
 SELECT 'http://h/' || doc_id AS url, CASE WHEN lang <> 'en' THEN source END AS source_id, text AS content,
-  '2026-03-14 00:00:00' AS published_at, 'newsapi-org' AS ingestion_source
+  '2026-03-14 00:00:00' AS published_at, '""" + C.HEADLINE_INGESTION_SOURCES[0] + """' AS ingestion_source
 FROM documents""")
 def cast_headlines(t: Tables) -> DataFrame:
     run = {"ingestion_source": C.HEADLINE_INGESTION_SOURCES[0], "run_id": RUN["run_id"], "collected_at": RUN["collected_at"]}

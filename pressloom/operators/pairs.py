@@ -23,20 +23,22 @@ from pressloom.operators.joins import lookup
 from pressloom.session import materialize
 
 
-def concept_sets(bridge: DataFrame, article: str = "article_uri", concept: str = "concept_uri") -> DataFrame:
-    """(article, tokens, g): the article's distinct concepts, rarest first, and the set's key.
+def concept_sets(bridge: DataFrame, article: str = "article_uri", concept: str = "concept_uri",
+                 rare_first: bool = True) -> DataFrame:
+    """(article, tokens, g): the article's distinct concepts in a global order, and the set's key.
 
-    The array of one article is the article's own concept list. The frequency lookup is
-    salted, as one concept may be in a third of all links. Equal sets have equal keys: the
-    key is 128 bits of the whole set.
+    The array of one article is the article's own concept list. Rarest first needs the
+    frequency of each concept; its lookup is salted, as one concept may be in a third of all
+    links. Equal sets have equal keys: the key is 128 bits of the whole set.
     """
     links = bridge.select(article, concept).where(f"{concept} IS NOT NULL")
-    freq = links.groupBy(concept).agg(F.count("*").alias("_f"))
-    ranked = lookup(links, freq, concept, [article], "inner")
-    listed = ranked.groupBy(article).agg(
-        F.array_distinct(F.transform(F.sort_array(F.collect_list(F.struct("_f", concept))), lambda x: x[concept]))
-        .alias("tokens")
-    )
+    if rare_first:
+        freq = links.groupBy(concept).agg(F.count("*").alias("_f"))
+        ranked = lookup(links, freq, concept, [article], "inner")
+        ordered = F.transform(F.sort_array(F.collect_list(F.struct("_f", concept))), lambda x: x[concept])
+        listed = ranked.groupBy(article).agg(F.array_distinct(ordered).alias("tokens"))
+    else:
+        listed = links.groupBy(article).agg(F.array_sort(F.collect_set(concept)).alias("tokens"))
     return listed.withColumn("g", F.unhex(F.md5(F.concat_ws("\u0001", "tokens"))))
 
 
@@ -104,7 +106,9 @@ def shared_concept_pairs(bridge: DataFrame, min_shared: int, article: str = "art
 
     The answer itself can be large when many articles are copies of each other.
     """
-    sets = concept_sets(bridge, article, concept)
+    sets = materialize(
+        concept_sets(bridge, article, concept, rare_first=min_shared > 2).where(F.size("tokens") >= min_shared), "concept-sets"
+    )
     distinct = _distinct_sets(sets)
     return _article_pairs(_set_pairs(distinct, min_shared), _members(sets, article, None), distinct, article, min_shared)
 
@@ -117,16 +121,19 @@ def shared_concepts(bridge: DataFrame, k: int = 20, min_shared: int = 1, article
     every pair with at least ``t`` shared concepts was seen. Below two, the rest of the
     answer comes from the smallest articles of each concept.
     """
-    sets = materialize(concept_sets(bridge, article, concept), "concept-sets")
-    distinct = _distinct_sets(sets)
-    members = _members(sets, article, k + 1)
+    # At two shared concepts the prefix is the whole set, so its order does not matter.
+    sets = materialize(concept_sets(bridge, article, concept, rare_first=False), "concept-sets")
     order = [F.col("shared_concepts").desc(), F.col("article_1"), F.col("article_2")]
     top = _empty_pairs(sets, article)
     largest = sets.agg(F.max(F.size("tokens"))).first()[0]
     if not largest or largest < min_shared:
         return top
     floor = max(min_shared, 2)
-    t = _cheapest_step(distinct, floor, largest)
+    t = _cheapest_step(_distinct_sets(sets), floor, floor)
+    if t is None:
+        sets = materialize(concept_sets(bridge, article, concept), "concept-sets")
+        t = _cheapest_step(_distinct_sets(sets), floor + 1, largest) or largest
+    distinct, members = _distinct_sets(sets), _members(sets, article, k + 1)
     while t >= floor:
         found = _article_pairs(_set_pairs(distinct, t), members, distinct, article, t)
         top = materialize(found.orderBy(*order).limit(k), "top-pairs")
@@ -138,21 +145,22 @@ def shared_concepts(bridge: DataFrame, k: int = 20, min_shared: int = 1, article
     return top.unionByName(_single_concept_pairs(sets, top, k, article)).orderBy(*order).limit(k)
 
 
-def _cheapest_step(distinct: DataFrame, floor: int, largest: int, budget: float = 64.0) -> int:
-    """Smallest required overlap whose candidates are at most ``budget`` per join row.
+def _cheapest_step(distinct: DataFrame, low: int, high: int, budget: float = 64.0) -> int | None:
+    """Smallest required overlap between ``low`` and ``high`` whose candidates are at most
+    ``budget`` per join row, or None.
 
     One count per tried value, combined on the map side. A value that is too costly is
     only skipped here, not given up: the search comes back to it when it must.
     """
-    t = floor
-    while t < largest:
+    t = low
+    while t <= high:
         keys = distinct.where(F.size("tokens") >= t).select(F.explode(_signatures(t)).alias("key"))
         n = F.col("n").cast("double")
         rows, candidates = keys.groupBy("key").agg(F.count("*").alias("n")).agg(F.sum(n), F.sum(n * (n - 1) / 2)).first()
         if not rows or candidates <= budget * rows:
-            break
-        t = min(largest, max(t + 1, int(t * 1.5)))
-    return t
+            return t
+        t = max(t + 1, int(t * 1.5))
+    return None
 
 
 def _empty_pairs(sets: DataFrame, article: str) -> DataFrame:
@@ -250,16 +258,16 @@ def _concept_chain(articles: DataFrame, bridge: DataFrame, k: int, max_hours: in
                    concept: str) -> DataFrame:
     """Each article to the latest earlier article, at most ``max_hours`` before, of every
     concept set that shares ``k`` concepts with its own and has the same category."""
-    sets = concept_sets(bridge, article, concept).where(F.size("tokens") >= k)
+    sets = materialize(
+        concept_sets(bridge, article, concept, rare_first=k > 2).where(F.size("tokens") >= k), "concept-sets"
+    )
     keyed = sets.select(article, "g")
     distinct = _distinct_sets(sets)
     across = _set_pairs(distinct, k).select("g1", "g2")
     # Directed: an article of set g looks for partners in set h, its own set included.
-    seen = (
-        across.select(F.col("g1").alias("g"), F.col("g2").alias("h"))
-        .unionByName(across.select(F.col("g2").alias("g"), F.col("g1").alias("h")))
-        .unionByName(distinct.select("g", F.col("g").alias("h")))
-    )
+    both_ways = F.explode(F.array(F.struct(F.col("g1").alias("g"), F.col("g2").alias("h")),
+                                  F.struct(F.col("g2").alias("g"), F.col("g1").alias("h")))).alias("_d")
+    seen = across.select(both_ways).select("_d.*").unionByName(distinct.select("g", F.col("g").alias("h")))
     dated = articles.where("ts IS NOT NULL AND category IS NOT NULL").select(article, "category", "ts")
     rows = keyed.join(dated, article)
     partners = rows.withColumnRenamed("g", "h")

@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
+from pressloom import contracts as C
 from pressloom.functions.times import instant
 from pressloom.operators import discover, metrics, quality, ranking, runs
 
@@ -63,7 +64,7 @@ def test_events_of_unreserved_runs_change_nothing(spark):
 
 def test_violations_pass_null_and_name_the_rule(spark):
     df = spark.createDataFrame([("scheduled", 1, "news"), ("nightly", 0, None), (None, None, "tweet")], "run_type string, nth_run int, data_type string")
-    df = df.withColumn("ingestion_source", F.lit("newsapi-ai"))
+    df = df.withColumn("ingestion_source", F.lit(C.ARTICLE_INGESTION_SOURCE))
     found = quality.check_violations(df, quality.rules_for("articles"))
     assert rows(found, "rule") == [("data_type",), ("nth_run",), ("run_type",)]
 

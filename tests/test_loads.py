@@ -16,7 +16,7 @@ AS_OF = "2026-03-18 11:00:00"
 
 
 def land(spark, root, day, data, **changes):
-    run = {"ingestion_source": "newsapi-ai", "run_id": f"2026-03-{day}T10:00:00.000Z", "run_type": "scheduled", "nth_run": 1}
+    run = {"ingestion_source": C.ARTICLE_INGESTION_SOURCE, "run_id": f"2026-03-{day}T10:00:00.000Z", "run_type": "scheduled", "nth_run": 1}
     folder = artifacts.write_run_artifact(articles(spark, *data), root, run)
     manifest = {**MANIFEST, **run, "window_to": run["run_id"], "collected_at": f"2026-03-{day}T10:06:00.000Z", **changes}
     artifacts.write_text_file(spark, f"{folder}/manifest.json", json.dumps(manifest))
@@ -135,8 +135,8 @@ def test_event_metrics_are_filed_under_the_parent(spark, folder, store):
     assert rows(wanted, "event_uri") == [("e-1",)]
     found = store.read("run_metrics").where("stage = 'event_collect'")
     assert rows(found, "ingestion_source", "metric_name", "metric_value") == [
-        ("newsapi-ai", "candidate_articles_scanned", 2), ("newsapi-ai", "distinct_event_uris_discovered", 1),
-        ("newsapi-ai", "distinct_event_uris_selected", 1), ("newsapi-ai", "events_fetched", 1)]
+        (C.ARTICLE_INGESTION_SOURCE, "candidate_articles_scanned", 2), (C.ARTICLE_INGESTION_SOURCE, "distinct_event_uris_discovered", 1),
+        (C.ARTICLE_INGESTION_SOURCE, "distinct_event_uris_selected", 1), (C.ARTICLE_INGESTION_SOURCE, "events_fetched", 1)]
 
 
 def test_cycles(spark):

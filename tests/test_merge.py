@@ -56,7 +56,7 @@ def test_replay_changes_nothing_and_order_does_not_matter(spark):
 
 
 def test_same_json_in_other_spelling_is_unchanged(spark):
-    run = {"ingestion_source": "newsapi-ai", "run_id": "2026-01-01T00:00:00Z", "run_type": "seed", "nth_run": 1,
+    run = {"ingestion_source": C.ARTICLE_INGESTION_SOURCE, "run_id": "2026-01-01T00:00:00Z", "run_type": "seed", "nth_run": 1,
            "collected_at": "2026-01-01T00:01:00Z"}
     one = casts.cast_articles(articles(spark, {"uri": "a", "source": '{"a":1,"b":[1]}'}), run)
     two = casts.cast_articles(articles(spark, {"uri": "a", "source": '{ "b" : [1.0], "a":2, "a" : 1.0 }'}), run)

@@ -9,7 +9,7 @@ from pressloom.operators import casts
 from pressloom.sinks import artifacts
 from pressloom.sources import files, manifests, payloads
 
-RUN = {"ingestion_source": "newsapi-ai", "run_id": "2026-03-18T10:00:00.000Z", "run_type": "scheduled", "nth_run": 1}
+RUN = {"ingestion_source": C.ARTICLE_INGESTION_SOURCE, "run_id": "2026-03-18T10:00:00.000Z", "run_type": "scheduled", "nth_run": 1}
 
 
 def article_row(**values):
