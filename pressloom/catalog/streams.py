@@ -59,9 +59,8 @@ def stream_chain(t: Tables) -> DataFrame:
         run = {**RUN, "ingestion_source": C.EVENT_INGESTION_SOURCE}
         rows = staged_events(t).join(wanted.select(F.col("event_uri").alias("uri")), "uri", "left_semi")
         target = artifacts.write_run_artifact(rows.select(*C.EVENT_COLUMNS), event_root, run, C.EVENTS)
-        manifest = rows.agg(F.count("*").alias("events_fetched")).select(
-            F.lit(C.EVENT_CONTRACT_VERSION).alias("artifact_contract_version"), F.lit(C.EVENTS.data_file).alias("csv_file"),
-            *[F.lit(run[k]).alias(k) for k in (*C.RUN_KEY, "collected_at")], "events_fetched")
+        collected = store.read("run_metrics").where("stage = 'event_collect'")
+        manifest = artifacts.build_event_manifest(rows, collected, run, run["collected_at"], report)
         artifacts.write_row_json(manifest, f"{target}/{C.EVENTS.manifest_file}")
 
     arrivals.stream_chain(store, root, event_root, work_path(t.spark, "cp"), AS_OF, fetch)

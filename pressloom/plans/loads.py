@@ -83,11 +83,7 @@ def load_articles(store: TableStore, run_dir: str, manifest: dict, as_of, on_dup
         measured = _small(metrics.article_load_metrics(scope, concept_links, category_links))
         stamped = metrics.stamp_metrics(measured, "article_load", as_of, as_of, run)
         stamped = stamped.withColumn("created_at", instant(as_of))
-        summary = counts.first().asDict()
-        log = _empty_log(spark)
-        log = runs.mark_load_started(log, _log_row(spark, run, as_of))
-        log = runs.mark_loaded(log, _log_row(
-            spark, run, as_of, **{k: summary[k] for k in ("rows_loaded", "db_rows_inserted", "db_rows_updated")}))
+        log = _loaded_log(spark, run, as_of, counts.first().asDict())
         store.publish({
             "articles": synced.where(
                 F.col("_action").isin(merge.INSERTED, merge.UPDATED) | (F.col("updated_at") == instant(as_of))
@@ -107,10 +103,25 @@ def load_articles(store: TableStore, run_dir: str, manifest: dict, as_of, on_dup
         write_row_json(report, f"{run_dir}/{C.ARTICLES.report_file}", True)
         synced.unpersist()
         return "loaded"
+    except Exception as error:
+        _publish_failure(store, run, as_of, error)
+        raise
     finally:
         staged.unpersist()
 
 
+def _publish_failure(store: TableStore, run: dict, as_of, error: Exception) -> None:
+    """Record the failure in the ledger; nothing else of the load becomes visible."""
+    row = _log_row(store.spark, run, as_of, error_code="loader_error", error_message=str(error))
+    store.publish({"run_log": runs.mark_failed(_empty_log(store.spark), row)})
+
+
+def _loaded_log(spark: SparkSession, run: dict, as_of, counts: dict) -> DataFrame:
+    log = runs.mark_load_started(_empty_log(spark), _log_row(spark, run, as_of))
+    fields = ("rows_loaded", "db_rows_inserted", "db_rows_updated")
+    return runs.mark_loaded(log, _log_row(spark, run, as_of, **{k: counts[k] for k in fields}))
+
+
 def _skip_row(spark: SparkSession, manifest: dict, run_dir: str, as_of) -> DataFrame:
     values = {k: manifest[k] for k in ("artifact_contract_version", *C.RUN_KEY)}
     return spark.range(1).select(
@@ -138,6 +149,7 @@ def load_events(store: TableStore, run_dir: str, manifest: dict, as_of, touch_un
         changes = merged if touch_unchanged else _changes(merged)
         store.publish({
             "events": changes.drop("_action"),
+            "run_log": _loaded_log(spark, run, as_of, counts.first().asDict()),
             "run_metrics": stamped.select(*METRIC_COLUMNS),
         })
         renamed = counts.withColumnsRenamed({"db_rows_inserted": "events_inserted", "db_rows_updated": "events_updated"})
@@ -148,6 +160,9 @@ def load_events(store: TableStore, run_dir: str, manifest: dict, as_of, touch_un
         write_row_json(report, f"{run_dir}/{C.EVENTS.report_file}", True)
         merged.unpersist()
         return "loaded"
+    except Exception as error:
+        _publish_failure(store, run, as_of, error)
+        raise
     finally:
         staged.unpersist()
 
@@ -160,9 +175,7 @@ def load_headlines(store: TableStore, run_dir: str, manifest: dict, as_of) -> di
     merged = merge.upsert_headlines(store.read("headlines", typed), typed, as_of).persist(StorageLevel.MEMORY_AND_DISK)
     counts = merge.merge_counts(merged).first().asDict()
     key = {**manifest, "run_type": manifest.get("run_type") or "scheduled", "nth_run": manifest.get("nth_run") or 1}
-    log = runs.mark_load_started(_empty_log(store.spark), _log_row(store.spark, key, as_of))
-    log = runs.mark_loaded(log, _log_row(
-        store.spark, key, as_of, **{k: counts[k] for k in ("rows_loaded", "db_rows_inserted", "db_rows_updated")}))
+    log = _loaded_log(store.spark, key, as_of, counts)
     store.publish({"headlines": _changes(merged).drop("_action"), "run_log": log})
     merged.unpersist()
     return counts

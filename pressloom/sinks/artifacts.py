@@ -7,7 +7,7 @@ import json
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pressloom.contracts import ARTICLES, RUN_KEY, Contract
+from pressloom.contracts import ARTICLES, EVENTS, RUN_KEY, STALE_AFTER_HOURS, Contract
 from pressloom.functions.text import one_line, path_safe
 
 
@@ -96,6 +96,30 @@ def build_manifest(fetched: DataFrame, contract: Contract = ARTICLES, by: list[s
     )
 
 
+def build_event_manifest(fetched: DataFrame, measured: DataFrame, run: dict, collected_at: str,
+                         parent: dict | None = None, scope: str = "parent_run", **options) -> DataFrame:
+    """One manifest row of an event artifact: run and parent keys, discovery options, and
+    the counts of the event_collect metrics (``measured``) and of the fetched events."""
+    counted = ["candidate_articles_scanned", "distinct_event_uris_discovered", "distinct_event_uris_selected"]
+    counts = measured.agg(*[
+        F.max(F.when(F.col("metric_name") == name, F.col("metric_value"))).alias(name) for name in counted
+    ])
+    parent = parent or {}
+    given = {
+        "artifact_contract_version": EVENTS.version, **{k: run[k] for k in RUN_KEY}, "collected_at": collected_at,
+        **{f"parent_{k}": parent.get(k) for k in RUN_KEY}, "discovery_scope": scope,
+        "discovery_time_column": None, "discovery_start": None, "discovery_end": None,
+        "only_missing": False, "include_stale": True, "stale_after_hours": STALE_AFTER_HOURS, **options,
+    }
+    if not given["include_stale"]:
+        given["stale_after_hours"] = None
+    return counts.select(
+        *[F.lit(v).alias(k) for k, v in given.items()], *counted,
+        fetched.agg(F.count_distinct(EVENTS.key)).scalar().alias("events_fetched"),
+        F.lit(EVENTS.data_file).alias("csv_file"),
+    )
+
+
 def refresh_table(df: DataFrame, path: str) -> None:
     """Full truncate-and-insert of a denormalised table."""
     df.write.mode("overwrite").parquet(path)

@@ -89,7 +89,10 @@ def test_bad_artifact_publishes_nothing(spark, folder, store):
     target, manifest = land(spark, f"{folder}/land", "17", [{"uri": "a", "relevance": "1.5"}])
     with pytest.raises(Exception):
         loads.load_articles(store, target, manifest, AS_OF)
-    assert store.read("articles").isEmpty() and store.read("run_log").isEmpty()
+    assert store.read("articles").isEmpty()
+    ledger = runs.fold_run_ledger(store.read("run_log"), require_reserved=False)
+    assert rows(ledger, "status", "error_code") == [("failed", "loader_error")]
+    assert ledger.where(F.length("error_message") <= 2000).count() == 1
 
 
 def test_two_writers_do_not_both_publish(spark, folder, store):
@@ -118,6 +121,19 @@ def test_event_load_and_zero_events(spark, folder, store):
         (C.EVENT_INGESTION_SOURCE, 0)]
 
 
+def test_event_manifest(spark):
+    measured = spark.createDataFrame([("candidate_articles_scanned", 889), ("distinct_event_uris_discovered", 304),
+                                      ("distinct_event_uris_selected", 0)], "metric_name string, metric_value bigint")
+    parent = {"run_id": "2026-02-15T10:00:00.000Z", "ingestion_source": C.ARTICLE_INGESTION_SOURCE, "run_type": "backfill", "nth_run": 3}
+    run = {**parent, "ingestion_source": C.EVENT_INGESTION_SOURCE}
+    fetched = spark.createDataFrame([], "uri string")
+    m = artifacts.build_event_manifest(fetched, measured, run, "2026-03-14T09:33:01.937Z", parent).first()
+    assert (m.candidate_articles_scanned, m.distinct_event_uris_discovered, m.distinct_event_uris_selected, m.events_fetched) == (889, 304, 0, 0)
+    assert (m.parent_nth_run, m.parent_ingestion_source, m.stale_after_hours, m.csv_file) == (3, C.ARTICLE_INGESTION_SOURCE, 24, "events.csv")
+    without = artifacts.build_event_manifest(fetched, measured, run, "x", scope="full_corpus", include_stale=False).first()
+    assert without.parent_run_id is None and without.stale_after_hours is None
+
+
 def test_headline_load(spark, folder, store):
     run = {"ingestion_source": C.HEADLINE_INGESTION_SOURCES[0], "run_id": "2026-03-17T10:00:00.000Z", "run_type": "scheduled", "nth_run": 1}
     df = spark.createDataFrame([tuple(f"{c}" if c != "published_at" else "2026-03-17T01:00:00Z" for c in C.HEADLINE_COLUMNS)], C.HEADLINES.csv_schema)
