@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from pressloom import contracts as C
 from pressloom.catalog.base import Tables, query, sql_items, sql_ts, ts_text, with_fx
-from pressloom.catalog.intake import api_articles, headline_payloads, staged_articles, staged_events
-from pressloom.functions.times import days, hours, instant
+from pressloom.catalog.intake import headline_payloads, staged_articles, staged_events
+from pressloom.functions.times import days, instant
 from pressloom.operators import casts, dims, discover, merge, metrics, quality, ranking, runs
 from pressloom.session import work_path
 from pressloom.sinks import rows

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pressloom.functions.jsonx import filled_text_at, items, label_at, parsed, text_at
+from pressloom.functions.jsonx import items, label_at, parsed, text_at
 from pressloom.functions.text import is_populated
 
 
