@@ -51,15 +51,18 @@ def merge_counts(t: Tables) -> DataFrame:
 def _article_target(t: Tables, staged: DataFrame) -> DataFrame:
     """Stored articles: English ones as they were collected before, French ones by the
     same run but with another title; other languages are unknown."""
-    old = {"ingestion_source": C.ARTICLE_INGESTION_SOURCE, "run_id": "2026-03-13T00:00:00Z",
-           "run_type": "scheduled", "nth_run": 1, "collected_at": "2026-03-13T00:05:00Z"}
-    same = {**old, "run_id": "2026-03-14T00:00:00Z", "collected_at": "2026-03-14T00:05:00Z"}
+    english = F.col("lang") == "en"
+    run = {
+        "ingestion_source": C.ARTICLE_INGESTION_SOURCE, "run_type": "scheduled", "nth_run": 1,
+        "run_id": F.when(english, "2026-03-13T00:00:00Z").otherwise("2026-03-14T00:00:00Z"),
+        "collected_at": F.when(english, "2026-03-13T00:05:00Z").otherwise("2026-03-14T00:05:00Z"),
+    }
     now = F.lit("2026-01-01").cast("timestamp")
-    audit = {c: now for c in ("ingested_at", "created_at", "updated_at")}
-    english = casts.cast_articles(staged.where("lang = 'en'"), old)
-    french = casts.cast_articles(staged.where("lang IN ('fr', 'de')"), same)
-    french = french.withColumn("title", F.when(F.col("lang") == "fr", F.lit("other")).otherwise(F.col("title")))
-    return english.unionByName(french).withColumns(audit)
+    stored = casts.cast_articles(staged.where("lang IN ('en', 'fr', 'de')"), run)
+    return stored.withColumns({
+        "title": F.when(F.col("lang") == "fr", "other").otherwise(F.col("title")),
+        **{c: now for c in ("ingested_at", "created_at", "updated_at")},
+    })
 
 
 @query("upsert_articles", with_fx("articles") + f"""
