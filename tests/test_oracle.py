@@ -12,7 +12,9 @@ from conftest import DATA
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
           "benchmark labels conversations").split()
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+LIBRARY = set(entry.queries()) - set(entry.LLM_QUERIES)  # the others have tests of their own
+QUERIES = {name: build for name, build in entry.queries().items() if name in LIBRARY}
+SQL = {name: text for name, text in entry.oracle_sql().items() if name in LIBRARY}
 
 
 @pytest.fixture(scope="module")
