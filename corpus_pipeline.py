@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pressloom.llm import decontaminate, mixing, quality
+from pressloom.llm import decontaminate, mixing, neardup, quality
 from pressloom.llm.common import table
 from pressloom.session import materialize
 
@@ -18,6 +18,11 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.keep_good(docs)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that of the smallest id, of each group of near duplicates."""
+    return neardup.drop_near_duplicates(docs)
+
+
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which under one word in twenty stands in a benchmark window."""
     return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
@@ -30,6 +35,7 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 STAGES = [
     ("quality_rules", quality_rules),
+    ("near_dedup", near_dedup),
     ("benchmark_decontamination", benchmark_decontamination),
     ("source_mixing", source_mixing),
 ]

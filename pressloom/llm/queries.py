@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pressloom.llm import decontaminate, mixing, quality
+from pressloom.llm import decontaminate, mixing, neardup, quality
 from pressloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,6 +33,11 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents"))
 
 
+@query("op6_minhash_near_dedup")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_groups(table(spark, sf_dir, "documents"), size=4)
+
+
 @query("op8_quality_rules")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.profile(table(spark, sf_dir, "documents"))
