@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pressloom.llm import decontaminate, mixing, neardup, quality
+from pressloom.llm import decontaminate, hmm, langid, mixing, neardup, quality
 from pressloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,3 +41,13 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_quality_rules")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.profile(table(spark, sf_dir, "documents"))
+
+
+@query("op9_hidden_markov_lm")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hmm.held_out_report(table(spark, sf_dir, "documents"))
+
+
+@query("op10_ppm_language_id")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.held_out_report(table(spark, sf_dir, "documents"))
