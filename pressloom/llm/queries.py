@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pressloom.llm import decontaminate, hmm, langid, mixing, neardup, quality
+from pressloom.llm import decontaminate, hmm, langid, mixing, neardup, quality, secrets
 from pressloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -51,3 +51,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_ppm_language_id")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.held_out_report(table(spark, sf_dir, "documents"))
+
+
+@query("op7_markov_secret_scan")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.report(table(spark, sf_dir, "documents"))
