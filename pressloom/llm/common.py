@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable
 
 import pyarrow as pa
@@ -60,5 +59,12 @@ def as_bytes(column: pa.Array) -> list[bytes | None]:
     return column.cast(kind).to_pylist()
 
 
-def snake(name: str) -> str:
-    return re.sub(r"\W+", "_", name).strip("_").lower()
+def merge_spans(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Sorted spans, touching ones joined."""
+    out: list[tuple[int, int]] = []
+    for start, end in sorted(spans):
+        if out and start <= out[-1][1]:
+            out[-1] = (out[-1][0], max(end, out[-1][1]))
+        else:
+            out.append((start, end))
+    return out

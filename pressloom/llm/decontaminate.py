@@ -18,14 +18,13 @@ counted; repeated documents get equal rows; extra columns are ignored or passed
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pressloom.llm.common import as_bytes, fresh
+from pressloom.llm.common import as_bytes, fresh, merge_spans
 
 # A-Z to a-z; 0-9, a-z and all bytes of 0x80 and above are kept; the rest divides words.
 WORD_BYTES = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
@@ -99,16 +98,6 @@ def search(searches: list[WuManber], words: list[bytes]) -> tuple[list[tuple[int
     return merge_spans(raw), found
 
 
-def merge_spans(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    out: list[tuple[int, int]] = []
-    for start, end in sorted(spans):
-        if out and start <= out[-1][1]:
-            out[-1] = (out[-1][0], max(end, out[-1][1]))
-        else:
-            out.append((start, end))
-    return out
-
-
 def contaminated(n_words: int, n_hit: int) -> bool:
     """One word in twenty or more."""
     return n_hit > 0 and 20 * n_hit >= n_words

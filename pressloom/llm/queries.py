@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pressloom.llm import decontaminate, hmm, langid, mixing, neardup, quality, secrets
+from pressloom.llm import decontaminate, hmm, langid, mixing, neardup, pii, quality, secrets
 from pressloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,3 +56,8 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_markov_secret_scan")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(table(spark, sf_dir, "documents"))
+
+
+@query("op5_pii_boosted_candidates")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(table(spark, sf_dir, "documents"))
