@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pressloom.llm import decontaminate, hmm, langid, mixing, neardup, pii, quality, secrets
+from pressloom.llm import decontaminate, hmm, langid, mixing, neardup, pii, quality, secrets, spans
 from pressloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -61,3 +61,8 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_pii_boosted_candidates")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(table(spark, sf_dir, "documents"))
+
+
+@query("op1_sentence_span_dedup")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spans.dedup_spans(table(spark, sf_dir, "documents"))
