@@ -7,8 +7,9 @@ to the shared folder and reads it again as the input of the next.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from pressloom.llm import decontaminate, mixing, neardup, quality
+from pressloom.llm import decontaminate, mixing, neardup, quality, secrets
 from pressloom.llm.common import table
 from pressloom.session import materialize
 
@@ -28,6 +29,11 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
     return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
+def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, secrets in their texts replaced by a mark; n_chars follows the text."""
+    return secrets.redact(docs).withColumn("n_chars", F.when(F.col("n_chars").isNotNull(), F.length("text").cast("bigint")))
+
+
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents as often as the mix takes them, with a copy number."""
     return mixing.mix(docs)
@@ -37,6 +43,7 @@ STAGES = [
     ("quality_rules", quality_rules),
     ("near_dedup", near_dedup),
     ("benchmark_decontamination", benchmark_decontamination),
+    ("secret_scans", secret_scans),
     ("source_mixing", source_mixing),
 ]
 

@@ -12,12 +12,19 @@ from pressloom.session import prepare
 
 # Java and Python agree on this class: blank, tab, line feed, vertical tab, form feed, carriage return.
 BLANKS = " \t\n\x0b\f\r"
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 WORD = r"[^\x20\x09-\x0D]+"
 GAP = r"[\x20\x09-\x0D]+"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One input table, read through Spark so that any store Spark knows will do."""
+    """One input table, read through Spark so that any store Spark knows will do.
+
+    Unless the session says otherwise, batches sent to Python tasks are bounded in bytes as well,
+    so that long texts need no more memory than short ones.
+    """
+    if spark.conf.get(BATCH_BYTES, None) is None:
+        spark.conf.set(BATCH_BYTES, 16 << 20)
     return prepare(spark).read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 

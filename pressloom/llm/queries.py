@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pressloom.llm import decontaminate, hmm, langid, mixing, neardup, pii, quality, secrets, spans
+from pressloom.llm import decontaminate, hmm, langid, mixing, neardup, pii, quality, secrets, spans, warc
 from pressloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -66,3 +66,8 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_sentence_span_dedup")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spans.dedup_spans(table(spark, sf_dir, "documents"))
+
+
+@query("op3_warc_chunk_records")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.report(table(spark, sf_dir, "pages"))
