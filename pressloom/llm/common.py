@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
 from collections.abc import Callable
 
 import pyarrow as pa
@@ -17,14 +20,41 @@ WORD = r"[^\x20\x09-\x0D]+"
 GAP = r"[\x20\x09-\x0D]+"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One input table, read through Spark so that any store Spark knows will do.
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the package to the Python workers, once per application, as ``--py-files`` would."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    top = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    archive = os.path.join(tempfile.mkdtemp(prefix="run-"), "pressloom_package.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for folder, _, names in os.walk(os.path.join(top, "pressloom")):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.relpath(path, top))
+    context.addPyFile(archive)
+    _shipped.add(context.applicationId)
+
 
-    Unless the session says otherwise, batches sent to Python tasks are bounded in bytes as well,
-    so that long texts need no more memory than short ones.
+def batchwise(df: DataFrame, run: Callable, schema) -> DataFrame:
+    """``mapInArrow`` with the package at hand and batches bounded in bytes.
+
+    The bound holds unless the session sets its own, so that long texts need no more memory than
+    short ones.
     """
+    spark = df.sparkSession
+    ship(spark)
     if spark.conf.get(BATCH_BYTES, None) is None:
         spark.conf.set(BATCH_BYTES, 16 << 20)
+    return df.mapInArrow(run, schema)
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One input table, read through Spark so that any store Spark knows will do."""
     return prepare(spark).read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pressloom.llm.common import as_bytes, fresh, merge_spans
+from pressloom.llm.common import as_bytes, batchwise, fresh, merge_spans
 
 # A-Z to a-z; 0-9, a-z and all bytes of 0x80 and above are kept; the rest divides words.
 WORD_BYTES = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
@@ -142,7 +142,7 @@ def _hits(docs: DataFrame, searches, carried: list[str], text: str) -> DataFrame
                 [*batch.columns[:-1], pa.array(counts, pa.int64()), pa.array(spans, SPANS), pa.array(items, pa.list_(pa.string()))],
                 [*carried, "n_words", "spans", "items"])
 
-    return picked.mapInArrow(run, schema)
+    return batchwise(picked, run, schema)
 
 
 def find_hits(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id",
@@ -172,7 +172,7 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text:
             merged = pa.array([[{"s": s, "e": e} for s, e in row] for row in spans], SPANS)
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], merged, batch.column(3)], batch.schema.names)
 
-    return out.mapInArrow(merge, out.schema)
+    return batchwise(out, merge, out.schema)
 
 
 def report(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
@@ -208,4 +208,4 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text",
                 clean.append(not contaminated(len(words), sum(e - s for s, e in hit)))
             yield batch.filter(pa.array(clean, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return batchwise(docs, run, docs.schema)

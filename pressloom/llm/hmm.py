@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pressloom.llm.common import as_bytes, split_of
+from pressloom.llm.common import as_bytes, batchwise, split_of
 from pressloom.session import materialize
 
 END = b""
@@ -111,7 +111,7 @@ def count_words(docs: DataFrame, text: str, limit: int = 200_000) -> DataFrame:
     def rows(found: Counter) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(found.keys(), pa.binary()), pa.array(found.values(), pa.int64())], ["word", "n"])
 
-    return docs.select(F.col(text).alias("text")).mapInArrow(run, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+    return batchwise(docs.select(F.col(text).alias("text")), run, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def build_vocabulary(counts: DataFrame, own_classes: int, head_words: int) -> Vocabulary:
@@ -261,7 +261,7 @@ def baum_welch(docs: DataFrame, text: str, vocabulary, model: Model, prior: np.n
 
     names = [f"s{k}" for k in range(s)]
     schema = "row int, " + ", ".join(f"{n} double" for n in names)
-    summed = docs.select(F.col(text).alias("text")).mapInArrow(run, schema).groupBy("row").agg(*[F.sum(n).alias(n) for n in names])
+    summed = batchwise(docs.select(F.col(text).alias("text")), run, schema).groupBy("row").agg(*[F.sum(n).alias(n) for n in names])
     table = np.zeros((2 + s + len(prior), s))
     for r in summed.collect():
         table[r["row"]] = r[1:]
@@ -347,7 +347,7 @@ def _score(docs: DataFrame, key: str, text: str, vocabulary, model) -> DataFrame
             yield batch.slice(at), texts, numbers, rests
 
     schema_names = ["row", "doc_id", "n_tokens", "head_known", "head_base", "chain", "shares", "rest"]
-    return picked.mapInArrow(run, schema)
+    return batchwise(picked, run, schema)
 
 
 def train(docs: DataFrame, key: str, text: str, states: int = STATES, own_classes: int = 4096, head_words: int = 131_072,

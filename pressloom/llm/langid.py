@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pressloom.llm.common import split_of
+from pressloom.llm.common import batchwise, split_of
 from pressloom.operators.joins import lookup
 
 ORDER = 4
@@ -157,8 +157,8 @@ def _grams(docs: DataFrame, order: int, limit: int = 100_000) -> DataFrame:
         return pa.RecordBatch.from_arrays(
             [pa.array(langs, pa.string()), pa.array(grams_, pa.binary()), pa.array(found.values(), pa.int64())], ["lang", name, "n"])
 
-    counted = docs.mapInArrow(words, "lang string, word binary, n bigint").groupBy("lang", "word").agg(F.sum("n").alias("n"))
-    return counted.mapInArrow(grams, "lang string, gram binary, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    counted = batchwise(docs, words, "lang string, word binary, n bigint").groupBy("lang", "word").agg(F.sum("n").alias("n"))
+    return batchwise(counted, grams, "lang string, gram binary, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
 def train(docs: DataFrame, key: str = "doc_id", lang: str = "lang", text: str = "text", order: int = ORDER, per_language: int = 1000,
@@ -197,7 +197,7 @@ def identify(docs: DataFrame, trees: ContextTrees, key: str = "doc_id", text: st
                 scores.append(float(1 / np.exp2(np.maximum(bits[best] - bits, -1000)).sum()))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.string()), pa.array(scores, pa.float64())], ["doc_id", "lang_pred", "score"])
 
-    return picked.mapInArrow(run, schema)
+    return batchwise(picked, run, schema)
 
 
 def held_out_report(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", parts: int = 3, held: int = 1, **options) -> DataFrame:

@@ -5,13 +5,14 @@
   miss each other in every band with probability (1 - s^rows)^bands: 3e-6 at 0.8 with the defaults
   and under 1e-8 at 0.85.
 * Documents of equal words are one class, of which only the smallest id is compared.
-* A bucket (a band key with two classes or more) is not expanded to pairs. In the first round all
-  its members are compared with one hub. Links become components, and a bucket whose members are
-  all in one component is done. Every later round takes the next eight times as many hubs of the
-  buckets that are left, and compares them with the members of other components only. A round
-  costs hubs times members, and a large group of copies is one component after the first rounds;
-  in the end all pairs of a bucket have been compared or are connected.
-* Candidates are first compared by their minima (a pair of similarity ``similarity`` fails with a
+* A bucket (a band key with two classes or more) is not expanded to pairs. All its members are
+  first compared with one hub; links become components, and a bucket whose members are all in one
+  component is done. What is left are stragglers, members outside of the bucket's largest
+  component, and only they are compared with the other members: as pairs in buckets of up to
+  ``SMALL`` members, and beyond in blocks of bounded size, of which a task gets one with stragglers
+  and one with members and counts their common shingles by a matrix product. It returns no more
+  links than connect its components. So in the end all pairs of a bucket are connected or compared.
+* Pairs are first compared by their minima (a pair of similarity ``similarity`` fails with a
   probability below 1e-10), then exactly, on the full sets.
 
 Edge cases: null, empty and wordless texts have no shingles and are linked with nothing; fewer
@@ -29,12 +30,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pressloom.llm.common import as_bytes
+from pressloom.llm.common import as_bytes, batchwise, ship
 from pressloom.llm.components import components
 from pressloom.llm.shingles import WordHashes, mix, shingle_set, split_lower
 from pressloom.session import materialize
 
 SLICE = 2048
+SMALL = 32
+BLOCK_ROWS, BLOCK_TOKENS = 1024, 1 << 20
 SLACK = 0.2  # seven standard deviations of the share of equal minima at 160 minima
 
 
@@ -92,7 +95,7 @@ def sign(docs: DataFrame, key: str, text: str, size: int, bands: int, rows: int)
                 [batch.column(0), pa.array(counts, pa.int64()), pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy()), listed],
                 ["doc_id", "n_shingles", "hi", "lo", "keys"])
 
-    return picked.mapInArrow(run, schema)
+    return batchwise(picked, run, schema)
 
 
 def full_sets(docs: DataFrame, key: str, text: str, size: int, bands: int, rows: int) -> DataFrame:
@@ -111,7 +114,7 @@ def full_sets(docs: DataFrame, key: str, text: str, size: int, bands: int, rows:
                 minima = pa.array([minhash.minima(x).view(np.int32) for x in sets], pa.list_(pa.int32()))
                 yield pa.RecordBatch.from_arrays([part.column(0), shingles, minima], ["rep", "shingles", "minima"])
 
-    return picked.mapInArrow(run, schema)
+    return batchwise(picked, run, schema)
 
 
 def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -129,13 +132,13 @@ def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 5, percent: int = 80,
-                bands: int = 32, rows: int = 5, step: int = 8) -> DataFrame:
+                bands: int = 32, rows: int = 5) -> DataFrame:
     """Per row: doc_id, n_shingles, component_id (smallest id of its group) and kept."""
     signed = materialize(sign(docs, key, text, size, bands, rows), "signed")
     classes = signed.where("n_shingles > 0").groupBy("hi", "lo").agg(
         F.min("doc_id").alias("rep"), F.first("keys").alias("keys"))
     reps = materialize(classes, "classes")
-    roots = _link(docs, reps, key, text, size, percent, bands, rows, step)
+    roots = _link(docs, reps, key, text, size, percent, bands, rows)
     named = signed.drop("keys").join(reps.select("hi", "lo", "rep"), ["hi", "lo"], "left")
     out = named.join(roots.select(F.col("a").alias("rep"), F.col("b").alias("root")), "rep", "left")
     component = F.when(F.col("n_shingles") > 0, F.coalesce("root", "rep")).otherwise(F.col("doc_id"))
@@ -143,7 +146,7 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", size:
         "kept", F.col("component_id").isNull() | F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
 
 
-def _link(docs: DataFrame, reps: DataFrame, key: str, text: str, size: int, percent: int, bands: int, rows: int, step: int) -> DataFrame:
+def _link(docs: DataFrame, reps: DataFrame, key: str, text: str, size: int, percent: int, bands: int, rows: int) -> DataFrame:
     """Star edges (a, b) between class representatives of one component."""
     all_cells = reps.where("rep IS NOT NULL").select("rep", F.explode("keys").alias("key"))
     shared = all_cells.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
@@ -153,44 +156,122 @@ def _link(docs: DataFrame, reps: DataFrame, key: str, text: str, size: int, perc
     known = docs.join(involved, docs[key] == involved["_rep"], "left_semi")
     sets = materialize(full_sets(known, key, text, size, bands, rows), "sets")
     stars = cells.select(F.col("rep").alias("a"), F.col("rep").alias("b")).limit(0)
-    low, high = 0, 0
-    while True:
-        open_cells = materialize(_open(cells, stars, max(2, low) if high else 1), "open")
-        if open_cells.isEmpty():
-            return stars
-        pairs = materialize(_pairs(open_cells, low, high), "pairs")
-        links = materialize(verify(pairs, sets, percent).unionByName(stars), "links")
-        stars = components(links)
-        low, high = high, max(step, high * step)
-
-
-def _open(cells: DataFrame, stars: DataFrame, above: int) -> DataFrame:
-    """Members, with their labels, of the buckets of more than ``above`` that span components."""
+    for step in (_first_hub, _small_buckets, _large_buckets):
+        live = materialize(_open(cells, stars), "open")
+        if live.isEmpty():
+            break
+        links = _large_buckets(live, sets, percent) if step is _large_buckets else verify(materialize(step(live), "pairs"), sets, percent)
+        stars = components(materialize(links.unionByName(stars), "links"))
+    return stars
+
+
+def _open(cells: DataFrame, stars: DataFrame) -> DataFrame:
+    """Members, with their labels, of the buckets that span components."""
     roots = stars.select(F.col("a").alias("rep"), F.col("b").alias("root"))
-    labelled = cells.where(F.col("members") > above).join(roots, "rep", "left").select(
-        "key", "rep", "members", "place", F.coalesce("root", "rep").alias("label"))
+    labelled = cells.join(roots, "rep", "left").select("key", "rep", "members", "place", F.coalesce("root", "rep").alias("label"))
     live = labelled.groupBy("key").agg(
         F.min("label").alias("l0"), F.max("label").alias("l1"), F.min(F.struct("place", "rep")).alias("first")).where("l0 != l1")
     return labelled.join(live.select("key", "first"), "key")
 
 
-def _pairs(cells: DataFrame, low: int, high: int) -> DataFrame:
-    """Distinct pairs of a hub and a member of another component.
-
-    First round (``high`` 0): the member of the smallest place is the hub. Later: the members
-    whose place lies in the share [low, high) / members, against those of a larger place.
-    """
-    me = F.struct("place", "rep")
-    if not high:
-        found = cells.where(me != F.col("first")).select(F.col("first.rep").alias("p"), F.col("rep").alias("q"))
-    else:
-        share = F.least((F.col("place").cast("double") + 2.0**63) / 2.0**64, F.lit(1 - 2.0**-40))
-        hubs = cells.where((me != F.col("first")) & (share * F.col("members") >= low) & (share * F.col("members") < high))
-        hubs = hubs.select("key", F.col("rep").alias("p"), F.col("place").alias("at"), F.col("label").alias("of"))
-        found = hubs.join(cells, "key").where("label != of AND (place > at OR place = at AND rep > p)").select("p", F.col("rep").alias("q"))
+def _distinct_pairs(found: DataFrame) -> DataFrame:
     return found.select(F.greatest("p", "q").alias("x"), F.least("p", "q").alias("y")).distinct()
 
 
+def _first_hub(live: DataFrame) -> DataFrame:
+    """The member of the smallest place with all others."""
+    others = live.where(F.struct("place", "rep") != F.col("first"))
+    return _distinct_pairs(others.select(F.col("first.rep").alias("p"), F.col("rep").alias("q")))
+
+
+def _largest(live: DataFrame) -> DataFrame:
+    """Per bucket the label of most members."""
+    counts = live.groupBy("key", "label").agg(F.count("*").alias("m"))
+    return counts.groupBy("key").agg(F.max(F.struct("m", "label"))["label"].alias("top"))
+
+
+def _small_buckets(live: DataFrame) -> DataFrame:
+    """Stragglers of small buckets with the members of other components."""
+    small = live.where(F.col("members") <= SMALL)
+    outside = small.join(_largest(small), "key").where("label != top").select("key", F.col("rep").alias("p"), F.col("label").alias("of"))
+    return _distinct_pairs(outside.join(small, "key").where("label != of").select("p", F.col("rep").alias("q")))
+
+
+def _large_buckets(live: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) of the stragglers of large buckets, enough to connect what is linked."""
+    large = live.where(F.col("members") > SMALL).select("key", "rep", "label")
+    sized = large.join(sets.select("rep", F.size("shingles").alias("n")), "rep").join(_largest(large), "key")
+    outside = F.col("label") != F.col("top")
+
+    def blocks(rows, tokens):
+        return F.greatest(F.ceil(rows / BLOCK_ROWS), F.ceil(tokens / BLOCK_TOKENS), F.lit(1)).cast("int")
+
+    cut = sized.groupBy("key", "top").agg(
+        blocks(F.count("*"), F.sum("n")).alias("nj"), blocks(F.count_if(outside), F.sum(F.when(outside, F.col("n")))).alias("ni"))
+    wide = large.join(cut, "key").join(sets.select("rep", "shingles"), "rep")
+
+    def place(count: str, seed: int):
+        return F.pmod(F.xxhash64(F.lit(seed), "rep"), F.col(count)).cast("int")
+
+    def every(count: str):
+        return F.explode(F.sequence(F.lit(0), F.col(count) - 1))
+
+    left = wide.where(outside).select("key", place("ni", 1).alias("i"), every("nj").alias("j"), F.lit(True).alias("straggler"), "rep", "label", "shingles")
+    right = wide.select("key", every("ni").alias("i"), place("nj", 2).alias("j"), F.lit(False).alias("straggler"), "rep", "label", "shingles")
+    kind = sets.select("rep").dtypes[0][1]
+
+    def compare(table: pa.Table) -> pa.Table:
+        side = np.array(table.column("straggler").to_pylist(), bool)
+        reps, labels = table.column("rep").to_pylist(), table.column("label").to_pylist()
+        one = table.column("shingles").combine_chunks()
+        one = one.chunk(0) if isinstance(one, pa.ChunkedArray) else one
+        links = block_links(one.flatten().to_numpy(), np.diff(one.offsets.to_numpy()), side, reps, labels, percent)
+        names = table.schema.field("rep").type
+        return pa.table([pa.array([x for x, _ in links], names), pa.array([y for _, y in links], names)], ["a", "b"])
+
+    ship(live.sparkSession)
+    return left.unionAll(right).groupBy("key", "i", "j").applyInArrow(compare, f"a {kind}, b {kind}")
+
+
+def block_links(tokens: np.ndarray, sizes: np.ndarray, straggler: np.ndarray, reps: list, labels: list, percent: int) -> list[tuple]:
+    """Similar (straggler, member) pairs of different labels, as many as connect these labels."""
+    parent: dict = {}
+
+    def root(x):
+        while parent.setdefault(x, x) != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    _, ids, counts = np.unique(tokens, return_inverse=True, return_counts=True)
+    rows = np.repeat(np.arange(len(sizes)), sizes)
+    common = counts[ids] > 1
+    order = np.argsort(ids[common], kind="stable")
+    ids, rows = ids[common][order], rows[common][order]
+    left, right = np.flatnonzero(straggler), np.flatnonzero(~straggler)
+    at = np.empty(len(sizes), np.int64)
+    at[left], at[right] = np.arange(len(left)), np.arange(len(right))
+    both = np.zeros((len(left), len(right)), np.float32)
+    distinct, first = np.unique(ids, return_index=True)
+    column = np.repeat(np.arange(len(distinct)), np.diff(np.append(first, len(ids))))
+    for low in range(0, len(distinct), 4096):
+        here = slice(first[low], first[low + 4096] if low + 4096 < len(distinct) else len(ids))
+        x, y = (np.zeros((len(k), 4096), np.float32) for k in (left, right))
+        side = straggler[rows[here]]
+        x[at[rows[here][side]], column[here][side] - low] = 1
+        y[at[rows[here][~side]], column[here][~side] - low] = 1
+        both += x @ y.T
+    total = sizes[left][:, None] + sizes[right]
+    out = []
+    for i, j in np.argwhere((100 + percent) * both.astype(np.int64) >= percent * total):
+        i, j = left[i], right[j]
+        p, q = root(labels[i]), root(labels[j])
+        if p != q:
+            parent[p] = q
+            out.append((reps[i], reps[j]))
+    return out
+
+
 def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", **options) -> DataFrame:
     """The rows of each group's smallest id, with their own columns; rows without an id stay."""
     dropped = near_groups(docs, key, **options).where("NOT kept").select(F.col("doc_id").alias("_dropped")).distinct()

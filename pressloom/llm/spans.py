@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pressloom.llm.common import merge_spans
+from pressloom.llm.common import batchwise, merge_spans
 from pressloom.llm.shingles import mix
 
 STOPS = frozenset(".!?")
@@ -143,7 +143,7 @@ def run_table(docs: DataFrame, key: str, text: str, places: bool) -> DataFrame:
                  pa.array(joined[2]), pa.array(joined[3])], names)
 
     schema = "no_id boolean, d bigint, t int, start int, size int, h bigint, g bigint" if places else "h bigint"
-    return picked.mapInArrow(run, schema)
+    return batchwise(picked, run, schema)
 
 
 def repeated_places(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -173,4 +173,4 @@ def dedup_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(gone, pa.int64()), pa.array(out, pa.string())],
                                              ["doc_id", "n_sentences", "n_removed", "text"])
 
-    return joined.mapInArrow(run, f"doc_id {picked.dtypes[0][1]}, n_sentences bigint, n_removed bigint, text string")
+    return batchwise(joined, run, f"doc_id {picked.dtypes[0][1]}, n_sentences bigint, n_removed bigint, text string")

@@ -34,6 +34,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pressloom.llm.common import batchwise
 from pressloom.operators.joins import lookup
 from pressloom.session import materialize, shared_dir
 
@@ -156,7 +157,7 @@ def write_archives(chunks: DataFrame, folder: str, roll: int = ROLL) -> DataFram
         listed = list(zip(*writer.done)) or [(), (), ()]
         yield pa.RecordBatch.from_arrays([pa.array(listed[0], pa.string()), pa.array(listed[1], pa.int64()), pa.array(listed[2], pa.int64())], ["path", "records", "bytes"])
 
-    return materialize(chunks.mapInArrow(run, "path string, records bigint, bytes bigint"), "archives")
+    return materialize(batchwise(chunks, run, "path string, records bigint, bytes bigint"), "archives")
 
 
 @dataclass
@@ -244,7 +245,7 @@ def read_archives(archives: DataFrame, with_data: bool = True, chunk: int = CHUN
         names = [f.split()[0] for f in ARCHIVE_ROWS.split(", ")]
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
-    return archives.select("path").mapInArrow(run, ARCHIVE_ROWS)
+    return batchwise(archives.select("path"), run, ARCHIVE_ROWS)
 
 
 def archive_folder(spark: SparkSession) -> str:
