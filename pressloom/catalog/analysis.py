@@ -315,7 +315,7 @@ def v_heatmap(t: Tables) -> DataFrame:
                         F.round("news_to_noise_ratio", 6).alias("news_to_noise_ratio"), "adfontes_bias_score")
 
 
-_OUTLETS = [f"src{i}" for i in range(8)]
+_OUTLETS = [f"src{i}" for i in range(20)]
 
 
 @query("v_heatmap_wide", with_fx("enriched") + "SELECT topic_label, " + ", ".join(

@@ -187,9 +187,9 @@ def stream_manifest_files(t: Tables) -> DataFrame:
     out = work_path(t.spark, "arrived")
     run_available(
         stream_manifests(t.spark, _manifest_file(t)), work_path(t.spark, "stream"),
-        lambda batch, _: batch.select(*_MANIFEST_COLS).write.mode("append").parquet(out),
+        lambda batch, i: batch.select(*_MANIFEST_COLS).write.mode("overwrite").parquet(f"{out}/batch={i}"),
     )
-    return t.spark.read.parquet(out)
+    return t.spark.read.parquet(out).select(*_MANIFEST_COLS)
 
 
 @query("build_manifest", with_fx("articles") + f"""
@@ -358,12 +358,12 @@ def missing_uri_report(t: Tables) -> DataFrame:
 
 @query("seed_headlines", """
 SELECT 'http://h/' || doc_id AS url, CASE WHEN lang = 'en' THEN 'kept' ELSE source END AS source_id,
-  CASE WHEN lang = 'en' THEN 'old' ELSE substr(text, 1, 40) END AS title FROM documents""")
+  CASE WHEN lang = 'en' THEN 'old' ELSE text END AS title FROM documents""")
 def seed_headlines(t: Tables) -> DataFrame:
     d = t.raw("documents").withColumn("url", F.concat(F.lit("http://h/"), "doc_id"))
     target = d.where("lang = 'en'").select("url", F.lit("kept").alias("source_id"), F.lit("old").alias("title"),
                                            F.lit("2026-01-01").cast("timestamp").alias("published_at"))
-    seed = d.select(F.col("source").alias("id"), "url", F.substring("text", 1, 40).alias("title"),
+    seed = d.select(F.col("source").alias("id"), "url", F.col("text").alias("title"),
                     F.lit("2026-02-01 00:00:00").alias("published_at"))
     return files.seed_headlines(target, seed).select("url", "source_id", "title")
 

@@ -422,7 +422,7 @@ folded AS (SELECT run_id, ingestion_source, arg_max(kind, ts) FILTER (WHERE kind
   max(ts) FILTER (WHERE kind = 'loaded') AS load_completed_at,
   coalesce(arg_max(event_id, ts) FILTER (WHERE kind = 'collected'), 0) AS articles_fetched,
   coalesce(arg_max(event_id, ts) FILTER (WHERE kind = 'loaded'), 0) AS rows_loaded,
-  arg_max(CASE WHEN kind = 'failed' THEN length(substr(repeat(props, 300), 1, 2000)) ELSE -1 END, ts) FILTER (WHERE kind <> 'load_started') AS message_chars,
+  arg_max(CASE WHEN kind = 'failed' THEN length(repeat(props, 300)) ELSE -1 END, ts) FILTER (WHERE kind <> 'load_started') AS message_chars,
   bool_or(kind IN ('started', 'restarted')) AS reserved FROM lg GROUP BY run_id, ingestion_source),
 ledger AS (SELECT *, CASE last_kind WHEN 'restarted' THEN 'started' ELSE last_kind END AS status FROM folded WHERE reserved)
 """
@@ -517,7 +517,7 @@ def discover_events(t: Tables) -> DataFrame:
         "parent_run": discover.discover_events(a, "parent_run", run),
         "time_window": discover.discover_events(a, "time_window", time_column="date_time_published",
                                                 start="2026-02-16 00:00:00", end="2026-02-26 12:00:00"),
-        "full_corpus": discover.discover_events(a, "full_corpus", cap=None),
+        "full_corpus": discover.discover_events(a, "full_corpus"),
     }
     return metrics.union_metrics(*[df.select(F.lit(k).alias("scope"), "event_uri") for k, df in parts.items()])
 
@@ -525,14 +525,14 @@ def discover_events(t: Tables) -> DataFrame:
 @query("candidate_articles", with_fx("articles") + """
 SELECT 'run' AS scope, count(*) AS n FROM fx_articles WHERE run_type = 'scheduled' AND run_id = TIMESTAMP '2026-02-20 00:00:00'
 UNION ALL SELECT 'window', count(*) FROM fx_articles WHERE date_time_published >= TIMESTAMP '2026-02-16 00:00:00' AND date_time_published < TIMESTAMP '2026-02-26 12:00:00'
-UNION ALL SELECT 'all', least(count(*), 150) FROM fx_articles""")
+UNION ALL SELECT 'all', count(*) FROM fx_articles""")
 def candidate_articles(t: Tables) -> DataFrame:
     a = t.fx("articles")
     run = {"run_id": instant("2026-02-20 00:00:00"), "run_type": "scheduled"}
     parts = {
         "run": metrics.candidate_articles(a, run),
         "window": metrics.candidate_articles(a, time_column="date_time_published", start="2026-02-16 00:00:00", end="2026-02-26 12:00:00"),
-        "all": metrics.candidate_articles(a, cap=150),
+        "all": metrics.candidate_articles(a),
     }
     return metrics.union_metrics(*[df.select(F.lit(k).alias("scope"), F.col("candidate_articles_scanned").alias("n")) for k, df in parts.items()])
 
@@ -614,9 +614,9 @@ def event_collect_metrics(t: Tables) -> DataFrame:
     a = t.fx("articles")
     events = t.raw("events").where("event_type = 'purchase'").groupBy(F.concat(F.lit("eng-"), "user_id").alias("uri")).agg(
         F.max("ts").alias("last_collected_at"))
-    found = discover.discover_events(a, "full_corpus", cap=None)
+    found = discover.discover_events(a, "full_corpus")
     wanted = discover.freshness_filter(found, events, "2024-02-01 00:00:00", only_missing=True, include_stale=False)
-    return metrics.event_collect_metrics(metrics.candidate_articles(a, cap=1_000_000_000), found, wanted, wanted)
+    return metrics.event_collect_metrics(metrics.candidate_articles(a), found, wanted, wanted)
 
 
 @query("event_load_metrics", _EVENT_CTE + """
@@ -718,11 +718,7 @@ SELECT uri, row_number() OVER (ORDER BY coalesce(date_time_published, TIMESTAMP
 def order_articles(t: Tables) -> DataFrame:
     """The order itself is checked: the sorted rows are written and numbered where they lie."""
     a = t.fx("articles").withColumn("date_time", F.lit(None).cast("timestamp"))
-    path = work_path(t.spark, "ordered")
-    ranking.order_articles(a).select("uri", "date_time_published").write.parquet(path)
-    ts = F.coalesce("date_time_published", F.timestamp_seconds(F.lit(0)))
-    stored = t.spark.read.parquet(path)
-    return ranking.number_rows(stored, [], [ts.desc(), F.col("uri").asc()], "place").select("uri", "place")
+    return ranking.written_places(ranking.order_articles(a).select("uri")).select("uri", "place")
 
 
 @query("sample_uris", with_fx("articles") + "SELECT uri FROM fx_articles ORDER BY uri LIMIT 3")
@@ -736,16 +732,16 @@ def top_k(t: Tables) -> DataFrame:
 
 
 @query("order_nulls_last", with_fx("articles") + f"""
-SELECT uri, {sql_ts('date_time_published')} AS ts FROM fx_articles ORDER BY date_time_published ASC NULLS LAST, uri LIMIT 20""")
+SELECT uri, {sql_ts('date_time_published')} AS ts, row_number() OVER (ORDER BY date_time_published ASC NULLS LAST, uri) AS place FROM fx_articles""")
 def order_nulls_last(t: Tables) -> DataFrame:
-    ordered = ranking.order_nulls_last(t.fx("articles"), ["date_time_published", "uri"]).limit(20)
-    return ordered.select("uri", ts_text("date_time_published").alias("ts"))
+    ordered = ranking.order_nulls_last(t.fx("articles"), ["date_time_published", "uri"])
+    return ranking.written_places(ordered.select("uri", ts_text("date_time_published").alias("ts")))
 
 
 @query("capped_distinct", with_fx("articles") + """
-SELECT DISTINCT event_uri FROM fx_articles WHERE event_uri <> '' ORDER BY event_uri LIMIT 40""")
+SELECT DISTINCT event_uri FROM fx_articles WHERE event_uri <> ''""")
 def capped_distinct(t: Tables) -> DataFrame:
-    return ranking.capped_distinct(t.fx("articles"), "event_uri", 40)
+    return ranking.capped_distinct(t.fx("articles"), "event_uri")
 
 
 @query("latest", with_fx("articles") + f"""

@@ -78,7 +78,7 @@ def dedupe_stream(t: Tables) -> DataFrame:
     e = t.stream("events").select("event_id", "ts", "user_id", "event_type", "props")
     once = arrivals.dedupe_stream(e.unionByName(e), ["event_id"], "ts", "2 hours")
     out = work_path(t.spark, "once")
-    arrivals.run_available(once, work_path(t.spark, "cp"), lambda batch, i: batch.write.mode("append").parquet(out))
+    arrivals.run_available(once, work_path(t.spark, "cp"), lambda batch, i: batch.write.mode("overwrite").parquet(f"{out}/batch={i}"))
     return t.spark.read.parquet(out).select("event_id", "user_id", "event_type", "props")
 
 
@@ -89,7 +89,7 @@ def stream_merge_last(t: Tables) -> DataFrame:
     out = work_path(t.spark, "last")
     arrivals.run_available(
         t.stream("events").select("user_id", "ts", "event_id"), work_path(t.spark, "cp"),
-        lambda batch, i: last(batch).write.mode("append").parquet(out))
+        lambda batch, i: last(batch).write.mode("overwrite").parquet(f"{out}/batch={i}"))
     return last(t.spark.read.parquet(out)).select("user_id", "event_id")
 
 
@@ -102,7 +102,7 @@ def stream_stale_events(t: Tables) -> DataFrame:
     out = work_path(t.spark, "seen")
     q = (
         cycles.last_seen(seen, "uri", "ts").writeStream.outputMode("update")
-        .foreachBatch(lambda batch, i: batch.write.mode("append").parquet(out))
+        .foreachBatch(lambda batch, i: batch.write.mode("overwrite").parquet(f"{out}/batch={i}"))
         .option("checkpointLocation", work_path(t.spark, "cp")).trigger(availableNow=True).start()
     )
     q.awaitTermination()
@@ -131,7 +131,7 @@ def assign_cycles(t: Tables) -> DataFrame:
 def stream_assign_cycles(t: Tables) -> DataFrame:
     out = work_path(t.spark, "cycles")
     assigned = cycles.assign_cycles(t.stream("events").select("event_id", "ts"), "ts", 6, 12)
-    arrivals.run_available(assigned, work_path(t.spark, "cp"), lambda batch, i: batch.write.mode("append").parquet(out))
+    arrivals.run_available(assigned, work_path(t.spark, "cp"), lambda batch, i: batch.write.mode("overwrite").parquet(f"{out}/batch={i}"))
     back = t.spark.read.parquet(out)
     return back.groupBy(ts_text("run_id").alias("run_id")).agg(F.count("*").alias("n"))
 

@@ -55,11 +55,8 @@ ERROR_MESSAGE_CHARS = 2000
 PAGE_SIZE = 100
 MAX_PAGES = 500
 MAX_REPEATED_PAGES = 3
-FINGERPRINT_URIS = 10
 URI_BATCH_SIZE = 100
 EVENT_BATCH_SIZE = 50
-MAX_DISCOVERY_ARTICLES = 50_000
-MAX_DISCOVERY_EVENTS = 10_000
 STALE_AFTER_HOURS = 24
 
 # -----------------------------------------------------------------------------------

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from pressloom.functions.jsonx import items, label_at, parsed, text_at
 from pressloom.functions.text import is_populated
+from pressloom.operators.ranking import number_rows
+from pressloom.session import materialize
 
 
 def source_title(column: str = "source") -> Column:
@@ -19,17 +21,10 @@ def source_title(column: str = "source") -> Column:
 
 def concept_coverage_by_source(articles: DataFrame, label: str) -> DataFrame:
     """Mentions of one concept (by its English label) per source title."""
-    # The text test is a superset of the label test and spares parsing other rows.
-    rows = articles.where(F.col("concepts").contains(label)) if _plain(label) else articles
-    hits = rows.select(source_title().alias("source_title"), F.explode(items(parsed("concepts"))).alias("_e"))
+    hits = articles.select(source_title().alias("source_title"), F.explode(items(parsed("concepts"))).alias("_e"))
     return hits.where(label_at(F.col("_e")) == label).groupBy("source_title").agg(F.count("*").alias("articles"))
 
 
-def _plain(text: str) -> bool:
-    """Text that JSON writes as it is."""
-    return text.isascii() and text.isprintable() and not set(text) & set('"\\/')
-
-
 def articles_for_concept(articles: DataFrame, links: DataFrame, concepts: DataFrame | None = None,
                          uri: str | None = None, label: str | None = None) -> DataFrame:
     """Articles linked to a concept given by uri, or by the English label of its row."""
@@ -117,26 +112,20 @@ def narrative_propagation(articles: DataFrame, event: str | None = None) -> Data
     return first.withColumn("arrival", F.rank().over(w).cast("bigint"))
 
 
-def coverage_omissions(articles: DataFrame, outlets: DataFrame, event: str = "event_uri",
-                       source: str = "source_uri", max_outlets: int = 100_000) -> DataFrame:
+def coverage_omissions(articles: DataFrame, outlets: DataFrame, event: str = "event_uri", source: str = "source_uri") -> DataFrame:
     """Outlet and event with no article of the one on the other.
 
-    The outlet list is a curated dimension: it is one sorted array, its length is checked,
-    and each event subtracts the outlets that covered it. No product of the two sides is
-    built; only the gaps themselves are emitted.
+    Outlets are numbered; every event counts through the numbers, and an anti join takes away
+    those that covered it. Nothing but the gaps, which are the result, is longer than the
+    inputs, and no list of outlets is held in a row.
     """
     listed = outlets.select(source).where(F.col(source).isNotNull()).distinct()
-    # One more than allowed is enough to see that the list is too long.
-    everyone = listed.limit(max_outlets + 1).agg(F.sort_array(F.collect_list(source))).scalar()
-    covered = articles.where(F.col(event).isNotNull() & (F.col(event) != "")).select(event, source).distinct()
-    # Only listed outlets enter the set of an event, so it is no longer than the list.
-    covered = covered.join(listed.withColumn("_listed", F.lit(True)), source, "left")
-    own = F.collect_set(F.when(F.col("_listed"), F.col(source)))
-    per_event = covered.groupBy(event).agg(own.alias("_c")).withColumn("_all", everyone)
-    fits = F.when(
-        F.size("_all") > max_outlets, F.raise_error(F.lit("outlet list is not a curated dimension")).cast("boolean")
-    ).otherwise(F.lit(True))
-    return per_event.where(fits).select(event, F.explode(F.array_except("_all", "_c")).alias(source))
+    numbered = materialize(number_rows(listed, [], [F.col(source).asc()], "_n"), "outlets")
+    filled = articles.where(F.col(event).isNotNull() & (F.col(event) != ""))
+    covered = filled.select(event, source).distinct().join(numbered, source).select(event, "_n")
+    count = numbered.count()
+    every = filled.select(event).distinct().where(F.lit(count > 0)).withColumn("_n", F.explode(F.sequence(F.lit(1), F.lit(max(count, 1))).cast("array<bigint>")))
+    return every.join(covered, [event, "_n"], "left_anti").join(numbered, "_n").select(event, source)
 
 
 def top_sources(articles: DataFrame, sources: DataFrame, k: int = 25) -> DataFrame:

@@ -12,10 +12,11 @@ from pressloom.operators.casts import by_run
 
 def discover_events(articles: DataFrame, scope: str = "parent_run", run: dict | None = None,
                     time_column: str = "ingested_at", start=None, end=None,
-                    cap: int | None = C.MAX_DISCOVERY_EVENTS, sources: list[str] | None = None) -> DataFrame:
+                    cap: int | None = None, sources: list[str] | None = None) -> DataFrame:
     """Distinct filled event uris of a run, a time window or the whole corpus.
 
-    ``cap`` is the discovery limit; the smallest uris are taken so that it is repeatable.
+    All are returned. ``cap`` is a limit a caller may want on requests; the smallest uris are
+    taken so that it is repeatable.
     ``sources`` is an opt-in filter; the scopes themselves never filter by source.
     """
     if scope not in C.DISCOVERY_SCOPES:

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pressloom.contracts import ARTICLE_JSON_COLUMNS, EVENT_JSON_COLUMNS, MAX_DISCOVERY_ARTICLES, RUN_KEY
+from pressloom.contracts import ARTICLE_JSON_COLUMNS, EVENT_JSON_COLUMNS, RUN_KEY
 from pressloom.functions.text import blank_to_null, is_populated
 from pressloom.functions.times import instant
 from pressloom.operators.casts import by_run
@@ -133,17 +133,16 @@ def event_load_metrics(counts: DataFrame) -> DataFrame:
 
 
 def candidate_articles(articles: DataFrame, run: dict | None = None, time_column: str | None = None,
-                       start=None, end=None, cap: int = MAX_DISCOVERY_ARTICLES) -> DataFrame:
-    """Articles a discovery looks at: of one run, of a time window, or all up to ``cap``."""
-    n = F.count("*")
+                       start=None, end=None) -> DataFrame:
+    """Articles a discovery looks at: of one run, of a time window, or all."""
     if run is not None:
         rows = by_run(articles, run)
     elif time_column is not None:
         ts = F.col(time_column)
         rows = articles.where((ts >= instant(start)) & (ts < instant(end)))
     else:
-        rows, n = articles, F.least(n, F.lit(cap))
-    return rows.agg(n.cast("bigint").alias("candidate_articles_scanned"))
+        rows = articles
+    return rows.agg(F.count("*").alias("candidate_articles_scanned"))
 
 
 def stage_durations(metrics: DataFrame) -> DataFrame:

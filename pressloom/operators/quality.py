@@ -85,7 +85,7 @@ def page_audit(articles: DataFrame, early_stop_from, run: list[str], page: str =
                window_from=None, window_to=None) -> DataFrame:
     """Verdict per landed result page of a run, from its article rows (page, position).
 
-    Per page: fingerprint of the first uris, whether it was seen on an earlier page, the
+    Per page: fingerprint of all its uris in order, whether it was seen on an earlier page, the
     running streak of seen pages, uris first accepted here, oldest date, and what a fetch
     loop has to do after it: ``abort`` (third repeat in a row), ``last_page`` (short page),
     ``early_stop`` (second trustworthy page in a row beyond the boundary) or ``continue``.
@@ -102,10 +102,9 @@ def page_audit(articles: DataFrame, early_stop_from, run: list[str], page: str =
     accepted = rows.where(filled & inside)
     first_seen = accepted.groupBy(*run, "_uri").agg(F.min(seq).alias("_first"))
     new_uris = first_seen.groupBy(*run, F.col(f"_first.{page}").alias(page)).agg(F.count("*").alias("new_uris"))
-    in_page = Window.partitionBy(*run, page).orderBy(pos)
-    head = rows.where(filled).withColumn("_r", F.row_number().over(in_page)).where(F.col("_r") <= C.FINGERPRINT_URIS)
-    first_uris = F.transform(F.sort_array(F.collect_list(F.struct("_r", "_uri"))), lambda x: x["_uri"])
-    prints = head.groupBy(*run, page).agg(F.concat_ws("|", first_uris).alias("fingerprint"))
+    # A page holds at most ``page_size`` uris.
+    in_order = F.transform(F.sort_array(F.collect_list(F.struct(pos, "_uri"))), lambda x: x["_uri"])
+    prints = rows.where(filled).groupBy(*run, page).agg(F.concat_ws("|", in_order).alias("fingerprint"))
     pages = rows.groupBy(*run, page).agg(
         F.count("*").alias("articles"), F.min(F.when(filled, F.col(ts))).alias("oldest")
     )

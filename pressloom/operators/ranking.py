@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pressloom.session import materialize
+from pressloom.session import materialize, work_path
 
 
 def number_rows(df: DataFrame, by: list[str], order: list[Column], out: str = "rn") -> DataFrame:
@@ -74,9 +74,25 @@ def order_nulls_last(df: DataFrame, cols: list[str], descending: bool = False) -
     return df.orderBy(*[F.col(c).desc_nulls_last() if descending else F.col(c).asc_nulls_last() for c in cols])
 
 
-def capped_distinct(df: DataFrame, column: str, cap: int) -> DataFrame:
-    """At most ``cap`` distinct values, the smallest ones, so that the cap is repeatable."""
-    return df.select(column).where(F.col(column).isNotNull() & (F.col(column) != "")).distinct().orderBy(column).limit(cap)
+def capped_distinct(df: DataFrame, column: str, cap: int | None = None) -> DataFrame:
+    """Distinct filled values; with ``cap`` only that many, the smallest, so that the cut is repeatable."""
+    found = df.select(column).where(F.col(column).isNotNull() & (F.col(column) != "")).distinct()
+    return found if cap is None else found.orderBy(column).limit(cap)
+
+
+def written_places(df: DataFrame, out: str = "place") -> DataFrame:
+    """Write an ordered DataFrame and number its rows from 1 where they lie in the files."""
+    spark, path = df.sparkSession, work_path(df.sparkSession, "ordered")
+    df.write.parquet(path)
+    name, row = (fresh_name(df, n) for n in ("_file", "_row"))
+    lying = spark.read.schema(df.schema).parquet(path).select("*", F.col("_metadata.file_name").alias(name), F.col("_metadata.row_index").alias(row))
+    return number_rows(lying, [], [F.col(name).asc(), F.col(row).asc()], out).drop(name, row)
+
+
+def fresh_name(df: DataFrame, name: str) -> str:
+    while name in df.columns:
+        name += "_"
+    return name
 
 
 def latest(df: DataFrame, column: str, key: str, k: int) -> DataFrame:

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pressloom.contracts import RUN_KEY, SEED_RUN_ID
-from pressloom.functions.text import error_text
 from pressloom.operators.merge import backfill_defaults
 from pressloom.operators.ranking import number_rows
 
@@ -72,8 +71,7 @@ def mark_loaded(log: DataFrame, rows: DataFrame) -> DataFrame:
 
 
 def mark_failed(log: DataFrame, rows: DataFrame) -> DataFrame:
-    cut = rows.withColumn("error_message", error_text("error_message"))
-    return log.unionByName(log_rows(cut, "failed", ["error_code", "error_message"]))
+    return log.unionByName(log_rows(rows, "failed", ["error_code", "error_message"]))
 
 
 def fold_run_ledger(log: DataFrame, require_reserved: bool = True) -> DataFrame:
@@ -141,11 +139,13 @@ def assign_nth_run(runs: DataFrame, tie: str) -> DataFrame:
     return numbered.withColumn("nth_run", F.col("_rn").cast("int")).drop("_rn")
 
 
+PREFERRED_RUN_TYPES = ["seed", "scheduled", "backfill"]
+
+
 def run_priority(column: str = "run_type") -> Column:
-    return (
-        F.when(F.col(column) == "seed", 1).when(F.col(column) == "scheduled", 2)
-        .when(F.col(column) == "backfill", 3).otherwise(99)
-    )
+    """Place in the order of preference; unknown types come last."""
+    place = F.array_position(F.array(*[F.lit(t) for t in PREFERRED_RUN_TYPES]), F.col(column))
+    return F.when(place > 0, place).otherwise(len(PREFERRED_RUN_TYPES) + 1)
 
 
 def pick_run(runs: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from pressloom.functions.vectors import cosine, mean_vector
 from pressloom.operators.joins import lookup
+from pressloom.session import materialize
 
 CRITERIA = ["material_impact", "institutional_action", "scope_scale", "new_information"]
 
@@ -144,20 +145,24 @@ def pi_eval_metrics(results: DataFrame, by: list[str]) -> DataFrame:
     )
 
 
-def category_ancestors(categories: DataFrame, max_depth: int = 16) -> DataFrame:
+def category_ancestors(categories: DataFrame) -> DataFrame:
     """(uri, ancestor_uri, depth) along ``parent_uri``, nearest first.
 
-    A parent that is no row of the table is still an ancestor, and ends the walk. Cycles
-    end at ``max_depth``. The walk is a recursive query over the category table.
+    A parent that is no row of the table is still an ancestor, and ends the walk. Known
+    steps are doubled: ancestors of the deepest ancestors found so far are joined on, so a
+    chain of any length takes the logarithm of it in rounds. A pair that is known already is
+    not taken again, which ends cycles. Rounds are written to the shared folder.
     """
-    edges = categories.select("uri", "parent_uri").where("parent_uri IS NOT NULL")
-    return categories.sparkSession.sql(f"""
-        WITH RECURSIVE up(uri, ancestor_uri, depth) AS (
-            SELECT uri, parent_uri, 1 FROM {{edges}}
-            UNION ALL
-            SELECT up.uri, c.parent_uri, up.depth + 1
-            FROM up JOIN {{edges}} c ON c.uri = up.ancestor_uri
-            WHERE up.depth < {int(max_depth)}
-        )
-        SELECT uri, ancestor_uri, CAST(MIN(depth) AS BIGINT) AS depth FROM up GROUP BY uri, ancestor_uri
-    """, edges=edges)
+    edges = categories.select("uri", F.col("parent_uri").alias("ancestor_uri")).where("ancestor_uri IS NOT NULL").distinct()
+    found = materialize(edges.withColumn("depth", F.lit(1).cast("bigint")), "ancestors")
+    reach = 1
+    while True:
+        deepest = found.where(F.col("depth") == reach).select("uri", F.col("ancestor_uri").alias("_via"))
+        onward = found.select(F.col("uri").alias("_via"), F.col("ancestor_uri").alias("_next"), F.col("depth").alias("_more"))
+        steps = deepest.join(onward, "_via").groupBy("uri", F.col("_next").alias("ancestor_uri")).agg(
+            (F.min("_more") + reach).alias("depth"))
+        new = materialize(steps.join(found.select("uri", "ancestor_uri"), ["uri", "ancestor_uri"], "left_anti"), "ancestors")
+        if new.isEmpty():
+            return found
+        found = found.unionByName(new)
+        reach *= 2

@@ -46,6 +46,24 @@ def _loaded(store: TableStore, run: dict) -> bool:
     return not ledger.where((F.col("status") == "loaded") & F.col("load_completed_at").isNotNull()).isEmpty()
 
 
+SKIPPED = "skipped_duplicate"
+
+
+def _skipped(store: TableStore, run: dict, manifest: dict, run_dir: str, as_of) -> bool:
+    """Whether the run is loaded already; then a report of the skip is left in its folder."""
+    if not _loaded(store, run):
+        return False
+    write_row_json(_skip_row(store.spark, manifest, run_dir, as_of), f"{run_dir}/load_report_skipped.json", True)
+    return True
+
+
+def last_in_file_order(staged: DataFrame, key: list[str]) -> DataFrame:
+    """The last row per key, by file name and place in the file. A file with line breaks in its
+    cells is read by one task, so the row ids of a scan rise along it."""
+    placed = staged.withColumns({"_path": F.col("_metadata.file_path"), "_place": F.monotonically_increasing_id()})
+    return merge.dedupe_last(placed, key, ["_path", "_place"]).drop("_path", "_place")
+
+
 def _changes(merged: DataFrame) -> DataFrame:
     return merged.where(F.col("_action").isin(merge.INSERTED, merge.UPDATED))
 
@@ -58,18 +76,22 @@ def _bridge_delta(staged: DataFrame, links: DataFrame, value: str) -> DataFrame:
 def load_articles(store: TableStore, run_dir: str, manifest: dict, as_of, on_duplicate: str = "error") -> str:
     """Load one article artifact; a run that is already loaded is skipped.
 
-    Only rows of staged keys are read back from the large tables and only changed rows are
+    A uri that is staged more than once fails the load, or with ``on_duplicate="last"`` its last
+    row in the files counts, for everything that follows. Only rows of staged keys are read back from the large tables and only changed rows are
     written. Returns the status.
     """
     spark, run = store.spark, run_of(manifest)
-    if _loaded(store, run):
-        write_row_json(_skip_row(spark, manifest, run_dir, as_of), f"{run_dir}/load_report_skipped.json", True)
-        return "skipped_duplicate"
-    staged = scan_csv(spark, f"{run_dir}/{C.ARTICLES.data_file}", C.ARTICLES).persist(StorageLevel.MEMORY_AND_DISK)
+    if _skipped(store, run, manifest, run_dir, as_of):
+        return SKIPPED
+    staged = None
     try:
+        staged = scan_csv(spark, f"{run_dir}/{C.ARTICLES.data_file}", C.ARTICLES)
+        if on_duplicate == "last":
+            staged = last_in_file_order(staged, ["uri"])
+        staged = staged.persist(StorageLevel.MEMORY_AND_DISK)
         typed = casts.cast_articles(staged, run)
         keys = typed.select("uri")
-        merged = merge.upsert_articles(store.read("articles", keys), typed, as_of, on_duplicate=on_duplicate)
+        merged = merge.upsert_articles(store.read("articles", keys), typed, as_of)
         synced = dims.sync_source_uri(merged, staged, as_of)
         synced = synced.persist(StorageLevel.MEMORY_AND_DISK)
         counts = _small(merge.merge_counts(synced))
@@ -107,7 +129,8 @@ def load_articles(store: TableStore, run_dir: str, manifest: dict, as_of, on_dup
         _publish_failure(store, run, as_of, error)
         raise
     finally:
-        staged.unpersist()
+        if staged is not None:
+            staged.unpersist()
 
 
 def _publish_failure(store: TableStore, run: dict, as_of, error: Exception) -> None:
@@ -123,9 +146,9 @@ def _loaded_log(spark: SparkSession, run: dict, as_of, counts: dict) -> DataFram
 
 
 def _skip_row(spark: SparkSession, manifest: dict, run_dir: str, as_of) -> DataFrame:
-    values = {k: manifest[k] for k in ("artifact_contract_version", *C.RUN_KEY)}
+    values = {k: manifest.get(k) for k in ("artifact_contract_version", *C.RUN_KEY)}
     return spark.range(1).select(
-        *[F.lit(v).alias(k) for k, v in values.items()],
+        *[(F.lit(None).cast("string") if v is None else F.lit(v)).alias(k) for k, v in values.items()],
         F.lit(run_dir).alias("artifacts_dir"), instant(as_of).alias("load_completed_at"),
         F.lit("skipped_duplicate").alias("pipeline_status"),
         F.lit("pipeline_run_already_loaded").alias("skip_reason"),
@@ -133,13 +156,17 @@ def _skip_row(spark: SparkSession, manifest: dict, run_dir: str, as_of) -> DataF
 
 
 def load_events(store: TableStore, run_dir: str, manifest: dict, as_of, touch_unchanged: bool = False) -> str:
-    """Load one event artifact. A manifest that reports no events has nothing to load."""
+    """Load one event artifact; a run that is already loaded is skipped, and a manifest that
+    reports no events has nothing to load."""
     spark = store.spark
     if not manifest.get("events_fetched"):
         return "loaded_zero_events"
     run = run_of(manifest)
-    staged = scan_csv(spark, f"{run_dir}/{C.EVENTS.data_file}", C.EVENTS).persist(StorageLevel.MEMORY_AND_DISK)
+    if _skipped(store, run, manifest, run_dir, as_of):
+        return SKIPPED
+    staged = None
     try:
+        staged = scan_csv(spark, f"{run_dir}/{C.EVENTS.data_file}", C.EVENTS).persist(StorageLevel.MEMORY_AND_DISK)
         typed = casts.cast_events(staged)
         merged = merge.upsert_events(store.read("events", typed), typed, as_of, touch_unchanged)
         merged = merged.persist(StorageLevel.MEMORY_AND_DISK)
@@ -164,21 +191,45 @@ def load_events(store: TableStore, run_dir: str, manifest: dict, as_of, touch_un
         _publish_failure(store, run, as_of, error)
         raise
     finally:
-        staged.unpersist()
+        if staged is not None:
+            staged.unpersist()
 
 
 def load_headlines(store: TableStore, run_dir: str, manifest: dict, as_of) -> dict:
-    """Load one headline artifact; returns the merge counts."""
-    run = {k: manifest[k] for k in ("ingestion_source", "run_id", "collected_at")}
-    staged = scan_csv(store.spark, f"{run_dir}/{C.HEADLINES.data_file}", C.HEADLINES)
-    typed = casts.cast_headlines(staged, run)
-    merged = merge.upsert_headlines(store.read("headlines", typed), typed, as_of).persist(StorageLevel.MEMORY_AND_DISK)
-    counts = merge.merge_counts(merged).first().asDict()
+    """Load one headline artifact; returns its status and the merge counts.
+
+    A run that is already loaded is skipped and counts nothing. As for the other artifacts, a
+    report is left in the run's folder and a failure is recorded in the ledger.
+    """
+    spark = store.spark
     key = {**manifest, "run_type": manifest.get("run_type") or "scheduled", "nth_run": manifest.get("nth_run") or 1}
-    log = _loaded_log(store.spark, key, as_of, counts)
-    store.publish({"headlines": _changes(merged).drop("_action"), "run_log": log})
-    merged.unpersist()
-    return counts
+    run = run_of(key)
+    if _skipped(store, run, key, run_dir, as_of):
+        return {"status": SKIPPED}
+    staged = None
+    try:
+        staged = scan_csv(spark, f"{run_dir}/{C.HEADLINES.data_file}", C.HEADLINES).persist(StorageLevel.MEMORY_AND_DISK)
+        typed = casts.cast_headlines(staged, {k: key[k] for k in ("ingestion_source", "run_id", "collected_at")})
+        merged = merge.upsert_headlines(store.read("headlines", typed), typed, as_of).persist(StorageLevel.MEMORY_AND_DISK)
+        counts = _small(merge.merge_counts(merged))
+        values = counts.first().asDict()
+        store.publish({"headlines": _changes(merged).drop("_action"), "run_log": _loaded_log(spark, run, as_of, values)})
+        write_row_json(_headline_report(counts, key, run_dir, as_of), f"{run_dir}/{C.HEADLINES.report_file}", True)
+        merged.unpersist()
+        return {"status": "loaded", **values}
+    except Exception as error:
+        _publish_failure(store, run, as_of, error)
+        raise
+    finally:
+        if staged is not None:
+            staged.unpersist()
+
+
+def _headline_report(counts: DataFrame, run: dict, run_dir: str, as_of) -> DataFrame:
+    """One row: the run, its merge counts and times."""
+    return counts.select(
+        *[F.lit(run[k]).alias(k) for k in C.RUN_KEY], "*", F.lit(run_dir).alias("artifacts_dir"),
+        instant(as_of).alias("load_started_at"), instant(as_of).alias("load_completed_at"), F.lit("loaded").alias("pipeline_status"))
 
 
 def collect_events(store: TableStore, parent: dict, as_of, **flags) -> DataFrame:

@@ -20,21 +20,21 @@ def assign_cycles(df: DataFrame, ts: str, cycle_hours: int, lookback_hours: int,
     }).drop("_w")
 
 
-def own_cycle(ts: str, cycle_hours: int) -> Column:
-    """End of the cycle a row belongs to by its own time."""
-    seconds = cycle_hours * 3600
-    return F.timestamp_seconds((F.floor(F.unix_seconds(F.col(ts)) / seconds) + 1) * seconds)
+def own_cycle(ts: str, cycle_hours: int, offset_hours: int = 0) -> Column:
+    """End of the cycle a row belongs to by its own time, on the grid of ``assign_cycles``."""
+    seconds, shift = cycle_hours * 3600, offset_hours * 3600
+    return F.timestamp_seconds((F.floor((F.unix_seconds(F.col(ts)) - shift) / seconds) + 1) * seconds + shift)
 
 
 def late_articles(sightings: DataFrame, ts: str, seen_at: str, cycle_hours: int, lookback_hours: int,
-                  key: str = "uri") -> DataFrame:
+                  key: str = "uri", offset_hours: int = 0) -> DataFrame:
     """Rows first caught by a later run than their own cycle, with their delay in cycles.
 
     The first run is the first cycle boundary after the row became visible; a row that
     became visible after its last covering run was missed altogether.
     """
     per_key = sightings.groupBy(key).agg(F.min(ts).alias(ts), F.min(seen_at).alias(seen_at))
-    own, first = own_cycle(ts, cycle_hours), own_cycle(seen_at, cycle_hours)
+    own, first = (own_cycle(c, cycle_hours, offset_hours) for c in (ts, seen_at))
     first = F.greatest(own, first)
     late = (F.unix_seconds(first) - F.unix_seconds(own)) / F.lit(cycle_hours * 3600)
     caught = F.col(ts) >= first - hours(lookback_hours)

@@ -41,7 +41,7 @@ def test_life_of_a_run(spark):
     log = runs.mark_load_started(log, event(spark, "2026-01-02 02:00:00"))
     log = runs.mark_failed(log, event(spark, "2026-01-02 02:05:00", error_code="loader_error", error_message="x" * 3000))
     failed = runs.fold_run_ledger(log)
-    assert rows(failed, "status", "error_code", F.length("error_message"), "articles_fetched") == [("failed", "loader_error", 2000, 10)]
+    assert rows(failed, "status", "error_code", F.length("error_message"), "articles_fetched") == [("failed", "loader_error", 3000, 10)]
     log = runs.mark_load_started(log, event(spark, "2026-01-02 03:00:00"))
     log = runs.mark_loaded(log, event(spark, "2026-01-02 03:05:00", rows_loaded=8, db_rows_inserted=5, db_rows_updated=3))
     done = runs.fold_run_ledger(log)
