@@ -7,8 +7,8 @@ sentences and ``RUN_WORDS`` words. A run that stands in more than one place is r
 place, by document id and position, stays, and the sentences of every other place are removed.
 
 * Runs are hashed to two 64-bit numbers. A first, map-side combining count finds the hashes that
-  occur twice; only their places are joined back and compared on both numbers. The joins are plain
-  equi-joins that may split a hash with very many places.
+  occur twice; only their places are joined back, stored, and compared on both numbers. The joins
+  are plain equi-joins that may split a hash with very many places.
 * A document is told by its id and its text, so rows of one id do not mix.
 
 Edge cases: null stays null and empty stays empty; texts without a whole run are unchanged; rows
@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from pressloom.llm.common import batchwise, merge_spans
 from pressloom.llm.shingles import mix
+from pressloom.session import materialize
 
 STOPS = frozenset(".!?")
 LONGEST = 8
@@ -74,15 +75,15 @@ def run_ends(counts: np.ndarray) -> np.ndarray:
     return np.maximum(np.arange(len(counts)) + RUN_SENTENCES, np.searchsorted(words, words[:-1] + RUN_WORDS))
 
 
-def runs(text: str, powers: Powers) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Start, number of sentences and the two hashes of each run."""
+def runs(text: str, powers: Powers) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and the two hashes of each run."""
     parts = sentences(text)
     n = len(parts)
     ends = run_ends(np.fromiter(map(len, parts), np.int64, n))
     starts = np.flatnonzero(ends <= n)
     if not len(starts):
         none = np.empty(0, np.int64)
-        return none, none, none, none
+        return none, none, none
     ends = ends[starts]
     digests = b"".join([xxhash.xxh3_128_digest(" ".join(p).lower().encode("utf-8", "replace")) for p in parts])
     lanes = np.frombuffer(digests, "<u8").reshape(-1, 2)
@@ -92,16 +93,19 @@ def runs(text: str, powers: Powers) -> tuple[np.ndarray, np.ndarray, np.ndarray,
     for lane in range(2):
         total = np.concatenate([np.zeros(1, np.uint64), (lanes[:, lane] * up[:n]).cumsum(dtype=np.uint64)])
         hashes.append(mix((total[ends] - total[starts]) * down[starts] + length).view(np.int64))
-    return starts, ends - starts, hashes[0], hashes[1]
+    return starts, hashes[0], hashes[1]
 
 
-def remove(text: str, places: list[tuple[int, int]]) -> str:
-    """The text without the sentences of the places (start and number); other characters stay."""
-    gone = merge_spans([(s, s + n) for s, n in places])
-    if not gone:
-        return text
+def covered(parts: list[list[str]], starts: list[int]) -> list[tuple[int, int]]:
+    """Merged spans of the sentences under the runs that begin at ``starts``."""
+    ends = run_ends(np.fromiter(map(len, parts), np.int64, len(parts)))
+    return merge_spans([(s, int(ends[s])) for s in starts])
+
+
+def remove(text: str, parts: list[list[str]], gone: list[tuple[int, int]]) -> str:
+    """The text without the given spans of its sentences; other characters stay."""
     begins, at = [], 0
-    for part in sentences(text):
+    for part in parts:
         for i, w in enumerate(part):
             at = text.index(w, at)
             if i == 0:
@@ -126,50 +130,51 @@ def run_table(docs: DataFrame, key: str, text: str, places: bool) -> DataFrame:
     picked = docs.select(*_identity(key, text), F.col(text).alias("text")).where("text IS NOT NULL")
     if not places:
         picked = picked.select("text")
-    names = ["no_id", "d", "t", "start", "size", "h", "g"] if places else ["h"]
+    names = ["no_id", "d", "t", "start", "h", "g"] if places else ["h"]
 
     def run(batches):
         powers = Powers()
         for batch in batches:
             found = [runs(x.as_py(), powers) for x in batch.column(batch.num_columns - 1)]
             sizes = [len(f[0]) for f in found]
-            joined = [np.concatenate([f[i] for f in found]) for i in range(4)]
+            joined = [np.concatenate([f[i] for f in found]) for i in range(3)]
             if not places:
-                yield pa.RecordBatch.from_arrays([pa.array(joined[2])], names)
+                yield pa.RecordBatch.from_arrays([pa.array(joined[1])], names)
                 continue
             rows = pa.array(np.repeat(np.arange(len(found)), sizes))
             yield pa.RecordBatch.from_arrays(
-                [*[batch.column(i).take(rows) for i in range(3)], pa.array(joined[0].astype(np.int32)), pa.array(joined[1].astype(np.int32)),
-                 pa.array(joined[2]), pa.array(joined[3])], names)
+                [*[batch.column(i).take(rows) for i in range(3)], pa.array(joined[0].astype(np.int32)), pa.array(joined[1]), pa.array(joined[2])], names)
 
-    schema = "no_id boolean, d bigint, t int, start int, size int, h bigint, g bigint" if places else "h bigint"
+    schema = "no_id boolean, d bigint, t int, start int, h bigint, g bigint" if places else "h bigint"
     return batchwise(picked, run, schema)
 
 
 def repeated_places(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(no_id, d, t, start, size) of every run that is repeated and not the first of its kind."""
+    """(no_id, d, t, start) of every run that is repeated and not the first of its kind."""
     twice = run_table(docs, key, text, False).groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
-    near = run_table(docs, key, text, True).join(twice, "h")
+    near = materialize(run_table(docs, key, text, True).join(twice, "h"), "near-runs")
     place = F.struct("no_id", "d", "t", "start")
     firsts = near.groupBy("h", "g").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first != last").drop("last")
-    return near.join(firsts, ["h", "g"]).where(place != F.col("first")).select("no_id", "d", "t", "start", "size")
+    return near.join(firsts, ["h", "g"]).where(place != F.col("first")).select("no_id", "d", "t", "start")
 
 
 def dedup_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: doc_id, n_sentences, n_removed and the text without repeated runs."""
     places = repeated_places(docs, key, text)
-    per_doc = places.groupBy("no_id", "d", "t").agg(F.collect_set(F.struct("start", "size")).alias("places"))
+    per_doc = places.groupBy("no_id", "d", "t").agg(F.collect_set("start").alias("starts"))
     picked = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"), *_identity(key, text))
-    joined = picked.join(per_doc, ["no_id", "d", "t"], "left").select("doc_id", "text", "places")
+    joined = picked.join(per_doc, ["no_id", "d", "t"], "left").select("doc_id", "text", "starts")
 
     def run(batches):
         for batch in batches:
             out, counts, gone = [], [], []
             for value, listed in zip(batch.column(1), batch.column(2)):
-                one, spans = value.as_py(), [(p["start"], p["size"]) for p in listed.as_py() or ()]
-                out.append(remove(one, spans) if spans else one)
-                counts.append(0 if one is None else len(sentences(one)))
-                gone.append(sum(e - s for s, e in merge_spans([(s, s + n) for s, n in spans])))
+                one, starts = value.as_py(), listed.as_py()
+                parts = sentences(one or "")
+                spans = covered(parts, starts) if starts else []
+                out.append(remove(one, parts, spans) if spans else one)
+                counts.append(len(parts))
+                gone.append(sum(e - s for s, e in spans))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(gone, pa.int64()), pa.array(out, pa.string())],
                                              ["doc_id", "n_sentences", "n_removed", "text"])
 
