@@ -300,7 +300,7 @@ def narrative_propagation(t: Tables) -> DataFrame:
 @query("coverage_heatmap", with_fx("articles") + """
 SELECT event_uri, source_uri, count(*) AS coverage FROM fx_articles GROUP BY ALL""")
 def coverage_heatmap(t: Tables) -> DataFrame:
-    return t.fx("articles").groupBy("event_uri", "source_uri").agg(F.count("*").alias("coverage"))
+    return coverage.event_outlet_counts(t.fx("articles"))
 
 
 @query("v_heatmap", with_fx("enriched", "outlets") + """

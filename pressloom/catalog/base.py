@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -57,11 +58,15 @@ class Tables:
     def fx(self, name: str) -> DataFrame:
         """A projection; its SQL text is the one the oracle uses."""
         text = PROJECTIONS[name]
-        inputs = set(re.findall(r"\$(\w+)", text))
-        for one in inputs:
+        # Views of their own names, gone once the statement is analysed.
+        views = {one: f"src_{one}_{uuid.uuid4().hex}" for one in set(re.findall(r"\$(\w+)", text))}
+        for one, view in views.items():
             source = self.fx(one) if one in PROJECTIONS else self.raw(one)
-            source.createOrReplaceTempView(f"src_{one}")
-        return self.spark.sql(re.sub(r"\$(\w+)", r"src_\1", text))
+            source.createOrReplaceTempView(view)
+        found = self.spark.sql(re.sub(r"\$(\w+)", lambda m: views[m[1]], text))
+        for view in views.values():
+            self.spark.catalog.dropTempView(view)
+        return found
 
 
 def with_fx(*names: str, more: str = "") -> str:

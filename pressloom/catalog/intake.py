@@ -342,7 +342,7 @@ def missing_uris(t: Tables) -> DataFrame:
 SELECT 'doc-' || doc_id AS uri FROM documents EXCEPT SELECT 'doc-' || doc_id FROM labels""")
 def set_difference(t: Tables) -> DataFrame:
     uri = F.concat(F.lit("doc-"), "doc_id").alias("uri")
-    return t.raw("documents").select(uri).join(t.raw("labels").select(uri), "uri", "left_anti")
+    return discover.without(t.raw("documents").select(uri), t.raw("labels").select(uri))
 
 
 @query("missing_uri_report", """

@@ -94,6 +94,11 @@ def source_specialization(articles: DataFrame, k: int = 50) -> DataFrame:
     )
 
 
+def event_outlet_counts(articles: DataFrame) -> DataFrame:
+    """Articles per event and source uri, the cells of the coverage heat map."""
+    return articles.groupBy("event_uri", "source_uri").agg(F.count("*").alias("coverage"))
+
+
 def event_source_coverage(articles: DataFrame) -> DataFrame:
     return articles.groupBy("event_uri", source_title().alias("source_title")).agg(F.count("*").alias("articles"))
 

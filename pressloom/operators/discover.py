@@ -57,9 +57,14 @@ def stale_events(events: DataFrame, as_of, stale_after_hours: int = C.STALE_AFTE
     return events.where(F.col("last_collected_at") < instant(as_of) - hours(stale_after_hours))
 
 
+def without(requested: DataFrame, found: DataFrame, uri: str = "uri") -> DataFrame:
+    """Rows whose uri was not found."""
+    return requested.join(found.select(uri).distinct(), uri, "left_anti")
+
+
 def missing_uris(requested: DataFrame, found: DataFrame, uri: str = "uri") -> DataFrame:
     """Requested uris that were not found, in request order (``position``)."""
-    return requested.join(found.select(uri).distinct(), uri, "left_anti").orderBy("position")
+    return without(requested, found, uri).orderBy("position")
 
 
 def fetch_batches(selected: DataFrame, numbered: DataFrame | None = None, size: int = C.EVENT_BATCH_SIZE) -> DataFrame:

@@ -181,6 +181,14 @@ def test_cycles(spark):
     assert rows(got) == [("03:59", "04:00"), ("03:59", "08:00"), ("04:00", "08:00"), ("04:00", "12:00")]
 
 
+def test_late_rows_on_a_shifted_grid(spark):
+    """Daily windows that end at 10:00: seen before that, a row is on time."""
+    df = spark.sql("""SELECT 'on time' uri, timestamp'2026-01-01 01:00:00' ts, timestamp'2026-01-01 09:00:00' seen
+        UNION ALL SELECT 'late', timestamp'2026-01-01 09:00:00', timestamp'2026-01-01 11:00:00'""")
+    assert rows(cycles.late_articles(df, "ts", "seen", 24, 48, offset_hours=10), "uri", "cycles_late", "caught") == [("late", 1, True)]
+    assert cycles.late_articles(df, "ts", "seen", 24, 48).isEmpty()
+
+
 def test_late_rows(spark):
     df = spark.sql("""SELECT 'on time' uri, timestamp'2026-01-01 01:00:00' ts, timestamp'2026-01-01 02:00:00' seen
         UNION ALL SELECT 'late', timestamp'2026-01-01 01:00:00', timestamp'2026-01-01 05:00:00'
