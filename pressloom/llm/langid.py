@@ -20,6 +20,7 @@ extra columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -32,13 +33,22 @@ from pressloom.operators.joins import lookup
 
 ORDER = 4
 WORDS_KEPT = 200_000
+STEPS_KEPT = 400_000
 LONG_WORD = 64
+SLICE = 50_000  # words of a text handled at once
 
 
 def lowered(text: str) -> bytes:
     return text.lower().encode("utf-8", "replace")
 
 
+class Rows(dict):
+    """Row by key, -1 for a key it does not hold."""
+
+    def __missing__(self, key: bytes) -> int:
+        return -1
+
+
 def steps(word: bytes, order: int) -> list[bytes]:
     """For each byte of a word and the blank after it: its context and itself, as one string."""
     s = b" " + word + b" "
@@ -60,9 +70,11 @@ class ContextTrees:
         self._forget()
 
     def _forget(self) -> None:
-        """Drop what was remembered of words; code lengths of steps stay few and are kept."""
-        self.word_rows: dict[bytes, int] = {}
+        """Nothing is remembered yet. Words: the first ``WORDS_KEPT`` met, which hold the common ones."""
+        self.word_rows, self.step_rows = Rows(), Rows()
+        self.totals: dict[int, int] = {}
         self.word_bits = np.empty((WORDS_KEPT, len(self.languages)))
+        self.step_bits = np.empty((STEPS_KEPT, len(self.languages)))
 
     def __getstate__(self):
         return {"order": self.order, "languages": self.languages, "trees": self.trees}
@@ -74,60 +86,86 @@ class ContextTrees:
     def bits(self, tree: dict[bytes, dict[int, int]], gram: bytes) -> float:
         """Code length of the last byte of ``gram`` after the bytes before it."""
         context, byte = gram[:-1], gram[-1]
-        out, excluded = 0.0, set()
+        odds, excluded = 1.0, frozenset()
         for start in range(len(context) + 1):
             node = tree.get(context[start:])
             if not node:
                 continue
-            seen = {b: n for b, n in node.items() if b not in excluded} if excluded else node
-            if not seen:
-                continue
-            total = sum(seen.values()) + len(seen)
-            if byte in seen:
-                return out - np.log2(seen[byte] / total)
-            out -= np.log2(len(seen) / total)
-            excluded.update(seen)
-        return out + np.log2(max(1, 256 - len(excluded)))
-
-    def step_bits(self, gram: bytes) -> np.ndarray:
-        cache = self.__dict__.setdefault("step_cache", {})
-        found = cache.get(gram)
+            # Counts of bytes that longer contexts have not excluded already.
+            total, distinct = self._total(node), len(node)
+            if excluded:
+                both = excluded & node.keys()
+                total -= sum(map(node.__getitem__, both))
+                distinct -= len(both)
+            if byte in node:
+                return -math.log2(odds * node[byte] / (total + distinct))
+            if distinct:
+                odds *= distinct / (total + distinct)
+                excluded = excluded | node.keys()
+        return -math.log2(odds / max(1, 256 - len(excluded)))
+
+    def _total(self, node: dict[int, int]) -> int:
+        found = self.totals.get(id(node))
         if found is None:
-            if len(cache) > WORDS_KEPT:
-                cache.clear()
-            found = cache[gram] = np.array([self.bits(tree, gram) for tree in self.trees])
+            found = self.totals[id(node)] = sum(node.values())
         return found
 
-    def word(self, word: bytes) -> np.ndarray:
-        out = np.zeros(len(self.languages))
-        for gram in steps(word, self.order):
-            out += self.step_bits(gram)
-        return out
+    def _steps_of(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Code lengths of all steps of the words, and where each word begins among them."""
+        lists = [steps(w, self.order) for w in words]
+        flat = [gram for one in lists for gram in one]
+        known = self.step_rows
+        rows = np.fromiter(map(known.__getitem__, flat), np.int64, len(flat))
+        new = {flat[i] for i in np.flatnonzero(rows < 0)}
+        if new:
+            if len(known) + len(new) > STEPS_KEPT:
+                known.clear()
+                new = set(flat)
+            for gram in new:
+                self.step_bits[len(known)] = [self.bits(tree, gram) for tree in self.trees]
+                known[gram] = len(known)
+            rows = np.fromiter(map(known.__getitem__, flat), np.int64, len(flat))
+        return self.step_bits[rows], np.cumsum([0, *map(len, lists[:-1])])
+
+    def words(self, words: list[bytes]) -> np.ndarray:
+        """Code length of each word under each language."""
+        bits, begins = self._steps_of(words)
+        return np.add.reduceat(bits, begins, axis=0)
 
     def text(self, text: str) -> np.ndarray:
         """Code length of the whole text under each language."""
         words = lowered(text).split()
         out = np.zeros(len(self.languages))
-        for at in range(0, len(words), WORDS_KEPT // 4):
-            out += self._some(words[at:at + WORDS_KEPT // 4])
+        for at in range(0, len(words), SLICE):
+            part = words[at:at + SLICE]
+            rows = np.fromiter(map(self.word_rows.__getitem__, part), np.int64, len(part))
+            out += self.word_bits[rows[rows >= 0]].sum(axis=0)
+            missing = [part[i] for i in np.flatnonzero(rows < 0)]
+            # A very long word has more steps than are remembered at once.
+            out += sum((self._long(w) for w in missing if len(w) > LONG_WORD), np.zeros(len(self.languages)))
+            short = [w for w in missing if len(w) <= LONG_WORD]
+            for low in range(0, len(short), 2000):
+                out += self._new(short[low:low + 2000])
         return out
 
-    def _some(self, words: list[bytes]) -> np.ndarray:
-        if len(self.word_rows) + len(words) > WORDS_KEPT:
-            self._forget()
-        rows, kept = self.word_rows, []
-        long = np.zeros(len(self.languages))
-        for w in words:
-            row = rows.get(w)
-            if row is None:
-                cost = self.word(w)
-                if len(w) > LONG_WORD:
-                    long += cost
-                    continue
-                row = rows[w] = len(rows)
-                self.word_bits[row] = cost
-            kept.append(row)
-        return long + self.word_bits[kept].sum(axis=0)
+    def _new(self, words: list[bytes]) -> np.ndarray:
+        costs = self.words(words)
+        for w, cost in zip(words, costs):
+            if len(self.word_rows) >= WORDS_KEPT:
+                break
+            if w not in self.word_rows:
+                self.word_bits[len(self.word_rows)] = cost
+                self.word_rows[w] = len(self.word_rows)
+        return costs.sum(axis=0)
+
+    def _long(self, word: bytes) -> np.ndarray:
+        """A word that is not remembered, byte by byte."""
+        s, out = b" " + word + b" ", np.zeros(len(self.languages))
+        for at in range(1, len(s), 10_000):
+            grams = Counter(s[max(0, i - self.order):i + 1] for i in range(at, min(at + 10_000, len(s))))
+            for gram, n in grams.items():
+                out += [n * self.bits(tree, gram) for tree in self.trees]
+        return out
 
 
 def _grams(docs: DataFrame, order: int, limit: int = 100_000) -> DataFrame:

@@ -353,7 +353,9 @@ def test_code_lengths_are_a_distribution():
     trees = langid.ContextTrees([("a", b" th", 3), ("a", b"th", 3), ("a", b"h", 3), ("a", b" t", 5), ("a", b"t", 9), ("a", b"e", 4)], 3)
     for context in (b"", b" ", b" t", b"t", b"q"):
         assert sum(2 ** -trees.bits(trees.trees[0], context + bytes([b])) for b in range(256)) == pytest.approx(1)
-    assert trees.text("The hat")[0] == pytest.approx(trees.word(b"the")[0] + trees.word(b"hat")[0])
+    assert trees.text("The hat " + "ht" * 100)[0] == pytest.approx(trees.words([b"the", b"hat", b"ht" * 100])[:, 0].sum())
+    slow = sum(trees.bits(trees.trees[0], gram) for w in (b"the", b"hat") for gram in langid.steps(w, 3))
+    assert trees.text("the hat the")[0] == pytest.approx(slow + trees.words([b"the"])[0, 0])
 
 
 def test_span_dedup(spark, docs, mixed):
