@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pressloom.llm import decontaminate, hmm, langid, mixing, neardup, pii, quality, secrets, spans, warc
+from pressloom.llm import decontaminate, hmm, langid, mixing, neardup, oracles, pii, quality, secrets, spans, warc
 from pressloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,7 +23,7 @@ def query(name: str, sql: str | None = None):
     return register
 
 
-@query("op2_benchmark_decontamination")
+@query("op2_benchmark_decontamination", oracles.DECONTAMINATION)
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -33,12 +33,12 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents"))
 
 
-@query("op6_minhash_near_dedup")
+@query("op6_minhash_near_dedup", oracles.NEAR_GROUPS)
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_groups(table(spark, sf_dir, "documents"), size=4)
 
 
-@query("op8_quality_rules")
+@query("op8_quality_rules", oracles.QUALITY)
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.profile(table(spark, sf_dir, "documents"))
 
@@ -68,6 +68,6 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spans.dedup_spans(table(spark, sf_dir, "documents"))
 
 
-@query("op3_warc_chunk_records")
+@query("op3_warc_chunk_records", oracles.ARCHIVES)
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.report(table(spark, sf_dir, "pages"))
