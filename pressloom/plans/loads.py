@@ -12,7 +12,7 @@ from pressloom.operators import casts, dims, discover, merge, metrics, runs
 from pressloom.operators.ranking import sample_uris
 from pressloom.plans.store import TableStore
 from pressloom.sinks.artifacts import write_row_json
-from pressloom.sources.files import scan_csv
+from pressloom.sources.files import scan_articles_jsonl, scan_csv
 
 
 METRIC_COLUMNS = [*C.METRIC_KEY, "metric_value", "stage_started_at", "stage_completed_at", "created_at"]
@@ -49,6 +49,14 @@ def _loaded(store: TableStore, run: dict) -> bool:
 SKIPPED = "skipped_duplicate"
 
 
+def _staged_articles(spark: SparkSession, run_dir: str, data: str) -> DataFrame:
+    if data == "jsonl":
+        return scan_articles_jsonl(spark, f"{run_dir}/{C.ARTICLES.name}.jsonl").select(*C.ARTICLES.columns)
+    if data != "csv":
+        raise ValueError(f"unknown data format {data}")
+    return scan_csv(spark, f"{run_dir}/{C.ARTICLES.data_file}", C.ARTICLES)
+
+
 def _skipped(store: TableStore, run: dict, manifest: dict, run_dir: str, as_of) -> bool:
     """Whether the run is loaded already; then a report of the skip is left in its folder."""
     if not _loaded(store, run):
@@ -73,11 +81,12 @@ def _bridge_delta(staged: DataFrame, links: DataFrame, value: str) -> DataFrame:
     return dims.staged_uris(staged).join(links, "article_uri", "left").select("article_uri", value)
 
 
-def load_articles(store: TableStore, run_dir: str, manifest: dict, as_of, on_duplicate: str = "error") -> str:
+def load_articles(store: TableStore, run_dir: str, manifest: dict, as_of, on_duplicate: str = "error", data: str = "csv") -> str:
     """Load one article artifact; a run that is already loaded is skipped.
 
     A uri that is staged more than once fails the load, or with ``on_duplicate="last"`` its last
-    row in the files counts, for everything that follows. Only rows of staged keys are read back from the large tables and only changed rows are
+    row in the files counts, for everything that follows. ``data="jsonl"`` reads the JSONL twin
+    of the artifact, which can be split, instead of the CSV. Only rows of staged keys are read back from the large tables and only changed rows are
     written. Returns the status.
     """
     spark, run = store.spark, run_of(manifest)
@@ -85,7 +94,7 @@ def load_articles(store: TableStore, run_dir: str, manifest: dict, as_of, on_dup
         return SKIPPED
     staged = None
     try:
-        staged = scan_csv(spark, f"{run_dir}/{C.ARTICLES.data_file}", C.ARTICLES)
+        staged = _staged_articles(spark, run_dir, data)
         if on_duplicate == "last":
             staged = last_in_file_order(staged, ["uri"])
         staged = staged.persist(StorageLevel.MEMORY_AND_DISK)

@@ -68,6 +68,23 @@ def test_two_loads(spark, folder, store):
     assert snapshot(store) == want
 
 
+def test_csv_and_jsonl_give_the_same_tables(spark, folder):
+    stores = {}
+    for data in ("csv", "jsonl"):
+        store = stores[data] = TableStore(spark, f"{folder}/{data}")
+        for day, listed in (("17", DAY1), ("18", DAY2)):
+            run = {"ingestion_source": C.ARTICLE_INGESTION_SOURCE, "run_id": f"2026-03-{day}T10:00:00.000Z", "run_type": "scheduled", "nth_run": 1}
+            df = articles(spark, *listed)
+            records = df.select(F.to_json(F.struct(*df.columns)).alias("value"))
+            target = artifacts.write_run_artifact(df, f"{folder}/land-{data}", run, records=records)
+            manifest = {**MANIFEST, **run, "window_to": run["run_id"], "collected_at": f"2026-03-{day}T10:06:00.000Z"}
+            assert loads.load_articles(store, target, manifest, AS_OF, data=data) == "loaded"
+    assert snapshot(stores["csv"]) == snapshot(stores["jsonl"])
+    assert stores["csv"].read("articles").exceptAll(stores["jsonl"].read("articles")).isEmpty()
+    with pytest.raises(ValueError):
+        loads.load_articles(stores["csv"], target, {**manifest, "nth_run": 2}, AS_OF, data="xml")
+
+
 def test_stream_in_one_or_many_batches(spark, folder):
     """The same artifacts in one batch, in two, and after a restart give the same tables."""
     late, early = TableStore(spark, f"{folder}/s1"), TableStore(spark, f"{folder}/s2")
