@@ -139,8 +139,11 @@ def verdict(text: Column, rules: list[Rule]) -> Column:
 
 
 def order_rules(docs: DataFrame, rules: list[Rule], text: str = "text", sample: int = 400) -> list[Rule]:
-    """Rules by rejections per second, measured on up to ``sample`` texts; ties keep the order."""
-    rows = docs.select(F.col(text).alias("text")).take(sample)
+    """Rules by rejections per second, measured on up to ``sample`` texts; ties keep the order.
+
+    The sample comes to the driver, so it holds no text of over 64 KB.
+    """
+    rows = docs.select(F.col(text).alias("text")).where(F.coalesce(F.octet_length("text"), F.lit(0)) <= 1 << 16).take(sample)
     if not rows:
         return rules
     held = docs.sparkSession.createDataFrame([(r["text"],) for r in rows], "text string").coalesce(1)
