@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from pressloom.llm.common import batchwise, split_of
 from pressloom.operators.joins import lookup
+from pressloom.session import materialize
 
 ORDER = 4
 WORDS_KEPT = 200_000
@@ -204,7 +205,8 @@ def train(docs: DataFrame, key: str = "doc_id", lang: str = "lang", text: str =
     """Context trees of the languages of labelled documents."""
     draw = F.xxhash64(F.lit(3), F.col(key), F.col(text)).alias("_draw")
     labelled = docs.select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"), draw).dropna()
-    sizes = labelled.groupBy("lang").agg(F.count("*").alias("_size"))
+    # Stored first: Spark then sees how small it is and need not shuffle the texts for the join.
+    sizes = materialize(labelled.groupBy("lang").agg(F.count("*").alias("_size")), "language-sizes")
     drawn = lookup(labelled, sizes, "lang", ["_draw"], "inner")
     sample = drawn.where(F.shiftrightunsigned("_draw", 11).cast("double") * 2.0**-53 * F.col("_size") < per_language)
     counts = _grams(sample.select("lang", "text"), order)
