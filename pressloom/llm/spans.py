@@ -151,7 +151,8 @@ def run_table(docs: DataFrame, key: str, text: str, places: bool) -> DataFrame:
 
 def repeated_places(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(no_id, d, t, start) of every run that is repeated and not the first of its kind."""
-    twice = run_table(docs, key, text, False).groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
+    # Stored before the join: an aggregate right below it would keep a hot hash in one task.
+    twice = materialize(run_table(docs, key, text, False).groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "repeated")
     near = materialize(run_table(docs, key, text, True).join(twice, "h"), "near-runs")
     place = F.struct("no_id", "d", "t", "start")
     firsts = near.groupBy("h", "g").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first != last").drop("last")
