@@ -1,8 +1,12 @@
 """Substring dedup by sliding sentence spans.
 
-A text is cut into sentences: at line ends, after ``.``, ``!`` and ``?``, before a capital that
-follows a lower-case word (where one text was set into another without a stop), and after
-``LONGEST`` words. From every sentence starts a run, the shortest one of at least ``RUN_SENTENCES``
+A text is cut into sentences: at line ends, after a stop (``STOPS``), and before a capital that
+follows a lower-case word (where one text was set into another without a stop). Of every ``LONGEST``
+borders in a row that are left, the one before the word of the smallest hash (or all such) is a border too, so no
+sentence has more than ``LONGEST`` words. All borders depend on the words around them alone, at most
+``LONGEST`` to either side, and not on where a text or a line begins: any passage of
+``RUN_WORDS + 4 * LONGEST - 1`` = 51 words in a line holds a run that is the same in every text.
+In scripts without blanks every character is a word. From every sentence starts a run, the shortest one of at least ``RUN_SENTENCES``
 sentences and ``RUN_WORDS`` words. A run that stands in more than one place is repeated; its first
 place, by document id and position, stays, and the sentences of every other place are removed.
 
@@ -19,6 +23,10 @@ are ignored; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import random
+import re
+import unicodedata
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -29,30 +37,31 @@ from pressloom.llm.common import batchwise, merge_spans
 from pressloom.llm.shingles import mix
 from pressloom.session import materialize
 
-STOPS = frozenset(".!?")
+# Full stops, question and exclamation marks of the scripts in use.
+STOPS = frozenset(".!?\u2026\u3002\uff01\uff1f\uff0e\uff61\u061f\u06d4\u0964\u0965\u0589\u1362\u1367\u1368\u104b\u17d4\u0f0d")
 LONGEST = 8
 RUN_SENTENCES = 3
 RUN_WORDS = 20
 
+# Scripts without blanks: Thai, Lao, Tibetan, Burmese, Khmer, kana and Han with their punctuation.
+_WIDE = "\u0e00-\u109f\u1780-\u17ff\u2e80-\u2fff\u3001-\u312f\u31a0-\u9fff\uf900-\ufaff\uff00-\uff9f\U00020000-\U0003ffff"
+_MARKS = "".join(c for c in map(chr, [*range(0x0E00, 0x10A0), *range(0x1780, 0x1800), 0x3099, 0x309A, *range(0xFE00, 0xFE10)]) if unicodedata.category(c)[0] == "M")
+WIDE = re.compile(f"[{_WIDE}]")
+UNITS = re.compile(rf"[{_WIDE}][{_MARKS}]*|[^\s{_WIDE}]+")
+
 _P = 0x9E3779B97F4A7C15
 _INVERSE = pow(_P, -1, 1 << 64)
 
 
-def sentences(text: str) -> list[list[str]]:
-    """Words of each sentence."""
-    out: list[list[str]] = []
-    for line in text.split("\n"):
-        part: list[str] = []
-        stop = False
-        for w in line.split():
-            if part and (stop or len(part) >= LONGEST or w[0].isupper() and not part[-1][0].isupper()):
-                out.append(part)
-                part = []
-            part.append(w)
-            stop = w[-1] in STOPS
-        if part:
-            out.append(part)
-    return out
+_random = random.Random(1)
+_BYTES = np.array([_random.getrandbits(64) for _ in range(256)], np.uint64)
+_STOP_BYTES = np.array([chr(b) in STOPS and b < 128 for b in range(256)])
+_STEPS = (1, 2, 4)  # windows of 2, 4 and LONGEST keys
+
+
+def words(line: str) -> list[str]:
+    """Blank-separated words, and the characters of scripts without blanks."""
+    return line.split() if line.isascii() or not WIDE.search(line) else UNITS.findall(line)
 
 
 class Powers:
@@ -69,6 +78,46 @@ class Powers:
         return self.up, self.down
 
 
+def borders(text: str, powers: Powers) -> tuple[list[str], bytes, np.ndarray, np.ndarray]:
+    """All words, their lower-case bytes joined by blanks, where in the bytes each begins, and the first word of each sentence."""
+    lines = [words(line) for line in text.split("\n")]
+    flat = [w for line in lines for w in line]
+    n = len(flat)
+    data = " ".join(flat).lower().encode("utf-8", "replace")
+    if not n:
+        return flat, data, np.empty(0, np.int64), np.empty(0, np.int64)
+    codes = np.frombuffer(data, np.uint8)
+    at = np.concatenate([[0], np.flatnonzero(codes == 32) + 1])
+    sizes = np.diff(at, append=len(data) + 1)
+    place = np.arange(len(data)) - np.repeat(at, sizes)[:len(data)]
+    hashes = mix(np.add.reduceat(_BYTES[codes] * powers.upto(int(sizes.max()))[0][place], at))
+    last = codes[at + sizes - 2]
+    stop = _STOP_BYTES[last]
+    for i in np.flatnonzero(last > 127):
+        stop[i] = flat[i][-1] in STOPS
+    capital = np.fromiter([w[0].isupper() for w in flat], bool, n)
+    # Key of the border before each word: the hash, or 0 for a border of its own right.
+    keys = np.zeros(n + LONGEST, np.uint64)
+    keys[1:n] = np.where(stop[:-1] | capital[1:] & ~capital[:-1], 0, hashes[1:] | 1)
+    keys[np.fromiter(map(len, lines), np.int64, len(lines)).cumsum()] = 0
+    # A border stays if its key is the smallest of some LONGEST in a row; a 0 among them wins.
+    least, most = keys, np.zeros(n + LONGEST, np.uint64)
+    for step in _STEPS:
+        least = np.minimum(least[:-step], least[step:])
+    most[LONGEST:] = least[:n]
+    most = most[1:]
+    for step in _STEPS:
+        most = np.maximum(most[:-step], most[step:])
+    return flat, data, at, np.flatnonzero(keys[:n] == most[:n])
+
+
+def sentences(text: str) -> list[list[str]]:
+    """Words of each sentence."""
+    flat, _, _, begins = borders(text, Powers())
+    edges = [*begins.tolist(), len(flat)]
+    return [flat[a:b] for a, b in zip(edges, edges[1:])]
+
+
 def run_ends(counts: np.ndarray) -> np.ndarray:
     """For each sentence the end (exclusive) of its run; past the text if there is no whole run."""
     words = np.concatenate([[0], counts.cumsum()])
@@ -77,15 +126,16 @@ def run_ends(counts: np.ndarray) -> np.ndarray:
 
 def runs(text: str, powers: Powers) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and the two hashes of each run."""
-    parts = sentences(text)
-    n = len(parts)
-    ends = run_ends(np.fromiter(map(len, parts), np.int64, n))
+    flat, data, at, begins = borders(text, powers)
+    n = len(begins)
+    ends = run_ends(np.diff(begins, append=len(flat)))
     starts = np.flatnonzero(ends <= n)
     if not len(starts):
         none = np.empty(0, np.int64)
         return none, none, none
     ends = ends[starts]
-    digests = b"".join([xxhash.xxh3_128_digest(" ".join(p).lower().encode("utf-8", "replace")) for p in parts])
+    cuts = [*at[begins].tolist(), len(data) + 1]
+    digests = b"".join([xxhash.xxh3_128_digest(data[a:b - 1]) for a, b in zip(cuts, cuts[1:])])
     lanes = np.frombuffer(digests, "<u8").reshape(-1, 2)
     up, down = powers.upto(n)
     length = (ends - starts).astype(np.uint64)
@@ -167,14 +217,17 @@ def dedup_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     joined = picked.join(per_doc, ["no_id", "d", "t"], "left").select("doc_id", "text", "starts")
 
     def run(batches):
+        powers = Powers()
         for batch in batches:
             out, counts, gone = [], [], []
             for value, listed in zip(batch.column(1), batch.column(2)):
                 one, starts = value.as_py(), listed.as_py()
-                parts = sentences(one or "")
+                flat, _, _, begins = borders(one or "", powers)
+                edges = [*begins.tolist(), len(flat)]
+                parts = [flat[a:b] for a, b in zip(edges, edges[1:])] if starts else []
                 spans = covered(parts, starts) if starts else []
                 out.append(remove(one, parts, spans) if spans else one)
-                counts.append(len(parts))
+                counts.append(len(begins))
                 gone.append(sum(e - s for s, e in spans))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(gone, pa.int64()), pa.array(out, pa.string())],
                                              ["doc_id", "n_sentences", "n_removed", "text"])

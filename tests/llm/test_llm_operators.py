@@ -376,3 +376,32 @@ def test_span_dedup(spark, docs, mixed):
     assert all(str((r.doc_id, r.text)) in texts for r in found if not r.n_removed)
     assert spans.dedup_spans(df.limit(0)).count() == 0
     assert len(queries.op1(spark, DATA).collect()) == len(docs)
+
+
+@pytest.mark.parametrize("kind", ["bare", "stops", "wide"])
+def test_span_dedup_passage_at_every_offset(kind):
+    """A passage of 51 words holds a repeated run wherever it is set."""
+    rng = random.Random(4)
+    glue = "" if kind == "wide" else " "
+
+    def draw(n):
+        if kind == "wide":
+            return [chr(0x4E00 + rng.randrange(3000)) for _ in range(n)]
+        out = ["".join(rng.choices("abcdefghijklmnop", k=rng.randint(2, 8))) for _ in range(n)]
+        return [w + "." if kind == "stops" and rng.random() < 0.1 else w for w in out]
+
+    powers, shares = spans.Powers(), []
+    for offset in range(64):
+        passage = draw(51)
+        hosts = [glue.join(draw(a) + passage + draw(40)) for a in (40, offset)]
+        first, second = (spans.runs(t, powers) for t in hosts)
+        known = set(zip(first[1], first[2]))
+        parts = spans.sentences(hosts[1])
+        assert max(map(len, parts)) <= spans.LONGEST
+        hit = [int(s) for s, h, g in zip(*second) if (h, g) in known]
+        assert hit, offset
+        gone = spans.covered(parts, hit)
+        left = spans.remove(hosts[1], parts, gone)
+        assert glue.join(w for i, p in enumerate(parts) if not any(a <= i < b for a, b in gone) for w in p).split() == left.split()
+        shares.append(sum(len(parts[i]) for a, b in gone for i in range(a, b)) / 51)
+    assert sum(shares) / len(shares) > 0.7
