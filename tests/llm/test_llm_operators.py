@@ -231,6 +231,25 @@ def test_secret_edges(spark, docs):
     assert secrets.report(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("n", [60, 200])
+def test_random_strings_of_every_alphabet(spark, docs, n):
+    """With the defaults, on tables of any size, random strings are found and ordinary identifiers are not."""
+    rng, upper, lower, digits = random.Random(8), secrets.ALPHABET[26:52], secrets.ALPHABET[:26], "0123456789"
+    kinds = {"base62": lower + upper + digits, "lower36": lower + digits, "upper36": upper + digits, "base32": upper + "234567", "upper_hex": "ABCDEF" + digits}
+    known = {r for _, t in docs for r in (t or "").split()}
+    lines = [(k, p + "".join(rng.choices(a, k=24))) for k, a in kinds.items() for p in ("", "ghp_", "sk_live_") for _ in range(20) if not (p and k != "base62")]
+    names = [w.lower() for w in sorted(known) if 6 <= len(w) <= 12 and w.isascii() and w.isalpha()][::40]
+    lines += [("plain", f"{a}{s}{b}{s}{2024 + i % 3}") for i, (a, b) in enumerate(zip(names, names[1:])) for s in "-_" if len(a + b) > 11]
+    rows = docs[:n] + [(2_000_000 + i, "é see " + v + " there") for i, (_, v) in enumerate(lines)]
+    found = {r.doc_id: r.spans for r in secrets.report(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    hits = collections.defaultdict(list)
+    for i, (k, v) in enumerate(lines):
+        if any(c.isdigit() for c in v) and any(c.isalpha() for c in v):
+            hits[k].append(found[2_000_000 + i] != "")
+    share = {k: sum(h) / len(h) for k, h in hits.items()}
+    assert all(share[k] >= 0.9 for k in kinds) and share["plain"] <= 0.02, share
+
+
 def test_quality(spark, docs):
     found = queries.op8(spark, DATA).collect()
     assert plain(r[:7] for r in found) == plain((d, *brute.quality(t)) for d, t in docs)
