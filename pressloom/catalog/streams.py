@@ -76,9 +76,8 @@ def stream_chain(t: Tables) -> DataFrame:
 def dedupe_stream(t: Tables) -> DataFrame:
     """Every event arrives twice; exact repeats are dropped."""
     e = t.stream("events").select("event_id", "ts", "user_id", "event_type", "props")
-    once = arrivals.dedupe_stream(e.unionByName(e), ["event_id"], "ts", "2 hours")
     out = work_path(t.spark, "once")
-    arrivals.run_available(once, work_path(t.spark, "cp"), lambda batch, i: batch.write.mode("overwrite").parquet(f"{out}/batch={i}"))
+    arrivals.dedupe_stream(e.unionByName(e), ["event_id"], "ts", "2 hours", out, work_path(t.spark, "cp"))
     return t.spark.read.parquet(out).select("event_id", "user_id", "event_type", "props")
 
 

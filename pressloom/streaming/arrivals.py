@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import DateType, LongType, StructField, StructType
 
 from pressloom import contracts as C
 from pressloom.operators.merge import dedupe_last
@@ -85,10 +86,34 @@ def _report_schema():
     return C.REPORT_SCHEMA
 
 
-def dedupe_stream(stream: DataFrame, key: list[str], ts: str, delay: str) -> DataFrame:
-    """Drop repeats inside the watermark. It keeps the first arrival, so use it for exact
-    repeats only and let the merge decide between versions."""
-    return stream.withWatermark(ts, delay).dropDuplicatesWithinWatermark(key)
+def first_arrivals(spark: SparkSession, out: str, schema: StructType, key: list[str], ts: str, delay: str) -> Callable[[DataFrame, int], None]:
+    """Batch step for ``foreachBatch``: append the rows whose key is not yet in ``out``.
+
+    ``out`` is a table by batch and day of ``ts``. A batch is held against the keys of its own days
+    and those within ``delay`` of its rows, so however late a first sighting comes, it stays, and
+    however late an exact repeat comes, it goes. A batch that is run again replaces its own rows.
+    """
+    day = f"{ts}_day"
+    written = StructType([*schema.fields, StructField("batch", LongType()), StructField(day, DateType())])
+    spark.createDataFrame([], schema).withColumn(day, F.to_date(ts)).write.mode("ignore").partitionBy(day).parquet(out)
+
+    def step(batch: DataFrame, i: int) -> None:
+        margin = F.expr(f"INTERVAL {delay}")
+        near = F.sequence(F.to_date(F.col(ts) - margin), F.to_date(F.col(ts) + margin))
+        days = [r[day] for r in batch.select(F.explode(near).alias(day)).distinct().collect()]
+        known = batch.sparkSession.read.schema(written).parquet(out).where(F.col("batch") < i)
+        known = known.where(F.col(day).isin(days) | F.col(day).isNull()).select(*[F.col(k).alias(f"known_{n}") for n, k in enumerate(key)])
+        same = [F.col(k).eqNullSafe(F.col(f"known_{n}")) for n, k in enumerate(key)]
+        new = batch.dropDuplicates(key).join(known, same, "left_anti")
+        new.withColumn(day, F.to_date(ts)).write.mode("overwrite").partitionBy(day).parquet(f"{out}/batch={i}")
+
+    return step
+
+
+def dedupe_stream(stream: DataFrame, key: list[str], ts: str, delay: str, out: str, checkpoint: str) -> StreamingQuery:
+    """Write what has arrived to ``out`` without repeats. It keeps the first arrival, so use it for
+    exact repeats only and let the merge decide between versions."""
+    return run_available(stream, checkpoint, first_arrivals(stream.sparkSession, out, stream.schema, key, ts, delay))
 
 
 def merge_last(key: list[str], order: list[str]) -> Callable[[DataFrame], DataFrame]:

@@ -1,3 +1,4 @@
+import datetime
 import json
 
 import pytest
@@ -211,3 +212,25 @@ def test_late_rows(spark):
         UNION ALL SELECT 'late', timestamp'2026-01-01 01:00:00', timestamp'2026-01-01 05:00:00'
         UNION ALL SELECT 'lost', timestamp'2026-01-01 01:00:00', timestamp'2026-01-01 09:00:00'""")
     assert rows(cycles.late_articles(df, "ts", "seen", 4, 8), "uri", "cycles_late", "caught") == [("late", 1, True), ("lost", 2, False)]
+
+
+def test_late_first_sightings_stay(spark, folder):
+    """A later batch holds new ids far behind the newest, and repeats: only the repeats go."""
+    schema = "event_id long, ts timestamp, user_id long"
+
+    def land(rows):
+        spark.createDataFrame(
+            [(e, None if t is None else datetime.datetime.fromisoformat(t), 7) for e, t in rows], schema).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+        arrivals.dedupe_stream(spark.readStream.schema(schema).parquet(f"{folder}/in"), ["event_id"], "ts", "2 hours", f"{folder}/once", f"{folder}/cp")
+
+    first = [(1, "2024-01-05T12:00:00"), (1, "2024-01-05T12:00:00"), (2, "2024-01-05T23:30:00"), (3, None), (None, "2024-01-05T10:00:00")]
+    land(first)
+    land([(4, "2024-01-01T00:00:00"), (5, "2024-01-05T01:00:00"), (1, "2024-01-05T12:00:00"), (2, "2024-01-06T00:30:00"), (4, "2024-01-01T00:00:00"), (3, None),
+          (None, "2024-01-05T10:00:00")])
+    land([(4, "2024-01-01T00:00:00"), (6, "2023-12-01T00:00:00")])
+    found = spark.read.parquet(f"{folder}/once")
+    assert sorted(str(r.event_id) for r in found.collect()) == ["1", "2", "3", "4", "5", "6", "None"]
+    # A batch that is run again replaces its rows.
+    step = arrivals.first_arrivals(spark, f"{folder}/once", spark.createDataFrame([], schema).schema, ["event_id"], "ts", "2 hours")
+    step(spark.createDataFrame([(6, datetime.datetime(2023, 12, 1), 7), (4, datetime.datetime(2024, 1, 1), 7)], schema), 2)
+    assert spark.read.parquet(f"{folder}/once").count() == 7
