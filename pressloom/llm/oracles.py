@@ -61,3 +61,42 @@ j AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_fail
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT (base_failed OR word_chars < 2 * n_words OR word_chars > 12 * n_words OR 10 * n_symbols > n_words OR 2 * n_dup_lines > n_lines
     OR 5 * n_marks > n_words OR 10 * n_capitals > 3 * word_chars) AS kept FROM j"""
+
+
+def _codebooks(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    """Product quantisation with one round per pair of steps; positions count from 0."""
+    steps = [f"""
+kept AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) - 1 AS r, vec_id, label, embedding
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda v: v IS NULL OR NOT isfinite(v))) = 0),
+x AS MATERIALIZED (
+  SELECT r, i // (len(embedding) // {parts}) AS part, i % (len(embedding) // {parts}) AS place,
+         floor(4096 * embedding[i + 1]::DOUBLE)::BIGINT AS x
+  FROM (SELECT *, unnest(range(len(embedding))) AS i FROM kept)),
+book0 AS (SELECT part, r AS entry, place, x AS c FROM x WHERE r < {entries})"""]
+    for i in range(rounds + 1):
+        steps.append(f"""
+near{i} AS MATERIALIZED (
+  SELECT r, part, min(struct_pack(d := d, entry := entry)) AS best
+  FROM (SELECT r, part, entry, sum((x - c) * (x - c))::BIGINT AS d FROM x JOIN book{i} USING (part, place) GROUP BY ALL)
+  GROUP BY ALL)""")
+        if i < rounds:
+            steps.append(f"""
+book{i + 1} AS MATERIALIZED (
+  SELECT part, entry, place, coalesce(m, c) AS c FROM book{i} LEFT JOIN (
+    SELECT part, best.entry AS entry, place, ((s - ((s % n) + n) % n) // n)::BIGINT AS m
+    FROM (SELECT part, best, place, sum(x)::HUGEINT AS s, count(*) AS n FROM (
+            SELECT part, struct_pack(entry := best.entry) AS best, place, x FROM x JOIN near{i} USING (r, part)) GROUP BY ALL))
+  USING (part, entry, place))""")
+    steps.append(f"""
+coded AS (
+  SELECT r, string_agg(printf('%02x', best.entry), '' ORDER BY part) AS code, sum(best.d)::BIGINT AS error
+  FROM near{rounds} GROUP BY r),
+digest AS (SELECT sha256(string_agg(c::VARCHAR, ',' ORDER BY part, entry, place)) AS h FROM book{rounds})
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, h AS codebooks_sha256
+FROM kept JOIN coded USING (r), digest""")
+    return "WITH" + ",".join(steps[:-1]) + "," + steps[-1]
+
+
+CODEBOOKS = _codebooks()

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pressloom.llm import decontaminate, hmm, langid, mixing, neardup, oracles, pii, quality, secrets, spans, warc
+from pressloom.llm import codebooks, decontaminate, hmm, langid, mixing, neardup, oracles, periodic, pii, quality, secrets, spans, toxicity, warc
 from pressloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -71,3 +71,18 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_warc_chunk_records", oracles.ARCHIVES)
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.report(table(spark, sf_dir, "pages"))
+
+
+@query("op11_periodic_runs")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.report(table(spark, sf_dir, "documents"))
+
+
+@query("op12_dual_tree_codes", oracles.CODEBOOKS)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codebooks.report(table(spark, sf_dir, "embeddings"))
+
+
+@query("op13_crf_toxicity")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.held_out_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

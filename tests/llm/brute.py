@@ -189,3 +189,72 @@ def unigram(docs):
     c = collections.Counter(w for ws, h in zip(tokens, held) if not h for w in ws)
     n, v = sum(c.values()), len(c)
     return [(doc, h, len(ws), sum(c[w] > 0 for w in ws), n, sum(math.log10((c[w] + 1) / (n + v + 1)) for w in ws)) for (doc, _), ws, h in zip(docs, tokens, held)]
+
+
+def planted(doc_id, words):
+    """Words with the repeated passage that the contract sets into one text of ten."""
+    if doc_id is None or not words:
+        return words
+    h = zlib.crc32(str(doc_id).encode())
+    if h % 10:
+        return words
+    n, g = len(words), h // 10
+    a, p = g % n, 1 + (n - g % n) // (3 + g % 8)
+    return [words[i] if i < a else words[a + (i - a) % p] for i in range(n)]
+
+
+def periodic_runs(x):
+    """(start, length, period) of every run, one shift after the other."""
+    found = {}
+    for q in range(1, len(x) // 2 + 1):
+        i = 0
+        while i + q < len(x):
+            j = i
+            while j + q < len(x) and x[j] == x[j + q]:
+                j += 1
+            if j + q - i >= max(12, 2 * q):
+                found.setdefault((i, j + q), q)
+            i = j + 1
+    return sorted((s, e - s, q) for (s, e), q in found.items())
+
+
+def periodic(docs):
+    """Rows of op11."""
+    out = []
+    for doc_id, text in docs:
+        words = planted(doc_id, WORD.findall(text or ""))
+        runs = periodic_runs(words)
+        gone = {i for s, n, q in runs for i in range(s + q, s + n)}
+        best = min(runs, key=lambda r: (-r[1], r[0], r[2])) if runs else None
+        out.append((doc_id, len(runs), *((best[0], best[1], best[2], 1000 * best[1] // best[2]) if best else (None,) * 4),
+                    sha("".join(f"{s},{n},{q}\n" for s, n, q in runs)), sha(" ".join(w for i, w in enumerate(words) if i not in gone))))
+    return out
+
+
+def codebooks(rows, parts=8, entries=16, rounds=6):
+    """Rows of op12 from (vec_id, vector, label)."""
+    kept = [(i, [math.floor(4096 * x) for x in v], lab) for i, v, lab in rows if v is not None and all(x is not None and math.isfinite(x) for x in v)]
+    if not kept:
+        return []
+    kept.sort(key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+    size = len(kept[0][1]) // parts
+    cut = [[v[p * size:(p + 1) * size] for p in range(parts)] for _, v, _ in kept]
+    books = [[list(c[p]) for c in cut[:entries]] for p in range(parts)]
+
+    def nearest(part, book):
+        return min((sum((a - b) ** 2 for a, b in zip(part, e)), k) for k, e in enumerate(book))
+
+    for _ in range(rounds):
+        for p in range(parts):
+            members = collections.defaultdict(list)
+            for c in cut:
+                members[nearest(c[p], books[p])[1]].append(c[p])
+            for k, own in members.items():
+                books[p][k] = [sum(col) // len(own) for col in zip(*own)]
+    digest = sha(",".join(str(x) for book in books for e in book for x in e))
+    found = [[nearest(c[p], books[p]) for p in range(parts)] for c in cut]
+    errors = [sum(d for d, _ in f) for f in found]
+    per_label = collections.Counter()
+    for (_, _, lab), e in zip(kept, errors):
+        per_label[lab] += e
+    return [(i, "".join(f"{k:02x}" for _, k in f), e, per_label[lab], digest) for (i, _, lab), f, e in zip(kept, found, errors)]
