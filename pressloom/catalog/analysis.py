@@ -34,26 +34,33 @@ def shared_concept_pairs(t: Tables) -> DataFrame:
 
 
 _MULTI = with_fx("stories", "links", more="""
-sets AS (SELECT article_uri, list(concept_uri ORDER BY concept_uri) AS s FROM fx_links GROUP BY article_uri HAVING count(*) >= 2),
-match AS (SELECT l2.article_uri AS x, l1.article_uri AS y FROM fx_links l1 JOIN fx_links l2
-  ON l1.concept_uri = l2.concept_uri AND l1.article_uri <> l2.article_uri GROUP BY ALL HAVING count(*) >= 2),
-ev AS (SELECT lag(uri) OVER w AS article_1, lag(ts) OVER w AS before, uri AS article_2, ts FROM fx_stories
-  WHERE event_uri <> '' WINDOW w AS (PARTITION BY event_uri ORDER BY ts, uri)),
-con AS (SELECT m.x AS article_1, m.y AS article_2 FROM match m JOIN fx_stories a ON a.uri = m.x JOIN fx_stories b ON b.uri = m.y
-  JOIN sets sa ON sa.article_uri = m.x
-  WHERE a.category = b.category AND (a.ts, a.uri) < (b.ts, b.uri) AND b.ts <= a.ts + to_days(CAST(30 AS INT))
-  QUALIFY row_number() OVER (PARTITION BY m.y, sa.s ORDER BY a.ts DESC, a.uri DESC) = 1)""")
-
-
-@query("multi_signal_links", _MULTI + """
-SELECT DISTINCT article_1, article_2 FROM (
-  SELECT article_1, article_2 FROM ev WHERE article_1 IS NOT NULL AND ts <= before + to_days(CAST(30 AS INT))
-  UNION ALL SELECT article_1, article_2 FROM con)""")
+keyed AS (SELECT s.uri, s.ts, s.category || '|' || a.concept_uri || '|' || b.concept_uri AS key
+  FROM fx_links a JOIN fx_links b ON a.article_uri = b.article_uri AND a.concept_uri < b.concept_uri JOIN fx_stories s ON s.uri = a.article_uri
+  WHERE s.category IS NOT NULL
+  UNION ALL SELECT uri, ts, event_uri FROM fx_stories WHERE event_uri <> ''),
+chains AS (SELECT lag(uri) OVER w AS article_1, lag(ts) OVER w AS before, uri AS article_2, ts FROM keyed
+  WHERE ts IS NOT NULL WINDOW w AS (PARTITION BY key ORDER BY ts, uri)),
+chained AS (SELECT DISTINCT article_1, article_2 FROM chains WHERE article_1 IS NOT NULL AND ts <= before + to_days(CAST(30 AS INT)))""")
+
+
+@query("multi_signal_links", _MULTI + "SELECT article_1, article_2 FROM chained")
 def multi_signal_links(t: Tables) -> DataFrame:
     return pairs.multi_signal_links(t.fx("stories"), t.fx("links").withColumnRenamed("article_uri", "uri"), k=2, max_hours=720,
                                     article="uri")
 
 
+@query("multi_signal_clusters", _MULTI.replace("WITH ", "WITH RECURSIVE ", 1) + """,
+edges AS (SELECT article_1 AS a, article_2 AS b FROM chained UNION SELECT article_2, article_1 FROM chained),
+labels(uri, cluster) USING KEY (uri) AS (
+  SELECT uri, uri FROM fx_stories
+  UNION (SELECT e.a, min(l.cluster) FROM labels l JOIN edges e ON e.b = l.uri JOIN recurring.labels r ON r.uri = e.a
+    WHERE l.cluster < r.cluster GROUP BY e.a))
+SELECT uri, cluster FROM labels""")
+def multi_signal_clusters(t: Tables) -> DataFrame:
+    return pairs.multi_signal_clusters(t.fx("stories"), t.fx("links").withColumnRenamed("article_uri", "uri"), k=2, max_hours=720,
+                                       article="uri")
+
+
 @query("top_entities", with_fx("links") + """
 SELECT concept_uri, count(*) AS article_count FROM fx_links GROUP BY ALL ORDER BY article_count DESC, concept_uri LIMIT 25""")
 def top_entities(t: Tables) -> DataFrame:

@@ -8,9 +8,9 @@ Exact reductions keep the work away from ``sum(n_concept ** 2)``:
   they share at least ``t``, both lie in the first ``size - t + 2`` concepts of each. Sets
   are joined on the hash of such two-concept combinations, so a concept that nearly all
   articles have joins nothing by itself. Candidates are then verified on the full sets.
-* For a top-k answer, the smallest ``t`` whose joins are cheap (they are counted first) is
-  tried, and ``t`` comes down only while fewer than k pairs are found. A set needs only its
-  k + 1 smallest articles, since by the tie order no later article can be in the answer.
+* For a top-k answer, the overlap that is needed comes from the best pairs that each list
+  offers. A set needs only its k + 1 smallest articles, since by the tie order no later
+  article can be in the answer.
 """
 
 from __future__ import annotations
@@ -19,24 +19,25 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pressloom.functions.times import hours
-from pressloom.operators.joins import lookup
 from pressloom.session import materialize
 
 
+HOT_CONCEPTS = 1000
+
+
 def concept_sets(bridge: DataFrame, article: str = "article_uri", concept: str = "concept_uri",
                  rare_first: bool = True) -> DataFrame:
     """(article, tokens, g): the article's distinct concepts in a global order, and the set's key.
 
-    The array of one article is the article's own concept list. Rarest first needs the
-    frequency of each concept; its lookup is salted, as one concept may be in a third of all
-    links. Equal sets have equal keys: the key is 128 bits of the whole set.
+    The array of one article is the article's own concept list. Rarest first puts the ``HOT_CONCEPTS`` most
+    frequent concepts last, by their frequency; the order of the others matters little. Equal sets have
+    equal keys: the key is 128 bits of the whole set.
     """
     links = bridge.select(article, concept).where(f"{concept} IS NOT NULL")
     if rare_first:
-        freq = links.groupBy(concept).agg(F.count("*").alias("_f"))
-        ranked = lookup(links, freq, concept, [article], "inner")
-        ordered = F.transform(F.sort_array(F.collect_list(F.struct("_f", concept))), lambda x: x[concept])
-        listed = ranked.groupBy(article).agg(F.array_distinct(ordered).alias("tokens"))
+        hot = links.groupBy(concept).agg(F.count("*").alias("_f")).orderBy(F.desc("_f"), concept).limit(HOT_CONCEPTS)
+        ranked = links.join(F.broadcast(hot), concept, "left").select(article, F.struct(F.coalesce("_f", F.lit(0)).alias("f"), concept).alias("c"))
+        listed = ranked.groupBy(article).agg(F.transform(F.array_sort(F.collect_set("c")), lambda x: x[concept]).alias("tokens"))
     else:
         listed = links.groupBy(article).agg(F.array_sort(F.collect_set(concept)).alias("tokens"))
     return listed.withColumn("g", F.unhex(F.md5(F.concat_ws("\u0001", "tokens"))))
@@ -58,29 +59,25 @@ def _signatures(t: int) -> Column:
     ))
 
 
-def _set_pairs(sets: DataFrame, t: int) -> DataFrame:
-    """(g1, g2, shared) of distinct sets that share at least ``t`` concepts, each once."""
+def _candidates(sets: DataFrame, t: int, seekers: Column | None = None) -> DataFrame:
+    """(g1, g2): all pairs of distinct sets that share at least ``t`` concepts, and some that share fewer.
+
+    With ``seekers`` one of the two has to meet that condition.
+    """
     big = sets.where(F.size("tokens") >= t)
-    posted = big.select("g", F.explode(_signatures(t)).alias("key"))
-    a, b = posted.alias("a"), posted.alias("b")
-    candidates = (
-        a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.g") < F.col("b.g")))
-        .select(F.col("a.g").alias("g1"), F.col("b.g").alias("g2")).distinct()
-    )
-    one = big.select(F.col("g").alias("g1"), F.col("tokens").alias("_t1"))
-    two = big.select(F.col("g").alias("g2"), F.col("tokens").alias("_t2"))
-    shared = F.size(F.array_intersect("_t1", "_t2")).alias("shared")
-    return candidates.join(one, "g1").join(two, "g2").select("g1", "g2", shared).where(F.col("shared") >= t)
+    key = F.explode(_signatures(t)).alias("key")
+    b = big.select(F.col("g").alias("g2"), key)
+    a = (big if seekers is None else big.where(seekers)).select(F.col("g").alias("g1"), key)
+    found = a.join(b, "key").where("g1 < g2" if seekers is None else "g1 != g2")
+    return found.select(F.least("g1", "g2").alias("g1"), F.greatest("g1", "g2").alias("g2")).distinct()
 
 
-def _members(sets: DataFrame, article: str, keep: int | None) -> DataFrame:
-    """(g, article): the articles of each set, all or the ``keep`` smallest. The limit is
-    pushed below the shuffle, so a set of copies sends ``keep`` rows per task."""
-    rows = sets.select("g", article)
-    if keep is None:
-        return rows
-    w = Window.partitionBy("g").orderBy(article)
-    return rows.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= keep).drop("_r")
+def _set_pairs(sets: DataFrame, t: int) -> DataFrame:
+    """(g1, g2, shared) of distinct sets that share at least ``t`` concepts, each once."""
+    one = sets.select(F.col("g").alias("g1"), F.col("tokens").alias("_t1"))
+    two = sets.select(F.col("g").alias("g2"), F.col("tokens").alias("_t2"))
+    shared = F.size(F.array_intersect("_t1", "_t2")).alias("shared")
+    return _candidates(sets, t).join(one, "g1").join(two, "g2").select("g1", "g2", shared).where(F.col("shared") >= t)
 
 
 def _article_pairs(pairs: DataFrame, members: DataFrame, sets: DataFrame, article: str, t: int) -> DataFrame:
@@ -110,64 +107,85 @@ def shared_concept_pairs(bridge: DataFrame, min_shared: int, article: str = "art
         concept_sets(bridge, article, concept, rare_first=min_shared > 2).where(F.size("tokens") >= min_shared), "concept-sets"
     )
     distinct = _distinct_sets(sets)
-    return _article_pairs(_set_pairs(distinct, min_shared), _members(sets, article, None), distinct, article, min_shared)
+    return _article_pairs(_set_pairs(distinct, min_shared), sets.select("g", article), distinct, article, min_shared)
 
 
 def shared_concepts(bridge: DataFrame, k: int = 20, min_shared: int = 1, article: str = "article_uri",
                     concept: str = "concept_uri") -> DataFrame:
     """The ``k`` pairs that share most concepts; ties by (article_1, article_2).
 
-    A step with required overlap ``t`` that yields k pairs holds the whole answer, because
-    every pair with at least ``t`` shared concepts was seen. Below two, the rest of the
-    answer comes from the smallest articles of each concept.
+    A threshold algorithm over the lists of two-concept combinations, in two passes of fixed form:
+
+    1. Every list offers up to two of its pairs, from aggregates that combine on the map side. The k best
+       of these bound the answer: it has no pair worse than the last of them, (t, x, y).
+    2. All pairs that share more than t are found through the prefixes for t + 1, and of those that share
+       t only the ones whose smaller article is not after x, through the prefixes for t.
+
+    If fewer than k pairs share two concepts, the lists of the first pass held every such pair, and the
+    rest of the answer comes from the smallest articles of each concept.
     """
-    # At two shared concepts the prefix is the whole set, so its order does not matter.
-    sets = materialize(concept_sets(bridge, article, concept, rare_first=False), "concept-sets")
-    order = [F.col("shared_concepts").desc(), F.col("article_1"), F.col("article_2")]
-    top = _empty_pairs(sets, article)
-    largest = sets.agg(F.max(F.size("tokens"))).first()[0]
-    if not largest or largest < min_shared:
-        return top
-    floor = max(min_shared, 2)
-    t = _cheapest_step(_distinct_sets(sets), floor, floor)
-    if t is None:
-        sets = materialize(concept_sets(bridge, article, concept), "concept-sets")
-        t = _cheapest_step(_distinct_sets(sets), floor + 1, largest) or largest
-    distinct, members = _distinct_sets(sets), _members(sets, article, k + 1)
-    while t >= floor:
-        found = _article_pairs(_set_pairs(distinct, t), members, distinct, article, t)
-        top = materialize(found.orderBy(*order).limit(k), "top-pairs")
-        if t == floor or top.count() == k:
-            break
-        t -= 1
+    sets = concept_sets(bridge, article, concept)
+    distinct = materialize(_compared_sets(sets, k, article), "distinct-sets")
+    copies = distinct.where(F.size("members") > 1).select(F.col("g").alias("g1"), F.col("g").alias("g2"))
+    enough = F.col("shared") >= max(min_shared, 2)
+    best = _ranked(_described(_offered(distinct).unionByName(copies), distinct).where(enough), k).select("shared", "ahead.x").collect()  # k rows at most
+    if len(best) == k:
+        t, x = best[-1]
+        found = _candidates(distinct, t + 1).unionByName(_candidates(distinct, t, seekers=F.col("first") <= F.lit(x))).distinct()
+        return _best_pairs(_described(found.unionByName(copies), distinct), k)
+    top = materialize(_best_pairs(_described(_candidates(distinct, 2).unionByName(copies), distinct).where(enough), k), "top-pairs")
     if min_shared > 1 or top.count() == k:
         return top
+    order = [F.col("shared_concepts").desc(), F.col("article_1"), F.col("article_2")]
     return top.unionByName(_single_concept_pairs(sets, top, k, article)).orderBy(*order).limit(k)
 
 
-def _cheapest_step(distinct: DataFrame, low: int, high: int, budget: float = 64.0) -> int | None:
-    """Smallest required overlap between ``low`` and ``high`` whose candidates are at most
-    ``budget`` per join row, or None.
+def _compared_sets(sets: DataFrame, k: int, article: str) -> DataFrame:
+    """(g, tokens, members, first): the distinct sets with their k + 1 smallest articles."""
+    w = Window.partitionBy("g").orderBy(article)
+    few = sets.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= k + 1)
+    return few.groupBy("g").agg(F.first("tokens").alias("tokens"), F.array_sort(F.collect_list(article)).alias("members")).withColumn("first", F.col("members")[0])
+
 
-    One count per tried value, combined on the map side. A value that is too costly is
-    only skipped here, not given up: the search comes back to it when it must.
+def _offered(distinct: DataFrame) -> DataFrame:
+    """(g1, g2): up to two pairs of sets from each list of a two-concept combination that has two sets or more."""
+    entry = F.struct(F.size("tokens").alias("n"), "g")
+    even = F.xxhash64("g") % 2 == 0
+    posted = distinct.where(F.size("tokens") >= 2).select(entry.alias("e"), even.alias("even"), F.explode(_signatures(2)).alias("key"))
+    lists = posted.groupBy("key").agg(
+        F.min("e").alias("low"), F.max("e").alias("high"), F.max(F.when(F.col("even"), F.col("e"))).alias("a"), F.max(F.when(~F.col("even"), F.col("e"))).alias("b"))
+    two = F.explode(F.array(F.struct(F.col("low.g").alias("g1"), F.col("high.g").alias("g2")), F.struct(F.col("a.g").alias("g1"), F.col("b.g").alias("g2"))))
+    found = lists.where("low != high").select(two.alias("p")).select("p.*").where("g1 IS NOT NULL AND g2 IS NOT NULL")
+    return found.select(F.least("g1", "g2").alias("g1"), F.greatest("g1", "g2").alias("g2")).distinct()
+
+
+def _described(pairs: DataFrame, distinct: DataFrame) -> DataFrame:
+    """(shared, m1, m2) of pairs (g1, g2) of sets; a set paired with itself stands for its copies."""
+    one = distinct.select(F.col("g").alias("g1"), F.col("tokens").alias("t1"), F.col("members").alias("m1"))
+    two = distinct.select(F.col("g").alias("g2"), F.col("tokens").alias("t2"), F.col("members").alias("m2"))
+    second = F.when(F.col("g1") != F.col("g2"), F.col("m2"))
+    return pairs.join(one, "g1").join(two, "g2").select(F.size(F.array_intersect("t1", "t2")).alias("shared"), "m1", second.alias("m2"))
+
+
+def _ranked(found: DataFrame, k: int) -> DataFrame:
+    """The k best pairs of sets, each by the pair of its smallest articles (x, y)."""
+    x, y = F.col("m1")[0], F.coalesce(F.get("m2", F.lit(0)), F.get("m1", F.lit(1)))
+    ahead = F.struct(F.least(x, y).alias("x"), F.greatest(x, y).alias("y"))
+    return found.withColumn("ahead", ahead).orderBy(F.desc("shared"), "ahead").limit(k)
+
+
+def _best_pairs(found: DataFrame, k: int) -> DataFrame:
+    """The k best pairs of articles: shared_concepts, article_1, article_2.
+
+    A pair of sets stands for the pair of its smallest articles first, so the k best pairs of sets are enough.
     """
-    t = low
-    while t <= high:
-        keys = distinct.where(F.size("tokens") >= t).select(F.explode(_signatures(t)).alias("key"))
-        n = F.col("n").cast("double")
-        rows, candidates = keys.groupBy("key").agg(F.count("*").alias("n")).agg(F.sum(n), F.sum(n * (n - 1) / 2)).first()
-        if not rows or candidates <= budget * rows:
-            return t
-        t = max(t + 1, int(t * 1.5))
-    return None
-
-
-def _empty_pairs(sets: DataFrame, article: str) -> DataFrame:
-    return sets.where(F.lit(False)).select(
-        F.col(article).alias("article_1"), F.col(article).alias("article_2"),
-        F.lit(0).cast("bigint").alias("shared_concepts"),
-    )
+    both = F.coalesce("m2", "m1")
+    listed = F.flatten(F.transform("m1", lambda x: F.transform(F.filter(both, lambda y: F.col("m2").isNotNull() | (y > x)),
+                                                              lambda y: F.struct(F.least(x, y).alias("x"), F.greatest(x, y).alias("y")))))
+    pairs = _ranked(found, k).select("shared", F.explode(F.slice(F.array_sort(listed), 1, k)).alias("p"))
+    return pairs.select(
+        F.col("p.x").alias("article_1"), F.col("p.y").alias("article_2"), F.col("shared").cast("bigint").alias("shared_concepts"),
+    ).orderBy(F.desc("shared_concepts"), "article_1", "article_2").limit(k)
 
 
 def _single_concept_pairs(sets: DataFrame, known: DataFrame, k: int, article: str) -> DataFrame:
@@ -218,85 +236,86 @@ def multi_signal_links(articles: DataFrame, bridge: DataFrame, k: int = 3, max_h
 
     Two articles match when they have the same event, or share at least ``k`` concepts and
     the category, and were published at most ``max_hours`` apart (``time_gate='both'``; with
-    ``'concept_branch'`` the event branch is free of it). Rather than all matching pairs,
-    each article is linked to the latest earlier article of its event, and of each concept
-    set it matches. Chains of such links join exactly the articles that matching pairs
-    join, and their number grows with the articles and not with their square.
+    ``'concept_branch'`` the event branch is free of it). Articles that match share a key: the event, or
+    one of the combinations of ``k`` of their concepts together with the category. Each article is linked to
+    the one before it in time under each of its keys, if that is near enough. Every link is a
+    match, and articles that match are joined by the chain of their key, since those between them
+    are nearer still. So there is at most one link per article and key, however alike the sets are.
 
+    An article has C(n, k) concept keys, n being the number of its own concepts.
     ``articles`` needs article, event_uri, category, ts.
     """
     if time_gate not in ("both", "concept_branch"):
         raise ValueError(f"unknown time_gate {time_gate}")
-    by_event = _event_chain(articles, article, max_hours if time_gate == "both" else None)
-    by_concept = _concept_chain(articles, bridge, k, max_hours, article, concept)
-    return by_event.unionByName(by_concept).distinct()
-
+    dated = articles.where("ts IS NOT NULL").select(article, "event_uri", "category", "ts")
+    events = dated.where("event_uri IS NOT NULL AND event_uri <> ''").select(*_key(F.array("event_uri")), F.lit(time_gate == "both").alias("gated"), "ts", article)
+    listed = _concept_keys(bridge, k, article, concept).join(dated.where("category IS NOT NULL"), article)
+    keyed = listed.select("ts", article, "category", F.explode("combinations").alias("c")).select(
+        *_key(F.array_append("c", F.col("category"))), F.lit(True).alias("gated"), "ts", article)
+    return _chain(events.unionByName(keyed), article, max_hours).distinct()
+
+
+def multi_signal_clusters(articles: DataFrame, bridge: DataFrame, k: int = 3, max_hours: int = 24,
+                          time_gate: str = "both", article: str = "article_uri",
+                          concept: str = "concept_uri") -> DataFrame:
+    """(article, cluster): the smallest article that links lead to, for every article."""
+    links = multi_signal_links(articles, bridge, k, max_hours, time_gate, article, concept)
+    labels = propagate_labels(links.select(F.col("article_1").alias("a"), F.col("article_2").alias("b")))
+    labels = labels.withColumnRenamed("node", article)
+    return articles.select(article).where(F.col(article).isNotNull()).distinct().join(labels, article, "left").select(article, F.coalesce("label", article).alias("cluster"))
+
+
+def propagate_labels(links: DataFrame) -> DataFrame:
+    """(node, label): the smallest node of the component, for the nodes of links (a, b).
+
+    Each round a node takes the smallest label among its own and its neighbours', and then the
+    label of that node, so that labels travel further with every round; it ends when none changes.
+    Minima combine on the map side and no neighbour list is collected.
+    """
+    both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a != b")
+    both = materialize(both.distinct(), "links")
+    labels = materialize(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("label")), "labels")
+    while True:
+        offered = both.join(labels.withColumnRenamed("node", "b"), "b").select(F.col("a").alias("node"), F.col("label").alias("m"))
+        least = offered.unionByName(labels.select("node", F.col("label").alias("m"))).groupBy("node").agg(F.min("m").alias("m"))
+        further = labels.select(F.col("node").alias("m"), "label")
+        moved = least.join(further, "m").select("node", F.least("m", "label").alias("label"))
+        moved = materialize(moved, "labels")
+        if moved.join(labels, ["node", "label"], "left_anti").isEmpty():
+            return moved
+        labels = moved
+
+
+def _concept_keys(bridge: DataFrame, k: int, article: str, concept: str) -> DataFrame:
+    """(article, combinations): all combinations of ``k`` of an article's concepts, each sorted."""
+    listed = bridge.where(f"{concept} IS NOT NULL").groupBy(article).agg(F.array_sort(F.collect_set(concept)).alias("tokens"))
+    tokens = F.col("tokens")
+    found = F.transform(tokens, lambda x, i: F.struct(F.array(x).alias("c"), i.alias("i")))
+    for _ in range(k - 1):
+        # Each combination grows by every concept after its last one.
+        found = F.flatten(F.transform(found, lambda f: F.transform(
+            F.slice(tokens, f["i"] + F.lit(2), F.size(tokens)), lambda x, j: F.struct(F.array_append(f["c"], x).alias("c"), (f["i"] + j + F.lit(1)).alias("i")))))
+    return listed.where(F.size("tokens") >= k).select(article, found["c"].alias("combinations"))
 
-def _event_chain(articles: DataFrame, article: str, max_hours: int | None) -> DataFrame:
-    """Each article to the previous one of its event in (ts, article) order.
 
-    A hot event is cut into hours: inside an hour a window finds the previous article, and
-    the first article of an hour follows the last one of the event's previous filled hour.
-    """
-    rows = articles.where("event_uri IS NOT NULL AND event_uri <> '' AND ts IS NOT NULL").select(
-        "event_uri", F.date_trunc("hour", "ts").alias("h"), "ts", article
-    )
-    inner = Window.partitionBy("event_uri", "h").orderBy("ts", article)
-    seq = F.struct("ts", article)
-    ends = rows.groupBy("event_uri", "h").agg(F.max(seq).alias("_last"))
-    over_hours = Window.partitionBy("event_uri").orderBy("h")
-    ends = ends.withColumn("_before", F.lag("_last").over(over_hours)).select("event_uri", "h", "_before")
-    chained = rows.withColumn("_prev", F.lag(seq).over(inner)).join(ends, ["event_uri", "h"])
-    prev = F.coalesce(F.col("_prev"), F.col("_before"))
-    linked = chained.withColumn("_p", prev).where("_p IS NOT NULL")
-    if max_hours is not None:
-        linked = linked.where(F.col("ts") <= F.col("_p.ts") + hours(max_hours))
-    return linked.select(F.col(f"_p.{article}").alias("article_1"), F.col(article).alias("article_2"))
-
-
-def _concept_chain(articles: DataFrame, bridge: DataFrame, k: int, max_hours: int, article: str,
-                   concept: str) -> DataFrame:
-    """Each article to the latest earlier article, at most ``max_hours`` before, of every
-    concept set that shares ``k`` concepts with its own and has the same category."""
-    sets = materialize(
-        concept_sets(bridge, article, concept, rare_first=k > 2).where(F.size("tokens") >= k), "concept-sets"
-    )
-    keyed = sets.select(article, "g")
-    distinct = _distinct_sets(sets)
-    across = _set_pairs(distinct, k).select("g1", "g2")
-    # Directed: an article of set g looks for partners in set h, its own set included.
-    both_ways = F.explode(F.array(F.struct(F.col("g1").alias("g"), F.col("g2").alias("h")),
-                                  F.struct(F.col("g2").alias("g"), F.col("g1").alias("h")))).alias("_d")
-    seen = across.select(both_ways).select("_d.*").unionByName(distinct.select("g", F.col("g").alias("h")))
-    dated = articles.where("ts IS NOT NULL AND category IS NOT NULL").select(article, "category", "ts")
-    rows = keyed.join(dated, article)
-    partners = rows.withColumnRenamed("g", "h")
-    found = _previous(lookup(rows, seen, "g", [article], "inner").drop("g"), partners, ["h", "category"], article)
-    return found.where(F.col("ts") <= F.col("_p.ts") + hours(max_hours)).select(
-        F.col(f"_p.{article}").alias("article_1"), F.col(article).alias("article_2")
-    )
+def _key(parts: Column) -> list[Column]:
+    """Two 64-bit hashes that stand for the parts."""
+    return [F.xxhash64(parts).alias("key"), F.xxhash64(F.lit(1), parts).alias("more")]
 
 
-def _previous(seekers: DataFrame, partners: DataFrame, group: list[str], article: str) -> DataFrame:
-    """Seekers with ``_p``: the latest partner of the group before them in (ts, article) order.
+def _chain(rows: DataFrame, article: str, max_hours: int) -> DataFrame:
+    """Links of each article to the one before it in (ts, article) order under the same key, if that
+    is near enough or the key is not ``gated``.
 
-    A group is cut into hours, so that a hot one is spread over many tasks. Inside an hour
-    a window finds the partner; else it is the last partner of an earlier hour, which a
-    window over the (few) filled hours of the group delivers.
+    A hot key is cut into hours: inside an hour a window finds the article before, and
+    the first article of an hour follows the last one of the key's previous filled hour.
     """
+    rows = rows.select("key", "more", "gated", F.date_trunc("hour", "ts").alias("h"), "ts", article)
     seq = F.struct("ts", article)
-    cols = [*group, "h_", "ts", article]
-    s = seekers.withColumn("h_", F.date_trunc("hour", "ts")).select(*cols, F.lit(1).alias("_seek"))
-    p = partners.withColumn("h_", F.date_trunc("hour", "ts")).select(*cols, F.lit(0).alias("_seek"))
-    both = s.unionByName(p)
-    offered = F.when(F.col("_seek") == 0, seq)
-    # A seeker sorts before its own row among the partners and so never finds itself.
-    inner = Window.partitionBy(*group, "h_").orderBy("ts", article, F.desc("_seek"))
-    near = both.withColumn(
-        "_near", F.last(offered, ignorenulls=True).over(inner.rowsBetween(Window.unboundedPreceding, -1))
-    ).where("_seek = 1")
-    filled = both.groupBy(*group, "h_").agg(F.max(offered).alias("_last"))
-    earlier = Window.partitionBy(*group).orderBy("h_").rowsBetween(Window.unboundedPreceding, -1)
-    far = filled.select(*group, "h_", F.last("_last", ignorenulls=True).over(earlier).alias("_far"))
-    joined = near.join(far, [*group, "h_"])
-    return joined.withColumn("_p", F.coalesce("_near", "_far")).where("_p IS NOT NULL")
+    inner = Window.partitionBy("key", "more", "gated", "h").orderBy("ts", article)
+    inside = rows.withColumn("_p", F.lag(seq).over(inner)).where("_p IS NOT NULL").select("gated", "_p", "ts", article)
+    ends = rows.groupBy("key", "more", "gated", "h").agg(F.max(seq).alias("_last"), F.min(seq).alias("_first"))
+    over_hours = Window.partitionBy("key", "more", "gated").orderBy("h")
+    borders = ends.withColumn("_p", F.lag("_last").over(over_hours)).where("_p IS NOT NULL").select("gated", "_p", "_first.*")
+    near = (F.col("ts") <= F.col("_p.ts") + hours(max_hours)) | ~F.col("gated")
+    return inside.unionByName(borders).where(near).select(F.col(f"_p.{article}").alias("article_1"), F.col(article).alias("article_2"))

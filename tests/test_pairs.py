@@ -61,16 +61,28 @@ def test_fewer_pairs_than_asked(spark):
     assert listed(pairs.shared_concepts(bridge(spark, {}), k=20)) == []
 
 
-def test_a_costly_step_is_only_put_off(spark):
-    """With no budget the search starts at the largest set and must come down."""
-    lists = skewed(random.Random(9), 30)
-    b = bridge(spark, lists)
-    original = pairs._cheapest_step
-    pairs._cheapest_step = lambda sets, low, high: None
-    try:
-        assert listed(pairs.shared_concepts(b, k=60)) == top(lists, 60)
-    finally:
-        pairs._cheapest_step = original
+def test_many_pairs_of_equal_overlap(spark):
+    """Nearly all pairs tie, so the answer hangs on the order of the articles."""
+    lists = {f"a{i:02d}": ["hot", "warm", f"own{i}", f"also{i % 5}"] for i in range(40)}
+    assert listed(pairs.shared_concepts(bridge(spark, lists), k=9)) == top(lists, 9)
+    assert listed(pairs.shared_concepts(bridge(spark, lists), k=60)) == top(lists, 60)
+    copies = {f"a{i:02d}": ["x"] if i % 2 else ["x", "y"] for i in range(12)}
+    assert listed(pairs.shared_concepts(bridge(spark, copies), k=25)) == top(copies, 25)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_top_pairs_of_random_sets(spark, seed):
+    rng = random.Random(seed)
+    lists = {f"a{i:03d}": rng.sample([f"c{j}" for j in range(12)], rng.randint(1, 7)) for i in range(rng.choice([4, 20, 60]))}
+    k = rng.choice([1, 5, 200])
+    assert listed(pairs.shared_concepts(bridge(spark, lists), k=k)) == top(lists, k)
+
+
+def test_offers_grow_with_the_lists(spark):
+    """Each list of a hot combination offers two pairs, not all of them."""
+    lists = {f"a{i:03d}": ["hot", "warm", f"own{i}"] for i in range(200)}
+    distinct = pairs._compared_sets(pairs.concept_sets(bridge(spark, lists)), 5, "article_uri")
+    assert pairs._offered(distinct).count() <= 2
 
 
 @pytest.mark.parametrize("min_shared", [1, 2, 3])
@@ -125,6 +137,41 @@ def test_link_count_grows_with_rows(spark):
     assert pairs.multi_signal_links(arts, links).count() == n - 1
 
 
+@pytest.mark.parametrize("seed, gate", [(3, "both"), (4, "concept_branch")])
+def test_clusters_are_the_components(spark, seed, gate):
+    rng = random.Random(seed)
+    lists = skewed(rng, 60)
+    meta = {a: (rng.choice([f"e{i}" for i in range(9)] + ["", None]), rng.choice("pq"), rng.randint(0, 400)) for a in lists}
+    arts = spark.createDataFrame([(a, *m) for a, m in meta.items()], "article_uri string, event_uri string, category string, h int")
+    arts = arts.withColumn("ts", F.lit("2026-01-01").cast("timestamp") + F.make_dt_interval(hours=F.col("h")))
+    want = []
+    for x, y in combinations(sorted(lists), 2):
+        (e1, c1, h1), (e2, c2, h2) = meta[x], meta[y]
+        near = abs(h1 - h2) <= 24
+        shared = len(set(lists[x]) & set(lists[y])) >= 3 and c1 == c2
+        if (bool(e1) and e1 == e2 and (near or gate == "concept_branch")) or (shared and near):
+            want.append((x, y))
+    named = {a: members[0] for members in components(lists, want) for a in members}
+    got = pairs.multi_signal_clusters(arts, bridge(spark, lists), k=3, max_hours=24, time_gate=gate)
+    assert dict(rows(got, "article_uri", "cluster")) == named
+
+
+def test_labels_of_a_long_chain(spark):
+    """Labels jump, so a chain of 300 takes far fewer rounds; empty links give no labels."""
+    links = spark.range(300).selectExpr("id + 1 AS a", "id AS b")
+    assert pairs.propagate_labels(links).agg(F.max("label"), F.count("*")).first() == (0, 301)
+    assert pairs.propagate_labels(links.limit(0)).isEmpty()
+
+
+def test_links_of_unequal_sets(spark):
+    """Articles whose sets all differ: one link per article and key at most, where all pairs match."""
+    n = 120
+    lists = {f"a{i:03d}": ["x", "y", f"own{i}"] for i in range(n)}
+    arts = spark.createDataFrame([(a, None, "c", i) for i, a in enumerate(lists)], "article_uri string, event_uri string, category string, h int")
+    arts = arts.withColumn("ts", F.lit("2026-01-01").cast("timestamp") + F.make_dt_interval(mins=F.col("h")))
+    assert pairs.multi_signal_links(arts, bridge(spark, lists), k=2).count() == n - 1
+
+
 def test_omissions(spark):
     articles = spark.createDataFrame([("e1", "a"), ("e1", "b"), ("e2", "a"), ("e2", "other"), ("", "c"), (None, "c")], "event_uri string, source_uri string")
     outlets = spark.createDataFrame([("a",), ("b",), ("c",)], "source_uri string")
