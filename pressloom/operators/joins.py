@@ -14,7 +14,10 @@ def lookup(big: DataFrame, small: DataFrame, key: str, spread_by: list[str], how
     small row is copied once per salt. Below the broadcast threshold Spark broadcasts the
     small side and the salt costs nothing but the copies.
     """
-    salted_big = big.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int"))
+    salt, taken = "_salt", {c.lower() for c in [*big.columns, *small.columns]}
+    while salt in taken:
+        salt += "_"
+    salted_big = big.withColumn(salt, F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int"))
     copies = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    salted_small = small.withColumn("_salt", copies)
-    return salted_big.join(salted_small, [key, "_salt"], how).drop("_salt")
+    salted_small = small.withColumn(salt, copies)
+    return salted_big.join(salted_small, [key, salt], how).drop(salt)
