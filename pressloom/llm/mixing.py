@@ -74,12 +74,12 @@ def plan_mix(docs: DataFrame, sizes: DataFrame, key: str = "doc_id", source: str
     """
     table = source_targets(sizes, source, **targets)
     names = {n: fresh(docs, n) for n in ("copies", "source_size", "target")}
-    k, salt = fresh(docs, "_key"), F.lit(0)
-    small = table.select(F.col("_key").alias(k), F.col("source_size").alias("_ss"), F.col("target").alias("_tg"), F.col("rate").alias("_rt"))
+    k, total, target, rate = (fresh(docs, n) for n in ("_key", "_total", "_target", "_rate"))
+    small = table.select(F.col("_key").alias(k), F.col("source_size").alias(total), F.col("target").alias(target), F.col("rate").alias(rate))
     joined = lookup(docs.withColumn(k, _join_key(F.col(source))), small, k, [key])
-    extra = draw(F.col(key), F.col(instead) if instead else salt, seed) < F.col("_rt") - F.floor("_rt")
-    copies = (F.floor("_rt") + extra.cast("int")).cast("bigint")
-    out = joined.select(*docs.columns, copies.alias(names["copies"]), F.col("_ss").alias(names["source_size"]), F.col("_tg").alias(names["target"]))
+    extra = draw(F.col(key), F.col(instead) if instead else F.lit(0), seed) < F.col(rate) - F.floor(rate)
+    copies = (F.floor(rate) + extra.cast("int")).cast("bigint")
+    out = joined.select(*docs.columns, copies.alias(names["copies"]), F.col(total).alias(names["source_size"]), F.col(target).alias(names["target"]))
     return out, names
 
 
