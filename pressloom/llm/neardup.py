@@ -18,8 +18,9 @@
 Edge cases: null, empty and wordless texts have no shingles and are linked with nothing; fewer
 words than a shingle make one shingle of them all; very long texts are hashed in slices; rows that
 share an id are one node, and exact copies of a row get equal rows; a row without an id takes the
-component of its copies that have one, else its component is null and it is kept; extra columns
-are ignored or passed through; an empty table gives an empty result.
+component of its copies that have one, else its component is null and ``near_groups`` keeps it;
+``drop_near_duplicates`` works on rows and keeps one of each group, also of equal rows and of copies
+without an id; extra columns are ignored or passed through; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -27,10 +28,10 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pressloom.llm.common import as_bytes, batchwise, ship
+from pressloom.llm.common import as_bytes, batchwise, fresh, ship
 from pressloom.llm.components import components
 from pressloom.llm.shingles import WordHashes, mix, shingle_set, split_lower
 from pressloom.session import materialize
@@ -71,10 +72,16 @@ def band_keys(minima: np.ndarray, bands: int) -> np.ndarray:
     return keys.view(np.int64)
 
 
+def _text_hashes(text: Column) -> tuple[Column, Column]:
+    """Two 64-bit hashes of the text itself; they tell texts apart that differ in case or blanks only."""
+    return F.xxhash64(text), F.xxhash64(F.lit(1), text)
+
+
 def sign(docs: DataFrame, key: str, text: str, size: int, bands: int, rows: int) -> DataFrame:
-    """Per row: doc_id, n_shingles, a 128-bit fingerprint of the words (hi, lo) and the band keys."""
-    picked = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
-    schema = f"doc_id {picked.dtypes[0][1]}, n_shingles bigint, hi bigint, lo bigint, keys array<bigint>"
+    """Per row: doc_id, n_shingles, 128-bit fingerprints of the words (hi, lo) and of the text (a, b), the band keys."""
+    one, two = _text_hashes(F.col(text))
+    picked = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"), one.alias("a"), two.alias("b"))
+    schema = f"doc_id {picked.dtypes[0][1]}, n_shingles bigint, hi bigint, lo bigint, a bigint, b bigint, keys array<bigint>"
 
     def run(batches):
         hashes, minhash = WordHashes(), MinHash(bands * rows)
@@ -92,8 +99,8 @@ def sign(docs: DataFrame, key: str, text: str, size: int, bands: int, rows: int)
             flat = np.concatenate(keys) if keys else np.empty(0, np.int64)
             listed = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int64()))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(counts, pa.int64()), pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy()), listed],
-                ["doc_id", "n_shingles", "hi", "lo", "keys"])
+                [batch.column(0), pa.array(counts, pa.int64()), pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy()), batch.column(2), batch.column(3), listed],
+                ["doc_id", "n_shingles", "hi", "lo", "a", "b", "keys"])
 
     return batchwise(picked, run, schema)
 
@@ -131,9 +138,8 @@ def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return joined.where(near).where(alike).where((100 + percent) * both >= percent * sizes).select(F.col("x").alias("a"), F.col("y").alias("b"))
 
 
-def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 5, percent: int = 80,
-                bands: int = 32, rows: int = 5) -> DataFrame:
-    """Per row: doc_id, n_shingles, component_id (smallest id of its group) and kept."""
+def _grouped(docs: DataFrame, key: str, text: str, size: int, percent: int, bands: int, rows: int) -> DataFrame:
+    """Per row: doc_id, n_shingles, the fingerprints of its words and its text, and component_id."""
     signed = materialize(sign(docs, key, text, size, bands, rows), "signed")
     classes = signed.where("n_shingles > 0").groupBy("hi", "lo").agg(
         F.min("doc_id").alias("rep"), F.first("keys").alias("keys"))
@@ -142,7 +148,14 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", size:
     named = signed.drop("keys").join(reps.select("hi", "lo", "rep"), ["hi", "lo"], "left")
     out = named.join(roots.select(F.col("a").alias("rep"), F.col("b").alias("root")), "rep", "left")
     component = F.when(F.col("n_shingles") > 0, F.coalesce("root", "rep")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
+    return out.select("doc_id", "n_shingles", "hi", "lo", "a", "b", component.alias("component_id"))
+
+
+def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 5, percent: int = 80,
+                bands: int = 32, rows: int = 5) -> DataFrame:
+    """Per row: doc_id, n_shingles, component_id (smallest id of its group) and kept."""
+    out = _grouped(docs, key, text, size, percent, bands, rows)
+    return out.select("doc_id", "n_shingles", "component_id").withColumn(
         "kept", F.col("component_id").isNull() | F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
 
 
@@ -171,7 +184,8 @@ def _open(cells: DataFrame, stars: DataFrame) -> DataFrame:
     labelled = cells.join(roots, "rep", "left").select("key", "rep", "members", "place", F.coalesce("root", "rep").alias("label"))
     live = labelled.groupBy("key").agg(
         F.min("label").alias("l0"), F.max("label").alias("l1"), F.min(F.struct("place", "rep")).alias("first")).where("l0 != l1")
-    return labelled.join(live.select("key", "first"), "key")
+    # Stored, as an aggregate right below the join would keep a hot bucket in one task.
+    return labelled.join(materialize(live.select("key", "first"), "spanning"), "key")
 
 
 def _distinct_pairs(found: DataFrame) -> DataFrame:
@@ -272,7 +286,30 @@ def block_links(tokens: np.ndarray, sizes: np.ndarray, straggler: np.ndarray, re
     return out
 
 
-def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", **options) -> DataFrame:
-    """The rows of each group's smallest id, with their own columns; rows without an id stay."""
-    dropped = near_groups(docs, key, **options).where("NOT kept").select(F.col("doc_id").alias("_dropped")).distinct()
-    return docs.join(dropped, docs[key] == dropped["_dropped"], "left_anti")
+def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 5, percent: int = 80,
+                         bands: int = 32, rows: int = 5) -> DataFrame:
+    """One row of each group, that of the smallest id (then of the smallest hash of its text), with its own columns.
+
+    A row is told by its id and its text, so another text of the same id is not touched; of rows that
+    agree in both, one stays, as of any group. Rows without an id are the last of their group. Rows
+    without words all stay.
+    """
+    grouped = materialize(_grouped(docs, key, text, size, percent, bands, rows).where("n_shingles > 0").select(
+        F.struct("component_id", F.when(F.col("component_id").isNull(), F.struct("hi", "lo")).alias("own")).alias("group"),
+        F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "a", "b").alias("row")), "grouped")
+    first = materialize(grouped.groupBy("group").agg(F.min("row").alias("first")), "first-rows")
+    told = grouped.groupBy("group", "row").agg(F.count("*").alias("n")).join(first, "group")
+    gone = told.where("row != first").select(F.col("row.doc_id").alias("_id"), F.col("row.a").alias("_a"), F.col("row.b").alias("_b"))
+    again = materialize(told.where("row = first AND n > 1").select(F.col("row.doc_id").alias("_id"), F.col("row.a").alias("_a"), F.col("row.b").alias("_b")), "repeated-rows")
+
+    def same(df: DataFrame, other: DataFrame):
+        one, two = _text_hashes(df[text])
+        return df[key].eqNullSafe(other["_id"]) & (one == other["_a"]) & (two == other["_b"])
+
+    left = docs.join(gone, same(docs, gone), "left_anti")
+    if again.isEmpty():
+        return left
+    a, b = fresh(docs, "a"), fresh(docs, "b")
+    one, two = _text_hashes(F.col(text))
+    repeated = left.join(again, same(left, again), "left_semi").withColumn(a, one).withColumn(b, two).dropDuplicates([key, a, b])
+    return left.join(again, same(left, again), "left_anti").unionByName(repeated.drop(a, b))

@@ -110,7 +110,7 @@ def personal(text):
     text, out = text or "", []
     if "@" in text:
         out += [(0, *m.span()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
-    out += [(1, *m.span()) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text) if all(int(x) <= 255 for x in m[0].split("."))]
+    out += [(1, *m.span()) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text) if all(len(x) <= 3 and int(x or 0) <= 255 for x in (p.lstrip("0") for p in m[0].split(".")))]
     for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text):
         digits = re.sub("[^0-9]", "", m[0])
         if 16 <= len(digits) <= 19 and luhn(digits):
