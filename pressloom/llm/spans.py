@@ -201,16 +201,20 @@ def run_table(docs: DataFrame, key: str, text: str, places: bool) -> DataFrame:
 
 def repeated_places(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(no_id, d, t, start) of every run that is repeated and not the first of its kind."""
-    # Stored before the join: an aggregate right below it would keep a hot hash in one task.
+    # Stored before the joins: an aggregate right below one would keep a hot hash in one task.
     twice = materialize(run_table(docs, key, text, False).groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "repeated")
     near = materialize(run_table(docs, key, text, True).join(twice, "h"), "near-runs")
     place = F.struct("no_id", "d", "t", "start")
     firsts = near.groupBy("h", "g").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first != last").drop("last")
+    firsts = materialize(firsts, "first-runs")
     return near.join(firsts, ["h", "g"]).where(place != F.col("first")).select("no_id", "d", "t", "start")
 
 
 def dedup_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row: doc_id, n_sentences, n_removed and the text without repeated runs."""
+    """Per row: doc_id, n_removed (sentences) and the text without repeated runs.
+
+    Only documents that hold a place to remove are cut into sentences again.
+    """
     places = repeated_places(docs, key, text)
     per_doc = places.groupBy("no_id", "d", "t").agg(F.collect_set("start").alias("starts"))
     picked = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"), *_identity(key, text))
@@ -219,17 +223,18 @@ def dedup_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     def run(batches):
         powers = Powers()
         for batch in batches:
-            out, counts, gone = [], [], []
-            for value, listed in zip(batch.column(1), batch.column(2)):
-                one, starts = value.as_py(), listed.as_py()
-                flat, _, _, begins = borders(one or "", powers)
-                edges = [*begins.tolist(), len(flat)]
-                parts = [flat[a:b] for a, b in zip(edges, edges[1:])] if starts else []
-                spans = covered(parts, starts) if starts else []
-                out.append(remove(one, parts, spans) if spans else one)
-                counts.append(len(begins))
-                gone.append(sum(e - s for s, e in spans))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(gone, pa.int64()), pa.array(out, pa.string())],
-                                             ["doc_id", "n_sentences", "n_removed", "text"])
-
-    return batchwise(joined, run, f"doc_id {picked.dtypes[0][1]}, n_sentences bigint, n_removed bigint, text string")
+            found = batch.column(2)
+            texts, gone = batch.column(1), np.zeros(len(found), np.int64)
+            if found.null_count < len(found):
+                out = texts.to_pylist()
+                for i in np.flatnonzero(found.is_valid().to_numpy(zero_copy_only=False)):
+                    flat, _, _, begins = borders(out[i], powers)
+                    edges = [*begins.tolist(), len(flat)]
+                    parts = [flat[a:b] for a, b in zip(edges, edges[1:])]
+                    spans = covered(parts, found[i].as_py())
+                    gone[i] = sum(e - s for s, e in spans)
+                    out[i] = remove(out[i], parts, spans)
+                texts = pa.array(out, texts.type)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(gone), texts], ["doc_id", "n_removed", "text"])
+
+    return batchwise(joined, run, f"doc_id {picked.dtypes[0][1]}, n_removed bigint, text string")
