@@ -231,6 +231,20 @@ def score_topic_assignment(t: Tables) -> DataFrame:
     return best.select("story_id", "topic_id", F.round("composite_score", 5).alias("composite_score"), "action")
 
 
+@query("candidate_topics", """
+WITH st AS (SELECT vec_id AS story_id, embedding, (vec_id % 37) * 10 + label AS topic_id FROM embeddings),
+m AS (SELECT topic_id, i, avg(CAST(embedding[i] AS DOUBLE)) AS x FROM st, range(1, 65) r(i) GROUP BY ALL),
+cen AS (SELECT topic_id, list(x ORDER BY i) AS centroid FROM m GROUP BY topic_id),
+near AS (SELECT story_id, cen.topic_id, round(list_cosine_similarity(CAST(embedding AS DOUBLE[]), centroid), 9) AS s FROM st, cen)
+SELECT story_id, topic_id, round(s, 6) AS embedding_similarity FROM near
+QUALIFY row_number() OVER (PARTITION BY story_id ORDER BY s DESC, topic_id) <= 3""")
+def candidate_topics(t: Tables) -> DataFrame:
+    """Every story against the centroids of up to 370 topics, all of them compared."""
+    stories = t.raw("embeddings").select(F.col("vec_id").alias("story_id"), "embedding", (F.col("vec_id") % 37 * 10 + F.col("label")).alias("topic_id"))
+    found = topics.candidate_topics(stories, topics.topic_centroids(stories, 64), 64, exact=True, block=64)
+    return found.withColumn("embedding_similarity", F.round("embedding_similarity", 6))
+
+
 @query("coverage_omissions", with_fx("articles", "outlets") + """
 SELECT e.event_uri, o.source_uri FROM (SELECT DISTINCT event_uri FROM fx_articles WHERE event_uri <> '') e, fx_outlets o
 WHERE NOT EXISTS (SELECT 1 FROM fx_articles a WHERE a.event_uri = e.event_uri AND a.source_uri = o.source_uri)""")

@@ -22,6 +22,11 @@ def cosine(a: Column | str, b: Column | str) -> Column:
     return F.try_divide(dot(a, b), norm(a) * norm(b))
 
 
+def unit(a: Column | str) -> Column:
+    """The vector scaled to length 1; its own length is computed once."""
+    return F.flatten(F.transform(F.array(norm(a)), lambda n: F.transform(_c(a), lambda x: x.cast("double") / n)))
+
+
 def mean_vector(vector: Column | str, dim: int) -> Column:
     """Aggregate: element-wise mean of vectors of length ``dim``.
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from pressloom.functions.jsonx import items, label_at, parsed, text_at
 from pressloom.functions.text import is_populated
+from pressloom.operators.joins import lookup
 from pressloom.operators.ranking import number_rows
 from pressloom.session import materialize
 
@@ -117,20 +118,33 @@ def narrative_propagation(articles: DataFrame, event: str | None = None) -> Data
     return first.withColumn("arrival", F.rank().over(w).cast("bigint"))
 
 
+WORD_BITS = 64
+
+
 def coverage_omissions(articles: DataFrame, outlets: DataFrame, event: str = "event_uri", source: str = "source_uri") -> DataFrame:
     """Outlet and event with no article of the one on the other.
 
-    Outlets are numbered; every event counts through the numbers, and an anti join takes away
-    those that covered it. Nothing but the gaps, which are the result, is longer than the
-    inputs, and no list of outlets is held in a row.
+    Outlets are numbered; the numbers that cover an event are bits of 64-bit words, put together by an
+    aggregate that combines on the map side. The gaps are the bits that the words of an event lack, and only
+    they become rows. An event that no listed outlet covers has no words and all outlets as gaps.
     """
     listed = outlets.select(source).where(F.col(source).isNotNull()).distinct()
-    numbered = materialize(number_rows(listed, [], [F.col(source).asc()], "_n"), "outlets")
-    filled = articles.where(F.col(event).isNotNull() & (F.col(event) != ""))
-    covered = filled.select(event, source).distinct().join(numbered, source).select(event, "_n")
+    numbered = materialize(number_rows(listed, [], [F.col(source).asc()], "_n").select(source, (F.col("_n") - 1).alias("_n")), "outlets")
     count = numbered.count()
-    every = filled.select(event).distinct().where(F.lit(count > 0)).withColumn("_n", F.explode(F.sequence(F.lit(1), F.lit(max(count, 1))).cast("array<bigint>")))
-    return every.join(covered, [event, "_n"], "left_anti").join(numbered, "_n").select(event, source)
+    if not count:
+        return articles.where(F.lit(False)).select(event, source)
+    filled = articles.where(F.col(event).isNotNull() & (F.col(event) != "")).select(event, source)
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), (F.col("_n") % WORD_BITS).cast("int"))
+    words = lookup(filled, numbered, source, [event]).groupBy(event, F.floor(F.col("_n") / WORD_BITS).alias("_w")).agg(F.bit_or(bit).alias("_bits"))
+    covered = words.groupBy(event).agg(F.map_from_entries(F.collect_list(F.when(F.col("_w").isNotNull(), F.struct("_w", "_bits")))).alias("_words"))
+
+    def gaps(w: Column) -> Column:
+        bits = F.coalesce(F.try_element_at("_words", w), F.lit(0).cast("bigint"))
+        free = F.filter(F.sequence(F.lit(0), F.lit(WORD_BITS - 1)), lambda b: (F.getbit(bits, b) == 0) & (w * WORD_BITS + b < count))
+        return F.transform(free, lambda b: w * WORD_BITS + b)
+
+    every = F.transform(F.sequence(F.lit(0).cast("bigint"), F.lit((count - 1) // WORD_BITS).cast("bigint")), gaps)
+    return covered.select(event, F.explode(F.flatten(every)).alias("_n")).join(numbered, "_n").select(event, source)
 
 
 def top_sources(articles: DataFrame, sources: DataFrame, k: int = 25) -> DataFrame:

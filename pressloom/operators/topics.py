@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from functools import reduce
+from random import Random
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pressloom.functions.vectors import cosine, mean_vector
+from pressloom.functions.vectors import cosine, dot, mean_vector, norm, unit
 from pressloom.operators.joins import lookup
+from pressloom.operators.ranking import number_rows
 from pressloom.session import materialize
 
 CRITERIA = ["material_impact", "institutional_action", "scope_scale", "new_information"]
@@ -47,6 +49,66 @@ def score_topic_assignment(pairs: DataFrame, weights: dict[str, float] | None =
     })
 
 
+def hyperplane_codes(vector: Column | str, dim: int, tables: int, bits: int, probes: int, seed: int = 29) -> Column:
+    """Array of (table, code): the sides of ``bits`` random hyperplanes on which a vector lies, per table.
+
+    After its own code come, up to ``probes`` of a table, those with one of the bits turned whose hyperplanes are
+    nearest to the vector. Hyperplanes are drawn from the seed, so all vectors see the same ones.
+    """
+    random = Random(seed)
+    v = F.col(vector) if isinstance(vector, str) else vector
+
+    def side(b: int) -> Column:
+        plane = F.array(*[F.lit(random.choice((-1.0, 1.0))) for _ in range(dim)])
+        return F.struct(F.lit(1 << b).alias("bit"), dot(v, plane).alias("distance"))
+
+    def codes(table: int) -> Column:
+        sides = F.array(*[side(b) for b in range(bits)])
+
+        def near(found: Column) -> Column:
+            own = F.aggregate(found, F.lit(0), lambda code, s: code + F.when(s["distance"] >= 0, s["bit"]).otherwise(0))
+            turned = F.slice(F.array_sort(F.transform(found, lambda s: F.struct(F.abs(s["distance"]).alias("distance"), s["bit"].alias("bit")))), 1, probes - 1)
+            return F.transform(F.concat(F.array(F.lit(0)), F.transform(turned, lambda s: s["bit"])),
+                               lambda bit: F.struct(F.lit(table).alias("table"), own.bitwiseXOR(bit).alias("code")))
+
+        # The distances are computed once, in an array of one element.
+        return F.flatten(F.transform(F.array(sides), near))
+
+    return F.concat(*[codes(t) for t in range(tables)])
+
+
+def candidate_topics(stories: DataFrame, centroids: DataFrame, dim: int, k: int = 3, exact: bool = False, tables: int = 8, bits: int = 6,
+                     probes: int = 4, block: int = 256, story: str = "story_id", topic: str = "topic_id", vector: str = "embedding",
+                     centroid: str = "centroid", digits: int = 9) -> DataFrame:
+    """(story, topic, embedding_similarity): the ``k`` topics nearest to a story, ties (to ``digits`` places) to the smaller id.
+
+    With the index (the default), topics are looked for in the buckets of random hyperplanes that a story's vector
+    falls into, and beside them; every topic is in the index, and what is found is compared exactly. With ``exact``, every
+    story meets all topics, ``block`` at a time, and a row per story and block leaves with the best of it. Vectors
+    without a length have no candidates.
+    """
+    own = stories.where(norm(vector) > 0).select(story, unit(vector).alias("_v"))
+    named = centroids.where(norm(centroid) > 0).select(topic, unit(centroid).alias("_c"))
+    similarity = F.round(dot("_v", "_c"), digits)
+    if exact:
+        numbered = number_rows(named, [], [F.col(topic).asc()], "_n").withColumn("_block", F.floor((F.col("_n") - 1) / block))
+        blocks = materialize(numbered.groupBy("_block").agg(F.collect_list(F.struct(F.col(topic), F.col("_c"))).alias("_topics")), "topic-blocks")
+        many = blocks.count()
+        if not many:
+            return own.join(named, F.lit(False)).select(story, topic, similarity.alias("embedding_similarity"))
+        spread = own.withColumn("_block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(many - 1).cast("bigint"))))
+        ranked = F.array_sort(F.transform("_topics", lambda t: F.struct((-F.round(dot(F.col("_v"), t["_c"]), digits)).alias("s"), t[topic].alias("t"))))
+        best = spread.join(blocks, "_block").select(story, F.explode(F.slice(ranked, 1, k)).alias("_b"))
+        found = best.select(story, F.col("_b.t").alias(topic), (-F.col("_b.s")).alias("embedding_similarity"))
+    else:
+        buckets = named.select(topic, F.explode(hyperplane_codes("_c", dim, tables, bits, 1)).alias("_at"))
+        probed = own.select(story, F.explode(hyperplane_codes("_v", dim, tables, bits, probes)).alias("_at"))
+        pairs = probed.join(buckets, "_at").select(story, topic).distinct()
+        found = lookup(pairs, named, topic, [story], "inner").join(own, story).select(story, topic, similarity.alias("embedding_similarity"))
+    place = F.row_number().over(Window.partitionBy(story).orderBy(F.desc("embedding_similarity"), topic))
+    return found.withColumn("_r", place).where(F.col("_r") <= k).drop("_r")
+
+
 def topic_value_counts(rows: DataFrame, column: str, topic: str = "topic_id") -> DataFrame:
     """(topic, value, n): the long form of a topic's frequency map."""
     return rows.where(F.col(column).isNotNull()).groupBy(topic, F.col(column).alias("value")).agg(

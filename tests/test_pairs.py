@@ -179,6 +179,33 @@ def test_omissions(spark):
     assert coverage.coverage_omissions(articles, outlets.limit(0)).isEmpty()
 
 
+def test_omissions_of_many_outlets(spark):
+    """Outlets fill several words, the last one in part."""
+    rng = random.Random(6)
+    names = [f"o{i:03d}" for i in range(150)]
+    seen = {(f"e{rng.randrange(9)}", rng.choice(names + ["else", None])) for _ in range(600)} | {("bare", "else"), ("empty", None), *(("full", n) for n in names)}
+    articles = spark.createDataFrame(sorted(seen, key=str) * 2, "event_uri string, source_uri string")
+    outlets = spark.createDataFrame([(n,) for n in names] + [(None,), (names[0],)], "source_uri string")
+    want = sorted((e, n) for e in {e for e, _ in seen} for n in names if (e, n) not in seen)
+    assert rows(coverage.coverage_omissions(articles, outlets), "event_uri", "source_uri") == want
+
+
+def test_candidate_topics(spark):
+    """The index finds nine of ten of the topics that a comparison with all topics finds; both leave the same similarities."""
+    rng = random.Random(8)
+    middles = [[rng.gauss(0, 1) for _ in range(16)] for _ in range(12)]
+    topic_rows = [(i, [x + rng.gauss(0, 0.5) for x in middles[i % 12]]) for i in range(400)] + [(1000, [0.0] * 16)]
+    story_rows = [(i, [x + rng.gauss(0, 0.5) for x in middles[i % 12]]) for i in range(300)] + [(900, [0.0] * 16)]
+    stories = spark.createDataFrame(story_rows, "story_id int, embedding array<double>")
+    centroids = spark.createDataFrame(topic_rows, "topic_id int, centroid array<double>")
+    exact = {(r.story_id, r.topic_id): r.embedding_similarity for r in topics.candidate_topics(stories, centroids, 16, 5, exact=True, block=64).collect()}
+    found = {(r.story_id, r.topic_id): r.embedding_similarity for r in topics.candidate_topics(stories, centroids, 16, 5).collect()}
+    assert len(exact) == 5 * 300 and all(exact.get(p, s) == s for p, s in found.items())
+    assert len(exact.keys() & found.keys()) >= 0.9 * len(exact)
+    assert topics.candidate_topics(stories, centroids.limit(0), 16, exact=True).isEmpty()
+    assert topics.candidate_topics(stories.limit(0), centroids, 16).isEmpty()
+
+
 def test_ancestors_end_at_gaps_and_cycles(spark):
     c = spark.createDataFrame([("a", "b"), ("b", "gone"), ("x", "y"), ("y", "x"), ("root", None)], "uri string, parent_uri string")
     got = rows(topics.category_ancestors(c), "uri", "ancestor_uri", "depth")
