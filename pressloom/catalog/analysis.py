@@ -343,8 +343,11 @@ _OUTLETS = [f"src{i}" for i in range(20)]
     f"count(*) FILTER (WHERE source_name = '{o}') AS {o}" for o in _OUTLETS) + """
 FROM fx_enriched WHERE scope_status = 'IN_SCOPE' GROUP BY topic_label""")
 def v_heatmap_wide(t: Tables) -> DataFrame:
+    """One column for each outlet that stories come from or the outlet table lists; those of stories are compared."""
     cells = coverage.heatmap_cells(t.fx("enriched"))
-    return coverage.heatmap_wide(cells, _OUTLETS).select("topic_label", *_OUTLETS)
+    listed = t.fx("outlets").select("source_name", "adfontes_bias_score").unionByName(
+        cells.select("source_name", F.lit(None).cast("double").alias("adfontes_bias_score")))
+    return coverage.heatmap_wide(cells, coverage.outlets_by_bias(listed)).select("topic_label", *_OUTLETS)
 
 
 @query("heatmap_asymmetry", with_fx("enriched", "outlets", more=_BIAS) + """,
@@ -368,7 +371,7 @@ cat AS (SELECT topic_id, top_category, count(*) AS n FROM st WHERE top_category
 cats AS (SELECT topic_id, string_agg(top_category || '=' || n, ',' ORDER BY top_category) AS category_counts, arg_min(top_category, (-n, top_category)) AS dominant_category FROM cat GROUP BY topic_id)
 SELECT topic_id, count(*) AS story_count, strftime(min(published_at), '%Y-%m-%d %H:%M:%S') AS earliest_published_at, any_value(med.medoid_id) AS medoid_id,
   any_value(med.label) AS label, round(any_value(med.s), 6) AS medoid_similarity, any_value(category_counts) AS category_counts, any_value(dominant_category) AS dominant_category,
-  round(any_value(cen.centroid)[1], 6) AS centroid_first
+  array_to_string(list_transform(any_value(cen.centroid), lambda v: CAST(round(v * 100000) AS BIGINT)), ',') AS centroid
 FROM st JOIN med USING (topic_id) JOIN cen USING (topic_id) LEFT JOIN cats USING (topic_id) GROUP BY topic_id""")
 def topic_rollup(t: Tables) -> DataFrame:
     lang = t.raw("documents").select(F.col("doc_id").alias("vec_id"), F.col("lang").alias("top_category"))
@@ -381,7 +384,59 @@ def topic_rollup(t: Tables) -> DataFrame:
     return r.select("topic_id", "story_count", ts_text("earliest_published_at").alias("earliest_published_at"), "medoid_id", "label",
                     F.round("medoid_similarity", 6).alias("medoid_similarity"),
                     F.when(F.col("category_counts").isNotNull(), F.concat_ws(",", listed)).alias("category_counts"),
-                    "dominant_category", F.round(F.col("centroid")[0], 6).alias("centroid_first"))
+                    "dominant_category", _centroid_text())
+
+
+def _centroid_text():
+    return F.array_join(F.transform("centroid", lambda x: F.round(x * 100000).cast("bigint")), ",").alias("centroid")
+
+
+def _topic_stories(t: Tables) -> DataFrame:
+    """Stories of ten topics with a language, two concepts and an entity."""
+    lang = t.raw("documents").select(F.col("doc_id").alias("vec_id"), F.col("lang").alias("top_category"))
+    return t.raw("embeddings").join(lang, "vec_id", "left").select(
+        F.col("label").alias("topic_id"), "vec_id", "embedding", "top_category",
+        F.array(F.concat(F.lit("c"), F.col("vec_id") % 7), F.concat(F.lit("c"), F.col("vec_id") % 5)).alias("concept"),
+        F.when(F.col("vec_id") % 3 > 0, F.concat(F.lit("e"), F.col("vec_id") % 11)).alias("entity"),
+        (F.lit("2026-02-14").cast("timestamp") + F.make_dt_interval(hours=F.col("vec_id").cast("int"))).alias("published_at"))
+
+
+_TOPIC_STATE = """
+WITH st AS (SELECT label AS topic_id, vec_id, embedding, d.lang, 'c' || vec_id % 7 AS c1, 'c' || vec_id % 5 AS c2,
+  CASE WHEN vec_id % 3 > 0 THEN 'e' || vec_id % 11 END AS e FROM embeddings LEFT JOIN documents d ON d.doc_id = vec_id),
+vals AS (SELECT topic_id, 'top_category' AS kind, lang AS value FROM st UNION ALL SELECT topic_id, 'concept', c1 FROM st
+  UNION ALL SELECT topic_id, 'concept', c2 FROM st WHERE c1 <> c2 UNION ALL SELECT topic_id, 'entity', e FROM st),
+counts AS (SELECT topic_id, kind, value, count(*) AS n FROM vals WHERE value IS NOT NULL GROUP BY ALL),
+m AS (SELECT topic_id, i, avg(CAST(embedding[i] AS DOUBLE)) AS x FROM st, range(1, 65) r(i) GROUP BY ALL),
+cen AS (SELECT topic_id, list(x ORDER BY i) AS centroid FROM m GROUP BY topic_id)"""
+
+
+def _merged_state(t: Tables) -> DataFrame:
+    """The state of three batches, added up one after the other."""
+    stories, state = _topic_stories(t), None
+    for batch in range(3):
+        more = topics.topic_state(stories.where(F.col("vec_id") % 3 == batch), 64)
+        state = more if state is None else topics.merge_topic_states(state.unionByName(more), 64)
+    return state
+
+
+@query("topic_state_counts", _TOPIC_STATE + "SELECT topic_id, kind, value, n FROM counts")
+def topic_state_counts(t: Tables) -> DataFrame:
+    return _merged_state(t).where("kind <> 'topic'").select("topic_id", "kind", "value", "n")
+
+
+@query("topic_rollup_of_batches", _TOPIC_STATE + """,
+top AS (SELECT topic_id, kind, arg_min(value, (-n, value)) AS value FROM counts GROUP BY ALL)
+SELECT st.topic_id, count(*) AS story_count, strftime(TIMESTAMP '2026-02-14 00:00:00' + to_hours(CAST(min(vec_id) AS INT)), '%Y-%m-%d %H:%M:%S') AS earliest_published_at,
+  strftime(TIMESTAMP '2026-02-14 00:00:00' + to_hours(CAST(max(vec_id) AS INT)), '%Y-%m-%d %H:%M:%S') AS latest_published_at,
+  array_to_string(list_transform(any_value(cen.centroid), lambda v: CAST(round(v * 100000) AS BIGINT)), ',') AS centroid,
+  any_value(a.value) AS dominant_category, any_value(b.value) AS dominant_concept, any_value(c.value) AS dominant_entity
+FROM st JOIN cen USING (topic_id) LEFT JOIN top a ON a.topic_id = st.topic_id AND a.kind = 'top_category'
+  LEFT JOIN top b ON b.topic_id = st.topic_id AND b.kind = 'concept' LEFT JOIN top c ON c.topic_id = st.topic_id AND c.kind = 'entity' GROUP BY st.topic_id""")
+def topic_rollup_of_batches(t: Tables) -> DataFrame:
+    r = topics.rollup_of_state(_merged_state(t))
+    return r.select("topic_id", "story_count", ts_text("earliest_published_at").alias("earliest_published_at"), ts_text("latest_published_at").alias("latest_published_at"),
+                    _centroid_text(), "dominant_category", "dominant_concept", "dominant_entity")
 
 
 @query("topic_value_counts", with_fx("links", "stories") + """

@@ -433,25 +433,45 @@ _DIAG_SQL = f"""count(*) AS rows_in_artifact, {sql_ts('min(date_time_published)'
   {sql_ts('max(date_time_published)')} AS max_date_time_published,
   {_POPULATED.format('source')} AS source_count, {_POPULATED.format('concepts')} AS concepts_count,
   {_POPULATED.format('categories')} AS categories_count, {_POPULATED.format('location')} AS location_count,
-  count(*) AS authors_count, 0 AS videos_count"""
-_DIAG_COLS = ["source_count", "concepts_count", "categories_count", "location_count", "authors_count", "videos_count"]
+  count(*) AS authors_count, count(*) FILTER (WHERE doc_id % 2 = 0) AS links_count, count(*) FILTER (WHERE doc_id % 3 = 0) AS videos_count,
+  count(*) FILTER (WHERE doc_id % 4 = 0) AS shares_count, count(*) FILTER (WHERE lang = 'en') AS duplicate_list_count,
+  count(*) FILTER (WHERE doc_id % 5 = 0) AS extracted_dates_count, count(*) FILTER (WHERE lang <> 'en') AS original_article_count,
+  count(*) FILTER (WHERE doc_id % 6 > 0) AS raw_article_count"""
+_DIAG_COLS = [f"{c}_count" for c in C.ARTICLE_JSON_COLUMNS]
+
+
+def diagnosed_articles(t: Tables) -> DataFrame:
+    """The staged articles with every JSON column filled in some rows and null, 'null' or blank in the others."""
+    i, english = F.col("uri").substr(F.lit(5), F.lit(20)).cast("bigint"), F.col("lang") == "en"
+    filled = {"links": i % 2 == 0, "videos": i % 3 == 0, "shares": i % 4 == 0, "duplicate_list": english, "extracted_dates": i % 5 == 0,
+              "original_article": ~english, "raw_article": i % 6 > 0}
+    nothing = F.when(i % 7 == 0, F.lit("null")).when(i % 7 < 4, F.lit(""))
+    return staged_articles(t).withColumns({c: F.when(test, F.lit('[{"a":1}]')).otherwise(nothing) for c, test in filled.items()})
 
 
 @query("article_diagnostics", with_fx("articles") + f"SELECT {_DIAG_SQL} FROM fx_articles")
 def article_diagnostics(t: Tables) -> DataFrame:
-    d = metrics.article_diagnostics(staged_articles(t))
+    d = metrics.article_diagnostics(diagnosed_articles(t))
     return d.select("rows_in_artifact", ts_text("min_date_time_published").alias("min_date_time_published"),
                     ts_text("max_date_time_published").alias("max_date_time_published"), *_DIAG_COLS)
 
 
 @query("event_diagnostics", with_fx("articles") + """,
-ev AS (SELECT event_uri, min(date_time_published) AS first FROM fx_articles WHERE event_uri <> '' GROUP BY event_uri)
+ev AS (SELECT event_uri, min(date_time_published) AS first, length(event_uri) AS k, right(event_uri, 1) AS z FROM fx_articles WHERE event_uri <> '' GROUP BY event_uri)
 SELECT count(*) AS rows_in_artifact, strftime(min(first), '%Y-%m-%d') AS min_event_date, strftime(max(first), '%Y-%m-%d') AS max_event_date,
-  count(*) AS title_count, 0 AS summary_count FROM ev""")
+  count(*) AS title_count, """ + ",\n  ".join(f"count(*) FILTER (WHERE {test}) AS {c}_count" for c, test in (
+    ("article_counts", "k = 5"), ("summary", "k = 6"), ("concepts", "z = '1'"), ("categories", "z > '1'"), ("common_dates", "z > '2'"),
+    ("location", "z > '3'"), ("stories", "z > '4'"), ("images", "z > '5'"), ("raw_event", "z > '6'"))) + " FROM ev")
 def event_diagnostics(t: Tables) -> DataFrame:
-    d = metrics.event_diagnostics(staged_events(t))
+    """Every JSON column is filled in some rows and null, 'null' or blank in the others."""
+    k, z = F.length("uri"), F.right(F.col("uri"), F.lit(1))
+    filled = {"article_counts": k == 5, "summary": k == 6, "concepts": z == "1",
+              **{c: z > str(i + 1) for i, c in enumerate(["categories", "common_dates", "location", "stories", "images", "raw_event"])}}
+    nothing = F.when(z < "3", F.lit("null")).when(z < "6", F.lit(""))
+    staged = staged_events(t).withColumns({c: F.when(test, F.lit('{"a":1}')).otherwise(nothing) for c, test in filled.items()})
+    d = metrics.event_diagnostics(staged)
     return d.select("rows_in_artifact", F.col("min_event_date").cast("string").alias("min_event_date"),
-                    F.col("max_event_date").cast("string").alias("max_event_date"), "title_count", "summary_count")
+                    F.col("max_event_date").cast("string").alias("max_event_date"), *[f"{c}_count" for c in C.EVENT_JSON_COLUMNS])
 
 
 @query("artifact_counts", with_fx("articles") + """

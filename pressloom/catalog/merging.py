@@ -752,8 +752,7 @@ def latest(t: Tables) -> DataFrame:
 
 @query("fetch_batches", """
 WITH n AS (SELECT user_id, row_number() OVER (ORDER BY 'ev-' || user_id) AS rn FROM (SELECT DISTINCT user_id FROM events))
-SELECT (rn - 1) // 50 AS batch, count(*) AS n, min('ev-' || user_id) AS first FROM n GROUP BY ALL""")
+SELECT (rn - 1) // 50 AS batch, count(*) AS n, string_agg('ev-' || user_id, ',' ORDER BY 'ev-' || user_id) AS event_uris FROM n GROUP BY ALL""")
 def fetch_batches(t: Tables) -> DataFrame:
     selected = t.raw("events").select(F.concat(F.lit("ev-"), "user_id").alias("event_uri")).distinct()
-    return discover.fetch_batches(selected).select("batch", F.size("event_uris").cast("bigint").alias("n"),
-                                                   F.col("event_uris")[0].alias("first"))
+    return discover.fetch_batches(selected).select("batch", F.size("event_uris").cast("bigint").alias("n"), F.array_join("event_uris", ",").alias("event_uris"))

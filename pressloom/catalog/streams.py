@@ -96,19 +96,46 @@ def stream_merge_last(t: Tables) -> DataFrame:
 SELECT 'ev-' || user_id AS uri, {sql_ts('max(ts)')} AS last_collected_at FROM events WHERE event_type = 'purchase'
 GROUP BY user_id HAVING max(ts) < TIMESTAMP '2024-01-30 12:00:00'""")
 def stream_stale_events(t: Tables) -> DataFrame:
-    """Latest collection per event as keyed streaming state, then the freshness test."""
+    """Latest collection per event and batch, folded, then the freshness test."""
     seen = t.stream("events").where("event_type = 'purchase'").select(F.concat(F.lit("ev-"), "user_id").alias("uri"), "ts")
-    out = work_path(t.spark, "seen")
-    q = (
-        cycles.last_seen(seen, "uri", "ts").writeStream.outputMode("update")
-        .foreachBatch(lambda batch, i: batch.write.mode("overwrite").parquet(f"{out}/batch={i}"))
-        .option("checkpointLocation", work_path(t.spark, "cp")).trigger(availableNow=True).start()
-    )
-    q.awaitTermination()
+    out, last = work_path(t.spark, "seen"), cycles.latest_of_batch("uri", "ts")
+    arrivals.run_available(seen, work_path(t.spark, "cp"), lambda batch, i: last(batch).write.mode("overwrite").parquet(f"{out}/batch={i}"))
     state = t.spark.read.parquet(out).groupBy("uri").agg(F.max("last_collected_at").alias("last_collected_at"))
     return discover.stale_events(state, "2024-01-31 12:00:00", 24).select("uri", ts_text("last_collected_at").alias("last_collected_at"))
 
 
+@query("stream_stale_alerts", f"""
+WITH e AS (SELECT 'ev-' || user_id AS uri, ts FROM events WHERE event_type = 'purchase'),
+n AS (SELECT *, CASE WHEN ts <= lag(ts) OVER w + INTERVAL 24 HOURS THEN 0 ELSE 1 END AS fresh FROM e WINDOW w AS (PARTITION BY uri ORDER BY ts)),
+g AS (SELECT *, sum(fresh) OVER (PARTITION BY uri ORDER BY ts ROWS UNBOUNDED PRECEDING) AS s FROM n)
+SELECT uri, {sql_ts('max(ts)')} AS last_collected_at, {sql_ts('max(ts) + INTERVAL 24 HOURS')} AS stale_at FROM g GROUP BY uri, s
+HAVING max(ts) + INTERVAL 24 HOURS <= (SELECT max(ts) - INTERVAL 2 HOURS FROM e)""")
+def stream_stale_alerts(t: Tables) -> DataFrame:
+    """An alert for every time that an event had not been collected for a day."""
+    seen = t.stream("events").where("event_type = 'purchase'").select(F.concat(F.lit("ev-"), "user_id").alias("uri"), "ts")
+    out = work_path(t.spark, "alerts")
+    arrivals.append_available(cycles.stale_alerts(seen, "uri", "ts", 24, "2 hours"), out, work_path(t.spark, "cp"))
+    found = t.spark.read.schema("uri string, last_collected_at timestamp, stale_at timestamp").parquet(out)
+    return found.select("uri", ts_text("last_collected_at").alias("last_collected_at"), ts_text("stale_at").alias("stale_at"))
+
+
+@query("stream_late_articles", f"""
+WITH d AS (SELECT event_id, ts, ts + to_hours(CAST(user_id % 20 AS INT)) AS seen FROM events),
+c AS (SELECT *, (CAST(floor(epoch_us(ts) / 1000000) AS BIGINT) // 21600 + 1) * 21600 AS own,
+  (CAST(floor(epoch_us(seen) / 1000000) AS BIGINT) // 21600 + 1) * 21600 AS first FROM d
+  WHERE seen + INTERVAL 12 HOURS <= (SELECT max(seen) - INTERVAL 3 HOURS FROM d))
+SELECT event_id AS uri, {sql_ts('make_timestamp(own * 1000000)')} AS own_run, {sql_ts('make_timestamp(first * 1000000)')} AS first_run,
+  (first - own) // 21600 AS cycles_late, ts >= make_timestamp((first - 43200) * 1000000) AS caught FROM c WHERE first > own""")
+def stream_late_articles(t: Tables) -> DataFrame:
+    """The late rows of a stream, up to the sightings that a run may still look back to; a third is sighted twice."""
+    e = t.stream("events").select(F.col("event_id").alias("uri"), "ts", (F.col("ts") + times.hours((F.col("user_id") % 20).cast("int"))).alias("seen"))
+    again = e.where("uri % 3 = 0").withColumn("seen", F.col("seen") + times.hours(F.lit(0)))
+    out = work_path(t.spark, "late")
+    arrivals.append_available(cycles.late_sightings(e.unionByName(again), "ts", "seen", 6, 12, "3 hours"), out, work_path(t.spark, "cp"))
+    late = t.spark.read.schema("uri bigint, ts timestamp, seen timestamp, own_run timestamp, first_run timestamp, cycles_late bigint, caught boolean").parquet(out)
+    return late.select("uri", ts_text("own_run").alias("own_run"), ts_text("first_run").alias("first_run"), "cycles_late", "caught")
+
+
 def _cycle_sql(cycle: int, lookback: int, offset: int = 0) -> str:
     """Runs of one grid that cover a row: the ends in (ts, ts + lookback]."""
     step, back, off = cycle * 3600, lookback * 3600, offset * 3600
@@ -227,14 +254,14 @@ def scalar_json(t: Tables) -> DataFrame:
 
 @query("scalar_array", """
 WITH c AS (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents)
-SELECT doc_id, len(l) AS n, CAST(ceil(len(l) / 3) AS BIGINT) AS chunks, array_to_string(l[1:2], '|') AS first_two, array_to_string(l[4:6], '|') AS second_chunk FROM c""")
+SELECT doc_id, len(l) AS n, CAST(ceil(len(l) / 3) AS BIGINT) AS chunks, md5(array_to_string(
+  list_transform(range(CAST(ceil(len(l) / 3) AS BIGINT)), lambda i: i || ':' || array_to_string(l[3 * i + 1:3 * i + 3], '|')), '#')) AS pieces FROM c""")
 def scalar_array(t: Tables) -> DataFrame:
     """The lines of a text as one list, cut into batches of three."""
     c = t.raw("documents").select("doc_id", F.split("text", F.lit("\n")).alias("l"))
     pieces = text.chunk("l", 3)
     return c.select("doc_id", F.size("l").cast("bigint").alias("n"), F.size(pieces).cast("bigint").alias("chunks"),
-                    F.concat_ws("|", F.slice("l", 1, 2)).alias("first_two"),
-                    F.concat_ws("|", F.coalesce(F.get(pieces, F.lit(1)), F.array().cast("array<string>"))).alias("second_chunk"))
+                    F.md5(F.array_join(F.transform(pieces, lambda x, i: F.concat(i.cast("string"), F.lit(":"), F.array_join(x, "|"))), "#").cast("binary")).alias("pieces"))
 
 
 @query("cosine", """

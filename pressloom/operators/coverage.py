@@ -258,6 +258,20 @@ def heatmap_cells(enriched: DataFrame, bias: DataFrame | None = None) -> DataFra
     return cells
 
 
+MOST_OUTLETS = 2000
+
+
+def outlets_by_bias(outlets: DataFrame, score: str = "adfontes_bias_score", source: str = "source_name") -> list[str]:
+    """Names of all outlets from left to right, unrated ones last, then by name: the columns of the wide heat map.
+
+    Outlets are a curated list; more than ``MOST_OUTLETS`` of them are no table's columns, which is an error.
+    """
+    found = outlets.where(F.col(source).isNotNull()).groupBy(source).agg(F.min(score).alias("_s")).orderBy(F.asc_nulls_last("_s"), source).limit(MOST_OUTLETS + 1).collect()
+    if len(found) > MOST_OUTLETS:
+        raise ValueError(f"more than {MOST_OUTLETS} outlets")
+    return [r[source] for r in found]
+
+
 def heatmap_wide(cells: DataFrame, outlets: list[str], value: str = "article_count") -> DataFrame:
     """One row per topic, one column per outlet in the given (left to right) order, zeros
     for gaps, largest topics first."""

@@ -12,7 +12,7 @@ from pressloom.functions.jsonx import filled_text_at, items, json_at, parsed
 from pressloom.functions.text import blank_to_null
 from pressloom.functions.times import instant
 from pressloom.operators.casts import valid_key
-from pressloom.operators.merge import merge_dimension, replace_links
+from pressloom.operators.merge import merge_dimension, replace_links, require_unique
 
 
 def source_uri_of(column: str = "source") -> Column:
@@ -107,9 +107,10 @@ def sync_source_uri(articles: DataFrame, staged: DataFrame, as_of, clear: bool =
     """Set ``source_uri`` of staged articles from their source object.
 
     An article whose new payload has no usable source loses it; with ``clear=False`` (the
-    one-off backfill) it keeps the old one.
+    one-off backfill) it keeps the old one. A uri that is staged twice fails the job, since its
+    rows may disagree; pick one before.
     """
-    new = valid_key(staged, "uri").select("uri", source_uri_of().alias("_new"), F.lit(True).alias("_hit"))
+    new = require_unique(valid_key(staged, "uri"), ["uri"]).select("uri", source_uri_of().alias("_new"), F.lit(True).alias("_hit"))
     value, old = F.col("_new"), F.col("source_uri")
     differs = F.coalesce(F.col("_hit"), F.lit(False)) & ~old.eqNullSafe(value)
     if not clear:
@@ -131,7 +132,7 @@ def normalize_articles(staged: DataFrame, tables: dict[str, DataFrame], as_of) -
 
     ``tables`` holds articles, sources, concepts, categories, article_concepts and
     article_categories; the same names come back with their new content. The staged table
-    feeds eight outputs, so persist it first.
+    feeds eight outputs, so persist it first. A uri that is staged twice fails the job.
     """
     uris = staged_uris(staged)
     return {

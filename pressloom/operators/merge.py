@@ -99,7 +99,9 @@ def merge_changed(target: DataFrame, staged: DataFrame, key: list[str], tracked:
     nothing changed. Duplicate staged keys fail, or the last in ``order`` wins.
     """
     if on_duplicate == "last":
-        staged = dedupe_last(staged, key, order or key)
+        if not order:
+            raise ValueError("on_duplicate='last' needs an order that tells the rows of a key apart")
+        staged = dedupe_last(staged, key, order)
     elif on_duplicate == "error":
         staged = require_unique(staged, key)
     else:

@@ -165,6 +165,48 @@ def topic_rollup(stories: DataFrame, dim: int) -> DataFrame:
     return out
 
 
+STATE_VALUES = ("top_category", "concept", "entity")
+
+
+def topic_state(stories: DataFrame, dim: int) -> DataFrame:
+    """What a batch of stories adds to its topics, in rows that can be added up: per topic one row of counts, times and
+    vector sums (``kind`` is 'topic'), and one per topic and value of each of ``STATE_VALUES`` among the columns.
+
+    Values that are arrays count once per element and story. The vocabulary of a topic is open, so it stays rows.
+    """
+    v = F.col("embedding")
+    base = stories.groupBy("topic_id").agg(
+        F.count("*").alias("n"), F.count("embedding").alias("vectors"), F.min("published_at").alias("earliest"), F.max("published_at").alias("latest"),
+        F.array(*[F.coalesce(F.sum(F.get(v, F.lit(i)).cast("double")), F.lit(0.0)) for i in range(dim)]).alias("sums"))
+    out = base.select("topic_id", F.lit("topic").alias("kind"), F.lit(None).cast("string").alias("value"), "n", "vectors", "earliest", "latest", "sums")
+    types = dict(stories.dtypes)
+    for column in STATE_VALUES:
+        if column not in types:
+            continue
+        value = F.explode(F.array_distinct(column)) if types[column].startswith("array") else F.col(column)
+        counts = stories.select("topic_id", value.alias("value")).where("value IS NOT NULL").groupBy("topic_id", F.col("value").cast("string").alias("value")).agg(F.count("*").alias("n"))
+        out = out.unionByName(counts.withColumn("kind", F.lit(column)), allowMissingColumns=True)
+    return out
+
+
+def merge_topic_states(states: DataFrame, dim: int) -> DataFrame:
+    """The state of all batches whose states are given, in the same form."""
+    sums = F.array(*[F.sum(F.get(F.col("sums"), F.lit(i))) for i in range(dim)])
+    return states.groupBy("topic_id", "kind", "value").agg(
+        F.sum("n").alias("n"), F.sum("vectors").alias("vectors"), F.min("earliest").alias("earliest"), F.max("latest").alias("latest"), sums.alias("sums"))
+
+
+def rollup_of_state(state: DataFrame) -> DataFrame:
+    """One row per topic: story_count, times, centroid, and the dominant value of each kind."""
+    base = state.where("kind = 'topic'").select(
+        "topic_id", F.col("n").alias("story_count"), F.col("earliest").alias("earliest_published_at"), F.col("latest").alias("latest_published_at"),
+        F.when(F.col("vectors") > 0, F.transform("sums", lambda x: x / F.col("vectors"))).alias("centroid"))
+    for column in STATE_VALUES:
+        counts = state.where(F.col("kind") == column).select("topic_id", "value", "n")
+        base = base.join(dominant_value(counts, f"dominant_{column.removeprefix('top_')}"), "topic_id", "left")
+    return base
+
+
 def met_count(prefix: str = "") -> Column:
     """Number of true criteria, 0 to 4; an unknown criterion counts as not met."""
     ones = [F.coalesce(F.col(f"{prefix}{c}"), F.lit(False)).cast("int") for c in CRITERIA]

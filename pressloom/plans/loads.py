@@ -89,7 +89,7 @@ def load_articles(store: TableStore, run_dir: str, manifest: dict, as_of, on_dup
     of the artifact, which can be split, instead of the CSV. Only rows of staged keys are read back from the large tables and only changed rows are
     written. Returns the status.
     """
-    spark, run = store.spark, run_of(manifest)
+    spark, run, store = store.spark, run_of(manifest), store.pinned()
     if _skipped(store, run, manifest, run_dir, as_of):
         return SKIPPED
     staged = None
@@ -143,9 +143,10 @@ def load_articles(store: TableStore, run_dir: str, manifest: dict, as_of, on_dup
 
 
 def _publish_failure(store: TableStore, run: dict, as_of, error: Exception) -> None:
-    """Record the failure in the ledger; nothing else of the load becomes visible."""
+    """Record the failure in the ledger; nothing else of the load becomes visible. The row follows on
+    whatever version is current by now."""
     row = _log_row(store.spark, run, as_of, error_code="loader_error", error_message=str(error))
-    store.publish({"run_log": runs.mark_failed(_empty_log(store.spark), row)})
+    TableStore(store.spark, store.root).publish({"run_log": runs.mark_failed(_empty_log(store.spark), row)})
 
 
 def _loaded_log(spark: SparkSession, run: dict, as_of, counts: dict) -> DataFrame:
@@ -170,7 +171,7 @@ def load_events(store: TableStore, run_dir: str, manifest: dict, as_of, touch_un
     spark = store.spark
     if not manifest.get("events_fetched"):
         return "loaded_zero_events"
-    run = run_of(manifest)
+    run, store = run_of(manifest), store.pinned()
     if _skipped(store, run, manifest, run_dir, as_of):
         return SKIPPED
     staged = None
@@ -212,7 +213,7 @@ def load_headlines(store: TableStore, run_dir: str, manifest: dict, as_of) -> di
     """
     spark = store.spark
     key = {**manifest, "run_type": manifest.get("run_type") or "scheduled", "nth_run": manifest.get("nth_run") or 1}
-    run = run_of(key)
+    run, store = run_of(key), store.pinned()
     if _skipped(store, run, key, run_dir, as_of):
         return {"status": SKIPPED}
     staged = None
@@ -247,7 +248,7 @@ def collect_events(store: TableStore, parent: dict, as_of, **flags) -> DataFrame
     The four event_collect metrics are filed under the parent run. Fetching itself is
     outside; it reads ``event_requests`` and lands raw payloads.
     """
-    spark = store.spark
+    store = store.pinned()
     run = {**{k: parent[k] for k in C.RUN_KEY}, "run_id": instant(parent["run_id"])}
     articles = store.read("articles")
     found = discover.discover_events(articles, "parent_run", run)

@@ -4,8 +4,11 @@ A table is a list of Parquet folders, oldest first. A load appends one folder wi
 it changed and then publishes all its tables by writing one small pointer file, so readers
 see a load whole or not at all, and the large tables are never rewritten by a small load.
 The current row of a key is the one in its newest folder. ``compact`` folds a table back
-into one folder. Pointer files are numbered and never overwritten: of two loads that publish
-at the same time one fails and can be run again.
+into one folder. Pointer files are numbered and never overwritten. A load works on a ``pinned``
+store: all it reads is of one version, and it publishes the next one. If another load has
+published since, the file of that version is there already; the later load fails and can be run
+again, so no update is lost. File systems that create a file only if it is not there (HDFS, local
+ones) keep that promise; on object stores one writer at a time has to be arranged for outside.
 """
 
 from __future__ import annotations
@@ -27,10 +30,19 @@ class TableStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._at: tuple[int, dict[str, list[str]]] | None = None
+
+    def pinned(self) -> TableStore:
+        """A view of the current version; what it publishes follows on that version or fails."""
+        view = TableStore(self.spark, self.root)
+        view._at = self._pointer()
+        return view
 
     # --- pointer -----------------------------------------------------------------
 
     def _pointer(self) -> tuple[int, dict[str, list[str]]]:
+        if self._at is not None:
+            return self._at[0], dict(self._at[1])
         jvm = self.spark.sparkContext._jvm
         folder = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{_POINTERS}")
         fs = folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
@@ -57,6 +69,8 @@ class TableStore:
             written[name] = path
             tables[name] = [path] if replace else tables.get(name, []) + [path]
         write_text_file(self.spark, f"{self.root}/{_POINTERS}/{number + 1:09d}.json", json.dumps(tables))
+        if self._at is not None:
+            self._at = number + 1, tables
         return written
 
     # --- reading -----------------------------------------------------------------
@@ -92,4 +106,5 @@ class TableStore:
 
     def compact(self, name: str) -> None:
         """One folder with the current rows; the old folders stay for running readers."""
-        self.publish({name: self.read(name)}, replace=True)
+        view = self.pinned()
+        view.publish({name: view.read(name)}, replace=True)

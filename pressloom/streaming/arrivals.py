@@ -45,6 +45,16 @@ def run_available(stream: DataFrame, checkpoint: str, handle: Callable[[DataFram
     return query
 
 
+def append_available(stream: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
+    """Append the rows that are final by now to the Parquet folder ``out`` and stop; a restart continues."""
+    query = (
+        stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
+        .outputMode("append").trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    return query
+
+
 def _each(batch: DataFrame, action: Callable[[str, dict], None]) -> None:
     """Run an action per document in run order. A batch holds run metadata only, at most
     ``max_files`` rows; the data itself is read by each load as a Spark job."""

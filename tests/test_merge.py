@@ -135,3 +135,18 @@ def test_insert_if_absent_takes_one_row_per_new_key(spark):
 def test_article_row_has_every_column():
     assert list(article_row()) and set(article_row()) == set(C.ARTICLE_COLUMNS) and len(C.ARTICLE_TRACKED) == 34
     assert len(C.EVENT_TRACKED) == 16 and len(C.HEADLINE_TRACKED) == 11
+
+
+def test_repeated_staged_uris_repeat_nothing(spark):
+    stored = spark.createDataFrame([("a", None, None)], "uri string, source_uri string, updated_at timestamp")
+    twice = spark.createDataFrame([("a", '{"uri":"s"}'), ("a", '{"uri":"t"}'), ("", "{}"), (None, "{}"), ("", "{}")], "uri string, source string")
+    with pytest.raises(Exception, match="duplicate staged key"):
+        dims.sync_source_uri(stored, twice, "2026-02-01").collect()
+    once = twice.where("source <> '{\"uri\":\"t\"}'")
+    assert rows(dims.sync_source_uri(stored, once, "2026-02-01"), "uri", "source_uri") == [("a", "s")]
+
+
+def test_last_needs_an_order(spark):
+    new = staged(spark, [("a", "x", 1), ("a", "y", 2)])
+    with pytest.raises(ValueError, match="order"):
+        run_merge(table(spark, []), new, on_duplicate="last")

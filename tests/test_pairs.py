@@ -235,6 +235,38 @@ def test_heatmap_order_and_zeros(spark):
     assert [tuple(r) for r in wide.collect()] == [("T2", 9, 1, 0), ("T1", 5, 1, 1)]
 
 
+def test_outlets_in_bias_order(spark, monkeypatch):
+    o = spark.createDataFrame([("mid", 0.0), ("right", 9.5), ("none", None), ("left", -3.0), ("also", 0.0), ("left", -2.0), (None, 1.0), ("bare", None)], "source_name string, adfontes_bias_score double")
+    names = coverage.outlets_by_bias(o)
+    assert names == ["left", "also", "mid", "right", "bare", "none"]
+    cells = spark.createDataFrame([("T", 3, "mid", 4)], "topic_label string, cluster_size int, source_name string, article_count long")
+    assert coverage.heatmap_wide(cells, names).columns == ["topic_label", "cluster_size", *names]
+    monkeypatch.setattr(coverage, "MOST_OUTLETS", 3)
+    with pytest.raises(ValueError):
+        coverage.outlets_by_bias(o)
+
+
+def test_topic_states_add_up(spark):
+    """Batches in any order and grouping give the roll-up of all stories."""
+    rng = random.Random(2)
+    data = [(rng.choice("xyz"), [rng.random() for _ in range(3)] if rng.random() < 0.9 else None, rng.choice(["a", "b", None]),
+             rng.sample(["p", "q", "r"], rng.randrange(4)), rng.choice(["m", None])) for _ in range(90)] + [("lone", None, None, [], None)]
+    df = spark.createDataFrame([(*d, i) for i, d in enumerate(data)], "topic_id string, embedding array<double>, top_category string, concept array<string>, entity string, i int")
+    df = df.withColumn("published_at", F.lit("2026-01-01").cast("timestamp") + F.make_dt_interval(hours=F.col("i")))
+    one = topics.merge_topic_states(topics.topic_state(df, 3), 3)
+    parts = [topics.topic_state(df.where(F.col("i") % 4 == k), 3) for k in (2, 0, 3, 1)]
+    two = topics.merge_topic_states(topics.merge_topic_states(parts[0].unionByName(parts[1]), 3).unionByName(topics.merge_topic_states(parts[2].unionByName(parts[3]), 3)), 3)
+
+    def plain(state):
+        return sorted(str([*r[:5], [round(x, 9) if x is not None else None for x in r["centroid"] or []], *r[5:7]]) for r in topics.rollup_of_state(state).select(
+            "topic_id", "story_count", "earliest_published_at", "latest_published_at", "dominant_category", "dominant_concept", "dominant_entity", "centroid").collect())
+
+    assert plain(one) == plain(two)
+    assert rows(one.where("kind <> 'topic'"), "topic_id", "kind", "value", "n") == rows(two.where("kind <> 'topic'"), "topic_id", "kind", "value", "n")
+    counts = {(r.topic_id, r.value): r.n for r in one.where("kind = 'concept'").collect()}
+    assert counts == {(t, c): n for t in "xyz" for c in "pqr" if (n := sum(d[0] == t and c in d[3] for d in data))}
+
+
 def test_concept_coverage_by_label_with_quotes(spark):
     import json
 
