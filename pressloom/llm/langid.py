@@ -9,8 +9,8 @@ bytes; the language of the shortest code is predicted. As the statistics are fro
 length is the same wherever it stands, so tasks remember it.
 
 Training reads a sample of at most about ``per_language`` documents of each language, drawn by a
-hash of the id and text, and keeps the ``max_nodes`` most frequent (context, byte) counts; both
-bounds are parameters.
+hash of the id and text, and keeps all (context, byte) counts of it, in every language alike;
+the size of the sample is a parameter.
 
 Edge cases: a null text or one without a letter is ``und`` with score 0, as is every text when no
 language could be learned; texts of any length are coded whole; ties go to the first language by
@@ -200,9 +200,8 @@ def _grams(docs: DataFrame, order: int, limit: int = 100_000) -> DataFrame:
     return batchwise(counted, grams, "lang string, gram binary, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
-def train(docs: DataFrame, key: str = "doc_id", lang: str = "lang", text: str = "text", order: int = ORDER, per_language: int = 1000,
-          max_nodes: int = 300_000) -> ContextTrees:
-    """Context trees of the languages of labelled documents."""
+def train(docs: DataFrame, key: str = "doc_id", lang: str = "lang", text: str = "text", order: int = ORDER, per_language: int = 1000) -> ContextTrees:
+    """Context trees of the languages of labelled documents; all nodes of the sample are kept, which bounds them."""
     draw = F.xxhash64(F.lit(3), F.col(key), F.col(text)).alias("_draw")
     labelled = docs.select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"), draw).dropna()
     # Stored first: Spark then sees how small it is and need not shuffle the texts for the join.
@@ -210,9 +209,8 @@ def train(docs: DataFrame, key: str = "doc_id", lang: str = "lang", text: str =
     drawn = lookup(labelled, sizes, "lang", ["_draw"], "inner")
     sample = drawn.where(F.shiftrightunsigned("_draw", 11).cast("double") * 2.0**-53 * F.col("_size") < per_language)
     counts = _grams(sample.select("lang", "text"), order)
-    # A context's own total is not needed apart from its bytes; rare long contexts go first.
-    top = counts.orderBy(F.col("n").desc(), "lang", "gram").limit(max_nodes)
-    return ContextTrees([(r["lang"], bytes(r["gram"]), r["n"]) for r in top.toLocalIterator()], order)
+    ordered = counts.orderBy(F.col("n").desc(), "lang", "gram")
+    return ContextTrees([(r["lang"], bytes(r["gram"]), r["n"]) for r in ordered.toLocalIterator()], order)
 
 
 def identify(docs: DataFrame, trees: ContextTrees, key: str = "doc_id", text: str = "text") -> DataFrame:
