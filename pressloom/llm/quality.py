@@ -1,6 +1,6 @@
 """Quality rules as a short-circuit cascade.
 
-Each rule is a condition over metrics of the text. On a small sample the cascade measures what
+Each rule is a condition over metrics of the text. On a small sample, drawn by hash, the cascade measures what
 every rule costs and how many documents it rejects, and then tries the rules in the order of
 rejections per second: most documents leave at a cheap rule and never reach the dear ones. The
 order changes the time only: a document is rejected when any rule holds.
@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pressloom.llm.common import BLANKS, fresh, let, words
 
 SYMBOLS = "#*$%&|<>"
+SAMPLE, LONGEST = 400, 1 << 16
 
 Get = Callable[[str], Column]
 
@@ -138,15 +139,25 @@ def verdict(text: Column, rules: list[Rule]) -> Column:
     return let(F.coalesce(text, F.lit("")), lambda t: let(words(t), lambda w: cascade(t, w)))
 
 
-def order_rules(docs: DataFrame, rules: list[Rule], text: str = "text", sample: int = 400) -> list[Rule]:
-    """Rules by rejections per second, measured on up to ``sample`` texts; ties keep the order.
+def draw_sample(docs: DataFrame, text: str = "text", sample: int = SAMPLE, longest: int = LONGEST) -> list[str | None]:
+    """Up to ``sample`` texts of at most ``longest`` bytes: of all rows those with the smallest hashes.
 
-    The sample comes to the driver, so it holds no text of over 64 KB.
+    Equal texts in one row each hash alike, so a text that many rows hold counts once.
     """
-    rows = docs.select(F.col(text).alias("text")).where(F.coalesce(F.octet_length("text"), F.lit(0)) <= 1 << 16).take(sample)
+    fits = docs.select(F.col(text).alias("text")).where(F.coalesce(F.octet_length("text"), F.lit(0)) <= longest)
+    hashed = fits.select(F.xxhash64(F.lit(23), "text").alias("h"), "text")
+    few = hashed.groupBy("h").agg(F.lit(1).alias("one")).orderBy("h").limit(sample).select("h").collect()
+    if not few:
+        return []
+    return [r["text"] for r in hashed.where(F.col("h").isin([r["h"] for r in few])).dropDuplicates(["h"]).orderBy("h").limit(sample).select("text").collect()]
+
+
+def order_rules(docs: DataFrame, rules: list[Rule], text: str = "text", sample: int = SAMPLE, longest: int = LONGEST) -> list[Rule]:
+    """Rules by rejections per second, measured on a sample of the texts; ties keep the order."""
+    rows = draw_sample(docs, text, sample, longest)
     if not rows:
         return rules
-    held = docs.sparkSession.createDataFrame([(r["text"],) for r in rows], "text string").coalesce(1)
+    held = docs.sparkSession.createDataFrame([(r,) for r in rows], "text string").coalesce(1)
 
     def measured(rule: Rule) -> float:
         test = held.agg(F.count_if(verdict(F.col("text"), [rule]).isNotNull()).alias("n"))
@@ -158,32 +169,35 @@ def order_rules(docs: DataFrame, rules: list[Rule], text: str = "text", sample:
     return [r for _, r in sorted(((measured(r), r) for r in rules), key=lambda x: -x[0])]
 
 
-def judge(docs: DataFrame, text: str = "text", rules: list[Rule] | None = None, sample: int = 400) -> tuple[DataFrame, str]:
+def judge(docs: DataFrame, text: str = "text", rules: list[Rule] | None = None, sample: int = SAMPLE) -> tuple[DataFrame, str]:
     """All rows with the rule that rejects each (null: kept); also the name of that column."""
     ordered = order_rules(docs, rules or BASE_RULES + MORE_RULES, text, sample)
     name = fresh(docs, "rejected_by")
     return docs.withColumn(name, verdict(F.col(text), ordered)), name
 
 
-def keep_good(docs: DataFrame, text: str = "text", rules: list[Rule] | None = None, sample: int = 400) -> DataFrame:
+def keep_good(docs: DataFrame, text: str = "text", rules: list[Rule] | None = None, sample: int = SAMPLE) -> DataFrame:
     """The rows that no rule rejects, with their own columns."""
     judged, name = judge(docs, text, rules, sample)
     return judged.where(F.col(name).isNull()).drop(name)
 
 
-def profile(docs: DataFrame, key: str = "doc_id", text: str = "text", sample: int = 400) -> DataFrame:
-    """Per row the counts, the verdict of the base rules and that of the whole cascade."""
+def profile(docs: DataFrame, key: str = "doc_id", text: str = "text", sample: int = SAMPLE) -> DataFrame:
+    """Per row the counts, the verdict of the base rules and that of the whole cascade.
+
+    The cascade runs all rules in the measured order. It takes the counts that are reported anyway as they
+    are, and computes any other only for the rows that reach its rule.
+    """
     shown = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    needed = [*shown, "n_lines", "n_marks", "n_changed_case"]
-    ordered = order_rules(docs, MORE_RULES, text, sample)
-    m = docs.select(F.col(key).alias("doc_id"), metrics(F.col(text), needed).alias("m"))
+    ordered = order_rules(docs, BASE_RULES + MORE_RULES, text, sample)
+    m = docs.select(F.col(key).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("t"), metrics(F.col(text), shown).alias("m"))
 
     def get(name: str) -> Column:
-        return F.col("m")[name]
+        return F.col("m")[name] if name in shown else METRICS[name](F.col("t"), words(F.col("t")))
 
-    base = BASE_RULES[0].fails(get) | BASE_RULES[1].fails(get)
-    more = F.lit(False)
+    rejected = F.lit(False)
     for rule in reversed(ordered):
-        more = F.when(rule.fails(get), True).otherwise(more)
-    judged = m.withColumns({"base_failed": base, "kept": F.when(base, False).otherwise(~more)})
+        rejected = F.when(rule.fails(get), True).otherwise(rejected)
+    base = BASE_RULES[0].fails(get) | BASE_RULES[1].fails(get)
+    judged = m.withColumns({"base_failed": base, "kept": ~rejected})
     return judged.select("doc_id", *[F.col("m")[n].alias(n) for n in shown], "base_failed", "kept")

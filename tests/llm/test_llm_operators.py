@@ -452,3 +452,22 @@ def test_span_dedup_passage_at_every_offset(kind):
         assert glue.join(w for i, p in enumerate(parts) if not any(a <= i < b for a, b in gone) for w in p).split() == left.split()
         shares.append(sum(len(parts[i]) for a, b in gone for i in range(a, b)) / 51)
     assert sum(shares) / len(shares) > 0.7
+
+
+def test_rules_sample_is_drawn_by_hash(spark):
+    """The sample does not hang on partitions or on the first rows, and copies count once."""
+    texts = [f"word{i} " * (i % 60) for i in range(300)] + ["copy of one text"] * 500 + [None, "", "long " * 20000]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    one, two = (quality.draw_sample(df.repartition(n), sample=40) for n in (1, 7))
+    assert one == two and len(one) == 40 == len(set(one)) and "long " * 20000 not in quality.draw_sample(df, sample=9999)
+    assert "long " * 20000 in quality.draw_sample(df, sample=9999, longest=1 << 20)
+    assert quality.draw_sample(df.limit(0)) == []
+
+
+def test_any_order_of_rules_gives_one_verdict(spark, docs, monkeypatch):
+    df = spark.createDataFrame(docs + EDGE, "doc_id long, text string")
+    want = sorted(map(str, quality.profile(df).collect()))
+    monkeypatch.setattr(quality, "order_rules", lambda d, rules, *a, **k: rules[::-1])
+    assert sorted(map(str, quality.profile(df).collect())) == want
+    assert [r.kept for r in quality.profile(df).orderBy("doc_id").collect()] == [
+        r.ok for r in df.select("doc_id", quality.verdict(F.col("text"), quality.BASE_RULES + quality.MORE_RULES).isNull().alias("ok")).orderBy("doc_id").collect()]
