@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from pressloom.contracts import ARTICLE_TRACKED, EVENT_TRACKED, HEADLINE_TRACKED, METRIC_KEY
 from pressloom.functions.times import instant
+from pressloom.session import materialize
 
 INSERTED, UPDATED, UNCHANGED, KEPT = "inserted", "updated", "unchanged", "kept"
 
@@ -37,9 +38,23 @@ def require_unique(df: DataFrame, key: list[str]) -> DataFrame:
     return df.where(ok)
 
 
-def dedupe_last(df: DataFrame, key: list[str], order: list[str]) -> DataFrame:
-    """Last write per key in ``order`` (end it with a unique column)."""
-    return _one_per_key(df, key, order, F.max_by)
+def dedupe_last(df: DataFrame, key: list[str], order: list[str], place: list[str] | None = None) -> DataFrame:
+    """Last write per key in ``order`` (end it with a unique column).
+
+    ``place`` names columns that tell every row of ``df`` apart, such as the file and the row of a scan. With them
+    wide rows stay where they are: keys, order and places alone are compared, and the rows that lose, of
+    keys written more than once, are taken out by an anti join. Their places are stored first, so that Spark
+    knows their size and broadcasts them if they are few. Rows that tie in ``order`` go by their place.
+    """
+    if place is None:
+        return _one_per_key(df, key, order, F.max_by)
+    rank = F.struct(*order, *[p for p in place if p not in order])
+    narrow = df.select(*dict.fromkeys([*key, *order, *place]))
+    best = narrow.groupBy(*key).agg(F.max(rank).alias("_best"), F.count("*").alias("_n")).where("_n > 1")
+    same = reduce(lambda a, b: a & b, [F.col(f"r.{k}").eqNullSafe(F.col(f"b.{k}")) for k in key])
+    lost = narrow.withColumn("_rank", rank).alias("r").join(best.alias("b"), same).where(~F.col("_rank").eqNullSafe(F.col("_best")))
+    gone = materialize(lost.select(*[F.col(f"r.{p}") for p in place]), "replaced-rows")
+    return df.join(gone, place, "left_anti").select(*df.columns)
 
 
 def dedupe_first(df: DataFrame, key: list[str], order: list[str]) -> DataFrame:

@@ -250,7 +250,10 @@ def collect_events(store: TableStore, parent: dict, as_of, **flags) -> DataFrame
     """
     store = store.pinned()
     run = {**{k: parent[k] for k in C.RUN_KEY}, "run_id": instant(parent["run_id"])}
-    articles = store.read("articles")
+    # The run is looked for among all versions by narrow, pushed-down columns; only articles that have
+    # been in it are folded to their current rows.
+    touched = casts.by_run(store.versions("articles"), run).select("uri")
+    articles = store.read("articles", touched)
     found = discover.discover_events(articles, "parent_run", run)
     events = store.read("events", found.select(F.col("event_uri").alias("uri")))
     wanted = discover.freshness_filter(found, events, as_of, **flags)

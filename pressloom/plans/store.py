@@ -24,6 +24,7 @@ from pressloom.schemas import BRIDGES, LOGS, TABLE_KEYS, TABLES
 from pressloom.sinks.artifacts import write_text_file
 
 _POINTERS = "_published"
+_PLACE = ("_part", "_file", "_row")
 
 
 class TableStore:
@@ -79,30 +80,36 @@ class TableStore:
         _, tables = self._pointer()
         schema = f"{TABLES[name]}"
         parts = [
-            self.spark.read.schema(schema).parquet(path).withColumn("_part", F.lit(i))
+            self.spark.read.schema(schema).parquet(path).select(
+                "*", F.lit(i).alias("_part"), F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
             for i, path in enumerate(tables.get(name, []))
         ]
         if not parts:
-            return self.spark.createDataFrame([], f"{schema}, _part int"), 0
+            return self.spark.createDataFrame([], f"{schema}, _part int, _file string, _row bigint"), 0
         rows = parts[0]
         for part in parts[1:]:
             rows = rows.unionByName(part)
         return rows, len(parts)
 
+    def versions(self, name: str) -> DataFrame:
+        """All rows ever published, also those that newer ones of their key have replaced."""
+        return self._parts(name)[0].drop(*_PLACE)
+
     def read(self, name: str, only: DataFrame | None = None) -> DataFrame:
         """Current rows, or those of the keys in ``only``: the key filter is applied before
-        the newest row is picked, so a small batch picks among few rows."""
+        the newest row is picked, so a small batch picks among few rows. A read of all keys compares keys
+        and places of rows only, and takes replaced rows out where they are read."""
         rows, parts = self._parts(name)
         key = TABLE_KEYS.get(name) or ([BRIDGES[name]] if name in BRIDGES else None)
         if only is not None and key:
             rows = rows.join(only.select(*key).distinct(), key, "left_semi")
         if name in LOGS or (parts < 2 and name not in BRIDGES):
-            return rows.drop("_part")
+            return rows.drop(*_PLACE)
         if name in BRIDGES:
             newest = rows.groupBy(*key).agg(F.max("_part").alias("_part"))
-            value = [c for c in rows.columns if c not in (*key, "_part")][0]
-            return rows.join(newest, [*key, "_part"], "left_semi").where(f"{value} IS NOT NULL").drop("_part")
-        return dedupe_last(rows, key, ["_part"]).drop("_part")
+            value = [c for c in rows.columns if c not in (*key, *_PLACE)][0]
+            return rows.join(newest, [*key, "_part"], "left_semi").where(f"{value} IS NOT NULL").drop(*_PLACE)
+        return dedupe_last(rows, key, ["_part"], ["_file", "_row"] if only is None else None).drop(*_PLACE)
 
     def compact(self, name: str) -> None:
         """One folder with the current rows; the old folders stay for running readers."""

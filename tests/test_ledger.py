@@ -119,20 +119,19 @@ def pages(spark, listing, size):
     return df.select(F.lit(1).alias("run"), "page", "pos", "uri", F.col("t").cast("timestamp").alias("ts"))
 
 
-def verdicts(spark, listing, size=2, stop="2026-01-01"):
-    audit = quality.page_audit(pages(spark, listing, size), stop, ["run"], page_size=size)
-    return [r[0] for r in audit.orderBy("page").select("verdict").collect()]
+def facts(spark, listing, stop="2026-01-01"):
+    audit = quality.page_audit(pages(spark, listing, 2), stop, ["run"])
+    return [tuple(r) for r in audit.orderBy("page").select("articles", "new_uris", "seen_before_streak", "trusted_stop_streak").collect()]
 
 
-def test_page_verdicts(spark):
-    assert verdicts(spark, ["ab", "cd", "e"]) == ["continue", "continue", "last_page"]
-    assert verdicts(spark, ["ab", "ab", "ab", "cd"]) == ["continue"] * 4
-    assert verdicts(spark, ["ab", "ab", "ab", "ab", "cd"]) == ["continue", "continue", "continue", "abort", "not_reached"]
-    # Two trustworthy pages beyond the boundary stop; a repeated one in between resets.
+def test_page_facts(spark):
+    assert facts(spark, ["ab", "cd", "e"]) == [(2, 2, 0, 0), (2, 2, 0, 0), (1, 1, 0, 0)]
+    assert facts(spark, ["ab", "ab", "ab", "ab", "cd", "cd"]) == [(2, 2, 0, 0), (2, 0, 1, 0), (2, 0, 2, 0), (2, 0, 3, 0), (2, 2, 0, 0), (2, 0, 1, 0)]
+    # Beyond the boundary, a page that was seen or has nothing new ends the trusted ones.
     late = "2026-01-11"
-    assert verdicts(spark, ["ab", "cd", "ef"], stop=late) == ["continue", "early_stop", "not_reached"]
-    assert verdicts(spark, ["ab", "ab", "cd", "ef"], stop=late) == ["continue", "continue", "continue", "early_stop"]
-    assert verdicts(spark, ["ab", "ba", "cd", "ef"], stop=late) == ["continue", "continue", "continue", "early_stop"]
+    assert [f[2:] for f in facts(spark, ["ab", "cd", "ef"], late)] == [(0, 1), (0, 2), (0, 3)]
+    assert [f[2:] for f in facts(spark, ["ab", "ab", "cd", "ef"], late)] == [(0, 1), (1, 0), (0, 1), (0, 2)]
+    assert [f[2:] for f in facts(spark, ["ab", "ba", "cd", "ef"], late)] == [(0, 1), (0, 0), (0, 1), (0, 2)]
 
 
 def test_nulls_do_not_collide(spark):

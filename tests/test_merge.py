@@ -150,3 +150,21 @@ def test_last_needs_an_order(spark):
     new = staged(spark, [("a", "x", 1), ("a", "y", 2)])
     with pytest.raises(ValueError, match="order"):
         run_merge(table(spark, []), new, on_duplicate="last")
+
+
+def test_wide_rows_stay_where_they_are(spark, tmp_path):
+    """Replaced rows go by an anti join on their places; the body is in no shuffle."""
+    rng = random.Random(3)
+    data = [(rng.choice(["a", "b", "c", None, f"k{i}"]), rng.choice([None, 1, 2, 3]), "body " * i) for i in range(200)] + [("a", 3, "x")] * 3
+    spark.createDataFrame(data, "uri string, n int, body string").repartition(4).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t")).select("*", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+    late, plain = merge.dedupe_last(df, ["uri"], ["n"], ["file", "row"]), merge.dedupe_last(df, ["uri"], ["n", "file", "row"])
+    assert rows(late) == rows(plain)
+    assert late.count() == len({u for u, _, _ in data})
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        text = late.selectExpr("*")._jdf.queryExecution().explainString(late._sc._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    shuffled = [part for part in text.split("\n\n") if ") Exchange" in part]
+    assert "BroadcastExchange" in text and not any("body" in part for part in shuffled)
