@@ -54,13 +54,10 @@ SEED_RUN_ID = "1900-01-01 00:00:00"
 ERROR_MESSAGE_CHARS = 2000
 PAGE_SIZE = 100
 MAX_PAGES = 500
-MAX_REPEATED_PAGES = 3
 URI_BATCH_SIZE = 100
 EVENT_BATCH_SIZE = 50
 STALE_AFTER_HOURS = 24
 
-# -----------------------------------------------------------------------------------
-
 RUN_KEY = ["run_id", "ingestion_source", "run_type", "nth_run"]
 METRIC_KEY = RUN_KEY + ["stage", "metric_name"]
 
@@ -86,8 +83,17 @@ EVENT_CASTS = {
 }
 HEADLINE_CASTS = {"published_at": "timestamp"}
 
+# Fields an event entry may carry outside or inside its ``info`` object.
+EVENT_FIELDS = [
+    "concepts", "categories", "eventDate", "totalArticleCount", "title", "summary", "images",
+    "location", "commonDates", "articleCounts", "stories", "relevance", "sentiment",
+    "socialScore", "wgt",
+]
+
 LINEAGE_COLUMNS = ["ingestion_source", "run_id", "run_type", "nth_run", "collected_at"]
 
+# --- end of the fixed values --------------------------------------------------------
+
 # Columns whose change makes a row "updated". Lineage counts for articles and
 # headlines; events compare payload columns only.
 ARTICLE_TRACKED = [

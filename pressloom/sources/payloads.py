@@ -5,16 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pressloom.contracts import EVENT_FIELDS
 from pressloom.functions.jsonx import is_object, items, text_at
 from pressloom.functions.text import blank_to_null
 
-# Fields an event entry may carry outside or inside its ``info`` object.
-EVENT_FIELDS = [
-    "concepts", "categories", "eventDate", "totalArticleCount", "title", "summary", "images",
-    "location", "commonDates", "articleCounts", "stories", "relevance", "sentiment",
-    "socialScore", "wgt",
-]
-
 
 def _object(value: Column, path: str) -> Column:
     found = F.try_variant_get(value, f"$.{path}", "variant")
