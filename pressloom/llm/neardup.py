@@ -201,7 +201,8 @@ def _first_hub(live: DataFrame) -> DataFrame:
 def _largest(live: DataFrame) -> DataFrame:
     """Per bucket the label of most members."""
     counts = live.groupBy("key", "label").agg(F.count("*").alias("m"))
-    return counts.groupBy("key").agg(F.max(F.struct("m", "label"))["label"].alias("top"))
+    # Stored before it is joined: an aggregate right below a join would keep a hot bucket in one task.
+    return materialize(counts.groupBy("key").agg(F.max(F.struct("m", "label"))["label"].alias("top")), "largest")
 
 
 def _small_buckets(live: DataFrame) -> DataFrame:
