@@ -10,7 +10,7 @@ from pressloom.llm import queries
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))
 def test_twin(spark, name):
     con = duckdb.connect()
-    for one in ("documents", "benchmark", "pages"):
+    for one in ("documents", "benchmark", "embeddings", "pages"):
         con.sql(f"CREATE VIEW {one} AS SELECT * FROM '{DATA}/{one}.parquet'")
     df = queries.QUERIES[name](spark, DATA)
     relation = con.sql(queries.ORACLE[name])
