@@ -192,9 +192,11 @@ def stories_with_assessment(articles: DataFrame, validation: DataFrame, assessme
 
 
 def enriched_headlines(articles: DataFrame, sources: DataFrame, validation: DataFrame, assignments: DataFrame,
-                       topics: DataFrame, assessments: DataFrame, scope: DataFrame, enriched_at) -> DataFrame:
+                       topics: DataFrame, assessments: DataFrame, scope: DataFrame, enriched_at,
+                       keep: tuple[str, ...] = ()) -> DataFrame:
     """Denormalised story rows. Story tables join on the story id (one row each); topic and
-    source rows come by left joins that adaptive execution splits for hot keys."""
+    source rows come by left joins that adaptive execution splits for hot keys. ``keep`` names
+    further columns of the join that stay (``source_uri``)."""
     from pressloom.functions.times import instant
 
     def story(df: DataFrame, *cols) -> DataFrame:
@@ -220,7 +222,7 @@ def enriched_headlines(articles: DataFrame, sources: DataFrame, validation: Data
         .select("story_id", "title", "description", "content", "url", "source_name", "published_at",
                 "headline_clean", "body_valid", "top_category", "topic_id", "topic_label", "cluster_size",
                 "composite_score", "dominant_category", *pi[:1], "pi_label", *pi[1:], "scope_status",
-                "source_feed", "enriched_at")
+                "source_feed", "enriched_at", *keep)
     )
 
 

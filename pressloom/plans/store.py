@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pressloom.operators.merge import dedupe_last
-from pressloom.schemas import BRIDGES, LOGS, TABLE_KEYS, TABLES
+from pressloom.schemas import BRIDGES, LOGS, TABLE_KEYS, TABLES, TOMBSTONES
 from pressloom.sinks.artifacts import write_text_file
 
 _POINTERS = "_published"
@@ -54,12 +54,23 @@ class TableStore:
         if not numbers:
             return 0, {}
         newest = max(numbers)
-        stream = fs.open(jvm.org.apache.hadoop.fs.Path(folder, f"{newest:09d}.json"))
+        return newest, self._tables_at(newest)
+
+    def _tables_at(self, number: int) -> dict[str, list[str]]:
+        """The folders of each table as published by one version."""
+        if number < 1:
+            return {}
+        jvm = self.spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{_POINTERS}/{number:09d}.json")
+        stream = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).open(path)
         try:
-            return newest, json.loads(jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+            return json.loads(jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
         finally:
             stream.close()
 
+    def version(self) -> int:
+        return self._pointer()[0]
+
     def publish(self, changes: dict[str, DataFrame], replace: bool = False) -> dict[str, str]:
         """Write each table's changed rows, then make all of them visible at once."""
         number, tables = self._pointer()
@@ -91,6 +102,18 @@ class TableStore:
             rows = rows.unionByName(part)
         return rows, len(parts)
 
+    def changes(self, name: str, since: int) -> DataFrame | None:
+        """Rows published after version ``since``, as they were published; None if there are none. A folder
+        that ``compact`` wrote holds no change, the folders it took the place of are still there."""
+        number, tables = self._pointer()
+        before, added = self._tables_at(since).get(name, []), []
+        for one in range(since + 1, number + 1):
+            after = tables.get(name, []) if one == number else self._tables_at(one).get(name, [])
+            if after[:len(before)] == before:
+                added += after[len(before):]
+            before = after
+        return self.spark.read.schema(TABLES[name]).parquet(*added) if added else None
+
     def versions(self, name: str) -> DataFrame:
         """All rows ever published, also those that newer ones of their key have replaced."""
         return self._parts(name)[0].drop(*_PLACE)
@@ -104,14 +127,21 @@ class TableStore:
         if only is not None and key:
             rows = rows.join(only.select(*key).distinct(), key, "left_semi")
         if name in LOGS or (parts < 2 and name not in BRIDGES):
-            return rows.drop(*_PLACE)
+            return _alive(rows.drop(*_PLACE), name)
         if name in BRIDGES:
             newest = rows.groupBy(*key).agg(F.max("_part").alias("_part"))
             value = [c for c in rows.columns if c not in (*key, *_PLACE)][0]
             return rows.join(newest, [*key, "_part"], "left_semi").where(f"{value} IS NOT NULL").drop(*_PLACE)
-        return dedupe_last(rows, key, ["_part"], ["_file", "_row"] if only is None else None).drop(*_PLACE)
+        current = dedupe_last(rows, key, ["_part"], ["_file", "_row"] if only is None else None).drop(*_PLACE)
+        return _alive(current, name)
 
     def compact(self, name: str) -> None:
         """One folder with the current rows; the old folders stay for running readers."""
         view = self.pinned()
         view.publish({name: view.read(name)}, replace=True)
+
+
+def _alive(rows: DataFrame, name: str) -> DataFrame:
+    """Without the keys that were taken out, and without the flag."""
+    flag = TOMBSTONES.get(name)
+    return rows if flag is None else rows.where(~F.coalesce(flag, F.lit(False))).drop(flag)
