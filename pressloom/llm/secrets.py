@@ -15,7 +15,8 @@ alphabets (the lowest 1 - ``quantile`` of the alphabet that is nearest), and not
 is given. A model is one number per pair of the alphabet, so its size is fixed.
 
 Positions are code points, ends exclusive: a match starts where the text pieces before it and the
-matches before it end, which running sums over both give.
+matches before it end, which running sums over both give. Overlaps come from one sort of all positions and
+replaced texts out of blocks of ``BLOCK`` code points, so the time for a text grows with its length and spans.
 
 Edge cases: null text is the empty text and has no spans; very long texts are scanned whole;
 repeated rows get equal rows; without labelled values the random model is uniform; an empty table
@@ -27,6 +28,7 @@ from __future__ import annotations
 import json
 import math
 import random
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -52,25 +54,30 @@ EQUAL = 0.05
 WORD_LIKE = r"(?<![A-Za-z0-9+/_-])[A-Za-z][A-Za-z0-9+/_-]{5,}"
 
 
-def running_totals(values: Column, block: int = 256) -> Column:
-    """Inclusive running sums of a long array, block by block: appending is only quadratic in a block."""
-    none = F.array().cast("array<bigint>")
+def running(values: Column, join: Callable[[Column, Column], Column], block: int = 256) -> Column:
+    """Inclusive running values of an array of numbers from 0 up, such as sums or maxima, block by block: appending
+    is only quadratic in a block."""
+    none, zero = F.array().cast("array<bigint>"), F.lit(0).cast("bigint")
 
     def last(a: Column) -> Column:
-        return F.coalesce(F.try_element_at(a, F.lit(-1)), F.lit(0).cast("bigint"))
+        return F.coalesce(F.try_element_at(a, F.lit(-1)), zero)
 
-    def totals(a: Column) -> Column:
-        return F.aggregate(a, none, lambda done, x: F.concat(done, F.array(last(done) + x)))
+    def one_block(a: Column) -> Column:
+        return F.aggregate(a, none, lambda done, x: F.concat(done, F.array(join(last(done), x))))
 
     def whole(a: Column) -> Column:
         starts = F.sequence(F.lit(0), F.floor(F.size(a) / block).cast("int"))
-        inner = F.transform(starts, lambda b: totals(F.slice(a, b * block + 1, block)))
-        return let(inner, lambda parts: let(totals(F.transform(parts, last)), lambda ends: F.flatten(
-            F.transform(parts, lambda p, i: F.transform(p, lambda x: x + F.coalesce(F.get(ends, i - 1), F.lit(0).cast("bigint")))))))
+        inner = F.transform(starts, lambda b: one_block(F.slice(a, b * block + 1, block)))
+        return let(inner, lambda parts: let(one_block(F.transform(parts, last)), lambda ends: F.flatten(
+            F.transform(parts, lambda p, i: F.transform(p, lambda x: join(F.coalesce(F.get(ends, i - 1), zero), x))))))
 
     return let(values, whole)
 
 
+def running_totals(values: Column) -> Column:
+    return running(values, lambda total, x: total + x)
+
+
 def matches(text: Column, pattern: str, order: int, group: int = 0) -> Column:
     """Leftmost non-overlapping matches: array of (start, end, kind order, value)."""
     kind = "array<struct<start:bigint,end:bigint,kind:int,value:string>>"
@@ -203,11 +210,41 @@ def train(docs: DataFrame, key: str = "doc_id", text: str = "text", sample_docs:
     return Markov(model.ratios, level if least is None else max(least, level))
 
 
+#: Starts and ends are counted in the lower and the upper half of one running total.
+HALF = 1 << 32
+
+
+def apart_from(base: Column, spans: Column) -> Column:
+    """The spans that overlap none of ``base``; they are in order and do not overlap each other.
+
+    A span overlaps as many base spans as start before its end and do not end up to its start. All positions are
+    sorted once: at one place ends come first, then where a span begins, where one ends, and starts.
+    """
+    def at(position: Column, order: int) -> Column:
+        return F.struct(position.alias("at"), F.lit(order).alias("order"))
+
+    def places(all_spans_: Column, start: int, end: int) -> Column:
+        return F.flatten(F.transform(all_spans_, lambda s: F.array(at(s["start"], start), at(s["end"], end))))
+
+    def count(events: Column) -> Column:
+        step = F.transform(events, lambda e: F.when(e["order"] == 3, 1).when(e["order"] == 0, HALF).otherwise(0).cast("bigint"))
+        return let(running_totals(step), lambda totals: let(F.zip_with(events, totals, lambda e, n: F.struct(e["order"].alias("order"), n.alias("n"))), pick))
+
+    def pick(counted: Column) -> Column:
+        ended = F.filter(counted, lambda e: e["order"] == 1)
+        started = F.filter(counted, lambda e: e["order"] == 2)
+        hits = F.zip_with(started, ended, lambda a, b: a["n"] % HALF - F.shiftright(b["n"], 32))
+        return let(hits, lambda n: F.filter(F.transform(spans, lambda s, i: F.struct(s.alias("span"), F.get(n, i).alias("n"))), lambda x: x["n"] == 0)["span"])
+
+    swept = let(F.array_sort(F.concat(places(base, 3, 0), places(spans, 1, 2))), count)
+    return F.when((F.size(base) == 0) | (F.size(spans) == 0), spans).otherwise(swept)
+
+
 def all_spans(text: Column, model: Markov) -> Column:
     """Base spans and, where they overlap none of these, candidates that look random."""
     def more(base: Column) -> Column:
         mixed = F.filter(matches(text, RUN, 3), lambda s: s["value"].rlike("[0-9]") & s["value"].rlike("[A-Za-z]"))
-        free = F.filter(mixed, lambda s: ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
+        free = let(mixed, lambda spans: apart_from(base, spans))
         return F.concat(base, F.filter(free, lambda s: F.coalesce(model.ratio(s["value"]) > model.threshold, F.lit(False))))
 
     return let(base_spans(text), lambda base: F.array_sort(F.transform(more(base), lambda s: F.struct(s["start"], s["kind"], s["end"]))))
@@ -236,21 +273,41 @@ def report(docs: DataFrame, key: str = "doc_id", text: str = "text", **options)
                         F.sha2(base.cast("binary"), 256).alias("base_sha256"), _listed(F.col("found")).alias("spans"))
 
 
-def redact(docs: DataFrame, key: str = "doc_id", text: str = "text", mark: str = "[SECRET]", **options) -> DataFrame:
-    """All rows and columns, each span of the text (overlapping ones together) replaced by ``mark``."""
-    model = train(docs, key, text, **options)
-    name = fresh(docs, "found")
+#: Code points of a block of a text.
+BLOCK = 1024
+
+
+def piece(blocks: Column, start: Column, end: Column) -> Column:
+    """Text from ``start`` to ``end``, out of its blocks: only those it stands in are looked at."""
+    first, last = F.floor(start / BLOCK).cast("int"), F.floor((end - 1) / BLOCK).cast("int")
+
+    def part(block: Column, i: Column) -> Column:
+        skip = F.when(i == 0, start % BLOCK).otherwise(F.lit(0)).cast("int")
+        stop = F.when(i == last - first, (end - 1) % BLOCK + 1).otherwise(F.lit(BLOCK)).cast("int")
+        return F.substring(block, skip + 1, stop - skip)
+
+    return F.when(end > start, F.array_join(F.transform(F.slice(blocks, first + 1, last - first + 1), part), "")).otherwise(F.lit(""))
 
-    def cut(t: Column, spans: Column) -> Column:
-        zero = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out"))
 
-        def step(done: Column, s: Column) -> Column:
-            between = F.substring(t, (done["at"] + 1).cast("int"), F.greatest(s["start"] - done["at"], F.lit(0)).cast("int"))
-            apart = F.concat(done["out"], between, F.when((s["start"] >= done["at"]) | (done["at"] == 0), F.lit(mark)).otherwise(F.lit("")))
-            return F.struct(F.greatest(done["at"], s["end"]).alias("at"), apart.alias("out"))
+def replace_spans(text: Column, spans: Column, mark: str) -> Column:
+    """The text with each span replaced by the mark, overlapping ones together. Spans are in order and not empty."""
+    zero = F.lit(0).cast("bigint")
 
-        return let(F.aggregate(spans, zero, step), lambda done: F.concat(done["out"], F.substring(t, (done["at"] + 1).cast("int"), F.length(t))))
+    def joined(blocks: Column, ends: Column) -> Column:
+        placed = F.transform(spans, lambda s, i: F.struct(F.coalesce(F.get(ends, i - 1), zero).alias("before"), s["start"].alias("start")))
+        heads = F.filter(placed, lambda h: h["start"] >= h["before"])
+        cut = F.transform(heads, lambda h: F.concat(piece(blocks, h["before"], h["start"]), F.lit(mark)))
+        return F.concat(F.array_join(cut, ""), piece(blocks, F.coalesce(F.try_element_at(ends, F.lit(-1)), zero), F.length(text).cast("bigint")))
 
+    blocks = F.regexp_extract_all(text, F.lit("(?s).{1,%d}" % BLOCK), F.lit(0))
+    ends = running(F.transform(spans, lambda s: s["end"]), lambda a, b: F.greatest(a, b))
+    return let(blocks, lambda b: let(ends, lambda e: joined(b, e)))
+
+
+def redact(docs: DataFrame, key: str = "doc_id", text: str = "text", mark: str = "[SECRET]", **options) -> DataFrame:
+    """All rows and columns, each span of the text (overlapping ones together) replaced by ``mark``."""
+    model = train(docs, key, text, **options)
+    name = fresh(docs, "found")
     found = docs.withColumn(name, let(F.coalesce(F.col(text), F.lit("")), lambda t: all_spans(t, model)))
-    new = F.when(F.size(name) > 0, cut(F.col(text), F.col(name))).otherwise(F.col(text))
+    new = F.when(F.size(name) > 0, let(F.col(text), lambda t: replace_spans(t, F.col(name), mark))).otherwise(F.col(text))
     return found.withColumn(text, new).select(*docs.columns)

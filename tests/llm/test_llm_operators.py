@@ -2,6 +2,7 @@
 
 import collections
 import random
+import re
 
 import numpy as np
 import pytest
@@ -259,6 +260,34 @@ def test_secret_edges(spark, docs):
     assert secrets.report(df.limit(0)).count() == 0
 
 
+def test_spans_of_texts_full_of_secrets(spark):
+    """Overlaps and redaction against plain loops, on texts of up to 20,000 spans."""
+    rng = random.Random(12)
+    words = ["token=", "secret: ", "AKIA" + "B7" * 9, "0123456789abcdef" * 2, "Zx9Qw8Er7Ty6Ui5Op", "-", " ", "é😀 ", "plain ", "\n", "x" * 1500]
+    texts = ["".join(rng.choices(words, k=n)) for n in (1, 3, 8, 30, 200, 1000) for _ in range(12)] + ["", "0123456789abcdef01234567 Zx9Qw8Er7Ty6Ui5Op " * 10_000]
+    model = secrets.Markov((1.0,) * len(secrets.ALPHABET) ** 2, 0.0)  # every candidate is a secret
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(8)
+    run = re.compile(secrets.RUN)
+    found = {r.doc_id: [(s.start, s.kind, s.end) for s in r.found] for r in secrets.scan(df, model).collect()}
+    spans = F.col("found")
+    cut = secrets.scan(df, model).join(df, "doc_id").select("doc_id", secrets.replace_spans(F.col("text"), spans, "[S]").alias("text"))
+    masked = {r.doc_id: r.text for r in cut.collect()}
+    for i, text in enumerate(texts):
+        kinds = ("assign", "access", "hex")
+        base = [(int(s), kinds.index(k), int(e)) for k, s, e in (one.split(":") for one in brute.secret_spans(text))]
+        covered = bytearray(len(text))
+        for s, _, e in base:
+            covered[s:e] = b"1" * (e - s)
+        more = [(m.start(), 3, m.end()) for m in run.finditer(text) if re.search("[0-9]", m[0]) and re.search("[A-Za-z]", m[0]) and not any(covered[m.start():m.end()])]
+        assert found[i] == sorted(base + more)
+        out, end = [], 0
+        for s, _, e in found[i]:
+            if s >= end:
+                out += [text[end:s], "[S]"]
+            end = max(end, e)
+        assert masked[i] == "".join(out) + text[end:]
+
+
 @pytest.mark.parametrize("n", [60, 200])
 def test_random_strings_of_every_alphabet(spark, docs, n):
     """With the defaults, on tables of any size, random strings are found and ordinary identifiers are not."""
