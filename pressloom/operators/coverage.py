@@ -266,7 +266,8 @@ MOST_OUTLETS = 2000
 def outlets_by_bias(outlets: DataFrame, score: str = "adfontes_bias_score", source: str = "source_name") -> list[str]:
     """Names of all outlets from left to right, unrated ones last, then by name: the columns of the wide heat map.
 
-    Outlets are a curated list; more than ``MOST_OUTLETS`` of them are no table's columns, which is an error.
+    More than ``MOST_OUTLETS`` of them are no table's columns, which is an error: give the outlets that are
+    to be shown, ``heatmap_cells`` has all of them as rows.
     """
     found = outlets.where(F.col(source).isNotNull()).groupBy(source).agg(F.min(score).alias("_s")).orderBy(F.asc_nulls_last("_s"), source).limit(MOST_OUTLETS + 1).collect()
     if len(found) > MOST_OUTLETS:

@@ -5,8 +5,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
+from pressloom.catalog import load_all
+from pressloom.catalog.base import REGISTRY, Tables
 from pressloom.operators import coverage, pairs, topics
 
+load_all()
+
 
 def bridge(spark, lists):
     return spark.createDataFrame([(a, c) for a, cs in lists.items() for c in cs], "article_uri string, concept_uri string")
@@ -246,6 +250,18 @@ def test_outlets_in_bias_order(spark, monkeypatch):
         coverage.outlets_by_bias(o)
 
 
+def test_wide_heatmap_of_many_listed_outlets(spark, folder):
+    """The outlet table may list more outlets than a table has columns; stories of others keep their topic's row."""
+    spark.range(3000).selectExpr("id + 1 AS s_suppkey", "'n' AS s_name", "1 AS s_nationkey", "0D AS s_acctbal").write.parquet(f"{folder}/supplier.parquet")
+    spark.sql("SELECT 1 AS n_nationkey, 'n' AS n_name, 1 AS n_regionkey").write.parquet(f"{folder}/nation.parquet")
+    spark.sql("SELECT * FROM VALUES (10L, 'en', 'src3'), (20L, 'en', 'src3'), (30L, 'en', 'src0'), (11L, 'en', 'src2999'), (12L, 'en', NULL) AS d (doc_id, lang, source)").write.parquet(f"{folder}/documents.parquet")
+    spark.sql("SELECT 10L AS doc_id, 1 AS quality, 0 AS toxic").write.parquet(f"{folder}/labels.parquet")
+    found = REGISTRY["v_heatmap_wide"].build(Tables(spark, folder))
+    assert found.columns == ["topic_label", *(f"src{i}" for i in range(20))]
+    assert {r.topic_label: {c: n for c, n in r.asDict().items() if n and c != "topic_label"} for r in found.collect()} == {
+        "Topic 0": {"src3": 2, "src0": 1}, "Topic 1": {}, "Topic 2": {}}
+
+
 def test_topic_states_add_up(spark):
     """Batches in any order and grouping give the roll-up of all stories."""
     rng = random.Random(2)
