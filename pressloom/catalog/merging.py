@@ -689,13 +689,15 @@ p AS (SELECT pg.*, coalesce(new_uris, 0) AS new_uris, row_number() OVER (PARTITI
   FROM pg LEFT JOIN fs USING (run, page)),
 q AS (SELECT *, oldest < TIMESTAMP '2026-02-19 12:00:00' AND NOT seen AND new_uris > 0 AS trusted FROM p),
 walk AS (
-  SELECT run, page, CAST(seen AS INT) AS s, CAST(trusted AS INT) AS g FROM q WHERE page = 1
+  SELECT run, page, articles, CAST(seen AS INT) AS s, CAST(trusted AS INT) AS g, false AS stopped FROM q WHERE page = 1
   UNION ALL
-  SELECT q.run, q.page, CASE WHEN q.seen THEN w.s + 1 ELSE 0 END, CASE WHEN q.trusted THEN w.g + 1 ELSE 0 END
+  SELECT q.run, q.page, q.articles, CASE WHEN q.seen THEN w.s + 1 ELSE 0 END, CASE WHEN q.trusted THEN w.g + 1 ELSE 0 END,
+    w.stopped OR w.s >= 3 OR w.articles < 10 OR w.g >= 2
   FROM q JOIN walk w ON q.run = w.run AND q.page = w.page + 1)
-SELECT run, page, articles, new_uris, strftime(oldest, '%Y-%m-%d %H:%M:%S') AS oldest, seen AS seen_before, trusted AS trusted_stop,
-  s AS seen_before_streak, g AS trusted_stop_streak
-FROM walk JOIN q USING (run, page)"""
+SELECT run, page, w.articles, new_uris, strftime(oldest, '%Y-%m-%d %H:%M:%S') AS oldest, seen AS seen_before, trusted AS trusted_stop,
+  s AS seen_before_streak, g AS trusted_stop_streak,
+  CASE WHEN stopped THEN 'not_reached' WHEN s >= 3 THEN 'abort' WHEN w.articles < 10 THEN 'last_page' WHEN g >= 2 THEN 'early_stop' ELSE 'continue' END AS verdict
+FROM walk w JOIN q USING (run, page)"""
 
 
 @query("page_audit", _PAGES)
@@ -708,7 +710,7 @@ def page_audit(t: Tables) -> DataFrame:
         F.floor(F.col("page_id") / 5000).cast("bigint").alias("run"), (page + 1).alias("page"), (F.col("page_id") % 10).alias("pos"),
         F.concat(F.lit("u-"), F.when(repeated, F.col("page_id") % 10).otherwise(F.col("page_id"))).alias("uri"),
         (instant("2026-02-20 00:00:00") - F.make_dt_interval(mins=(index * 5).cast("int"))).alias("ts"))
-    return quality.page_audit(a, "2026-02-19 12:00:00", ["run"]).withColumn("oldest", ts_text("oldest"))
+    return quality.page_audit(a, "2026-02-19 12:00:00", ["run"], page_size=10).withColumn("oldest", ts_text("oldest"))
 
 
 @query("order_articles", with_fx("articles") + """

@@ -81,14 +81,16 @@ def orphans(child: DataFrame, parent: DataFrame, fk: str, pk: str) -> DataFrame:
 
 
 def page_audit(articles: DataFrame, early_stop_from, run: list[str], page: str = "page", pos: str = "pos",
-               uri: str = "uri", ts: str = "ts", window_from=None, window_to=None) -> DataFrame:
-    """Facts per landed result page of a run, from its article rows (page, position).
+               uri: str = "uri", ts: str = "ts", window_from=None, window_to=None, page_size: int = C.PAGE_SIZE) -> DataFrame:
+    """Facts and verdict per landed result page of a run, from its article rows (page, position).
 
     Per page: how many rows it has, the uris first accepted on it, its oldest date, whether
     the same uris in the same order were on an earlier page, and whether it is trusted to lie beyond the
     boundary (all older, not seen before, with new uris); of both flags also how many pages in a row
-    they have held up to here (0 where they do not). A run has at most MAX_PAGES pages, so
-    its pages fit one window partition; article rows are reduced to pages first.
+    they have held up to here (0 where they do not). The verdict is ``abort`` (MAX_REPEATED_PAGES seen
+    pages in a row), ``last_page`` (fewer than ``page_size`` rows), ``early_stop`` (TRUSTED_STOP_PAGES trusted
+    pages in a row) or ``continue``; pages after the first that does not continue are ``not_reached``.
+    A run has at most MAX_PAGES pages, so its pages fit one window partition; article rows are reduced to pages first.
     """
     rows = articles.withColumn("_uri", F.trim(F.col(uri).cast("string")))
     filled = F.coalesce(F.col("_uri") != "", F.lit(False))
@@ -100,7 +102,7 @@ def page_audit(articles: DataFrame, early_stop_from, run: list[str], page: str =
     accepted = rows.where(filled & inside)
     first_seen = accepted.groupBy(*run, "_uri").agg(F.min(seq).alias("_first"))
     new_uris = first_seen.groupBy(*run, F.col(f"_first.{page}").alias(page)).agg(F.count("*").alias("new_uris"))
-    # A page holds at most PAGE_SIZE uris.
+    # A page holds at most ``page_size`` uris.
     in_order = F.transform(F.sort_array(F.collect_list(F.struct(pos, "_uri"))), lambda x: x["_uri"])
     prints = rows.where(filled).groupBy(*run, page).agg(F.concat_ws("|", in_order).alias("fingerprint"))
     pages = rows.groupBy(*run, page).agg(
@@ -127,4 +129,14 @@ def page_audit(articles: DataFrame, early_stop_from, run: list[str], page: str =
         marked = marked.withColumn(f"_g{flag}", F.sum((~F.col(flag)).cast("int")).over(upto))
         marked = marked.withColumn(f"{flag}_streak", streak(flag))
     streaks = [F.when(F.col(flag), F.col(f"{flag}_streak")).otherwise(F.lit(0)).cast("bigint").alias(f"{flag}_streak") for flag in ("seen_before", "trusted_stop")]
-    return marked.select(*run, page, "articles", "new_uris", "oldest", "seen_before", "trusted_stop", *streaks)
+    marked = marked.select(*run, page, "articles", "new_uris", "oldest", "seen_before", "trusted_stop", *streaks)
+    verdict = (
+        F.when(F.col("seen_before_streak") >= C.MAX_REPEATED_PAGES, "abort")
+        .when(F.col("articles") < page_size, "last_page")
+        .when(F.col("trusted_stop_streak") >= C.TRUSTED_STOP_PAGES, "early_stop")
+        .otherwise("continue")
+    )
+    marked = marked.withColumn("verdict", verdict)
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    stopped = F.coalesce(F.max(F.col("verdict") != "continue").over(before), F.lit(False))
+    return marked.withColumn("verdict", F.when(stopped, "not_reached").otherwise(F.col("verdict")))

@@ -134,6 +134,22 @@ def test_page_facts(spark):
     assert [f[2:] for f in facts(spark, ["ab", "ba", "cd", "ef"], late)] == [(0, 1), (0, 0), (0, 1), (0, 2)]
 
 
+def verdicts(spark, listing, stop="2026-01-01"):
+    audit = quality.page_audit(pages(spark, listing, 2), stop, ["run"], page_size=2)
+    return [r[0] for r in audit.orderBy("page").select("verdict").collect()]
+
+
+def test_page_verdicts(spark):
+    assert verdicts(spark, ["ab", "cd", "e"]) == ["continue", "continue", "last_page"]
+    assert verdicts(spark, ["ab", "ab", "ab", "cd"]) == ["continue"] * 4
+    assert verdicts(spark, ["ab", "ab", "ab", "ab", "cd"]) == ["continue", "continue", "continue", "abort", "not_reached"]
+    # Two trustworthy pages beyond the boundary stop; a repeated one in between resets.
+    late = "2026-01-11"
+    assert verdicts(spark, ["ab", "cd", "ef"], late) == ["continue", "early_stop", "not_reached"]
+    assert verdicts(spark, ["ab", "ab", "cd", "ef"], late) == ["continue", "continue", "continue", "early_stop"]
+    assert verdicts(spark, ["ab", "ba", "cd", "ef"], late) == ["continue", "continue", "continue", "early_stop"]
+
+
 def test_nulls_do_not_collide(spark):
     df = spark.createDataFrame([("a", 1), ("a", 1), (None, 1), (None, 1)], "k string, n int")
     assert rows(quality.key_violations(df, ["k"])) == [("a", 2)]
