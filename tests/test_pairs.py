@@ -228,6 +228,27 @@ def test_concept_label_may_be_escaped(spark):
     assert rows(coverage.concept_coverage_by_source(a, "O'Brien")) == [("T", 2)]
 
 
+def test_keyed_rows_are_shuffled_once(spark, monkeypatch):
+    """One exchange deals the rows of all keys; hot keys, cut into hours, give the same links."""
+    rng = random.Random(8)
+    lists = {f"a{i:03d}": rng.sample("abcdef", rng.randrange(1, 5)) for i in range(150)}
+    data = [(a, rng.choice(["e1", "e2", "", None]), rng.choice(["x", "y", None]), rng.randrange(400)) for a in lists] * 2
+    arts = spark.createDataFrame(data, "article_uri string, event_uri string, category string, h int").select(
+        "*", F.expr("CASE WHEN h < 380 THEN timestamp'2026-01-01 00:00:00' + make_dt_interval(0, 0, h * 20) END").alias("ts"))
+    found = {gate: rows(pairs.multi_signal_links(arts, bridge(spark, lists), k=2, max_hours=5, time_gate=gate)) for gate in ("both", "concept_branch")}
+    assert len(found["both"]) > 100 and len(found["concept_branch"]) > len(found["both"])
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        links = pairs.multi_signal_links(arts, bridge(spark, lists), k=2, max_hours=5)
+        text = links._jdf.queryExecution().explainString(links._sc._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert text.count("Exchange hashpartitioning(key") == 2  # of the events and of the combinations
+    monkeypatch.setattr(pairs, "HOT_ROWS", 5)
+    for gate, want in found.items():
+        assert rows(pairs.multi_signal_links(arts, bridge(spark, lists), k=2, max_hours=5, time_gate=gate)) == want
+
+
 def test_heatmap_order_and_zeros(spark):
     e = spark.createDataFrame(
         [("T1", "left", True, "IN_SCOPE", 5), ("T1", "right", False, "IN_SCOPE", 5), ("T2", "left", None, "IN_SCOPE", 9), ("T2", "left", True, "OUT_OF_SCOPE", 9)],
