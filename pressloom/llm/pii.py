@@ -2,18 +2,18 @@
 
 Exact rules find the base spans of four kinds. Besides, loose generators propose overlapping
 candidate spans of each kind (other separators, missing prefixes, written-out signs, failed checks).
-Boosted trees score a candidate by its format, its checks and its context. They are trained on a sample of about
-``sample_docs`` documents. Positive are personal data that the exact rules miss: base spans of the sample, written in
-other ways (``rewritten``) and set in their places. Negative are numbers and signs made to look like them
+Boosted trees score a candidate by its format, its checks and its context. They are trained on all documents: the
+labelled candidates are written to the shared folder and their gradients added up by Spark. Positive are personal
+data that the exact rules miss: all base spans, written in other ways (``rewritten``) and set in their places. Negative are numbers and signs made to look like them
 (``decoys``), wrong parts of the rewritten ones, and the candidates of the texts themselves that overlap no base
-span; of these, the ones that pass a kind's checks may be personal data and are left out. On the other half of the
-sample each kind gets the lowest threshold from 0.5 up that keeps ``precision``; above it a candidate that overlaps no base
+span; of these, the ones that pass a kind's checks may be personal data and are left out. Half of the documents train;
+on the other half each kind gets the lowest threshold from 0.5 up that keeps ``precision``; above it a candidate that overlaps no base
 span is personal data too, the best first. A kind that never reaches the precision adds nothing,
 and trees are not trusted outside of what they have seen: the number of digits, letters and digit
 groups of a candidate must lie in the range of the positive ones of its kind.
 
 Edge cases: null is the empty text and has no spans; texts are scanned whole and in linear time;
-repeated rows get equal rows; an empty or label-free sample adds nothing to the base spans; extra
+repeated rows get equal rows; a table without base spans adds nothing to the base spans; extra
 columns are ignored; an empty table gives an empty result.
 """
 
@@ -30,8 +30,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pressloom.llm.boosting import Boosted, fit, threshold
+from pressloom.llm.boosting import Boosted, fit_rows, thresholds
 from pressloom.llm.common import batchwise, merge_spans
+from pressloom.session import materialize
 
 # Kinds in their order, and the base patterns. A digit run fails as a whole, so the
 # look-behind of the address pattern changes no match.
@@ -186,9 +187,8 @@ def passes(text: str, span: Span) -> bool:
     return kind == 0 or 8 <= len(digits) <= 15
 
 
-def examples(text: str, rng: random.Random, copies: int = 8, most: int = 200) -> Iterator[tuple[Span, bool, list[float]]]:
-    """Labelled candidates of one text: its own, and those of what is set in the places of its base spans, of
-    which ``most`` are drawn if there are more."""
+def examples(text: str, rng: random.Random, copies: int = 8) -> Iterator[tuple[Span, bool, list[float]]]:
+    """Labelled candidates of one text: its own, and those of what is set in the places of its base spans."""
     base = base_spans(text)
     covered = merge_spans([(s, e) for _, s, e in base])
     for c in candidates(text):
@@ -196,7 +196,7 @@ def examples(text: str, rng: random.Random, copies: int = 8, most: int = 200) ->
         apart = (at == 0 or covered[at - 1][1] <= c[1]) and (at == len(covered) or covered[at][0] >= c[2])
         if apart and not passes(text, c):
             yield c, False, features(text, c)
-    for kind, start, end in base if len(base) <= most else rng.sample(base, most):
+    for kind, start, end in base:
         before, after = text[max(0, start - 40):start], text[end:end + 40]
         for i in range(2 * copies):
             new, parts = (decoys(kind, rng), []) if i % 2 else rewritten(kind, text[start:end], rng)
@@ -238,6 +238,8 @@ def features(text: str, span: Span) -> list[float]:
     ]
 
 
+#: Features are whole numbers; larger ones count as this.
+LARGEST = 2**31 - 1
 #: Places of digits, letters, digit groups and the longest group among the features.
 SHAPE = [len(KINDS) + i for i in (1, 2, 3, 4)]
 
@@ -279,41 +281,47 @@ class Finder:
         return base, sorted(base + more)
 
 
-def train(docs: DataFrame, key: str = "doc_id", text: str = "text", sample_docs: int = 20_000, max_rows: int = 40_000, precision: float = 0.98) -> Finder:
-    """Trees from a bounded sample: half of it trains, half sets the thresholds."""
-    total = docs.count()
-    draw = F.xxhash64(F.lit(23), F.col(key), F.col(text))
-    share = F.shiftrightunsigned(draw, 11).cast("double") * 2.0**-53
-    sample = docs.where(share * total < sample_docs).select(draw.alias("draw"), F.col(text).alias("text"))
+#: Examples that a task holds before it hands them on.
+ROWS_AT_ONCE = 2000
+
+
+def _labelled(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """(half, kind, label, x) of the examples of all documents."""
+    drawn = docs.where(F.length(text) > 0).select(F.xxhash64(F.lit(23), F.col(key), F.col(text)).alias("draw"), F.col(text).alias("text"))
+
+    def packed(rows):
+        half, kind, label, x = zip(*rows)
+        return pa.RecordBatch.from_arrays([pa.array(half, pa.int32()), pa.array(kind, pa.int32()), pa.array(label, pa.float64()), pa.array(x, pa.list_(pa.int32()))],
+                                          ["half", "kind", "label", "x"])
 
     def run(batches):
+        out = []
         for batch in batches:
-            out = []
-            for draw_, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if value:
-                    out += [(draw_, c[0], c[1], float(right), x) for c, right, x in examples(value, random.Random(draw_))]
-            columns = list(zip(*out)) if out else [()] * 5
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int32()), pa.array(columns[2], pa.int32()),
-                 pa.array(columns[3], pa.float64()), pa.array(columns[4], pa.list_(pa.float64()))], ["draw", "kind", "at", "label", "x"])
-
-    rows = batchwise(sample, run, "draw bigint, kind int, at int, label double, x array<double>").orderBy("draw", "kind", "at", "x").limit(max_rows).collect()
-    if not rows:
-        return Finder(None, (float("inf"),) * len(KINDS))
-    x, y = np.array([r["x"] for r in rows]), np.array([r["label"] for r in rows])
-    kind, half = np.array([r["kind"] for r in rows]), np.array([r["draw"] & 1 for r in rows]) == 0
-    trees = fit(x[half], y[half]) if half.any() else None
-    if trees is None or half.all():
-        return Finder(None, (float("inf"),) * len(KINDS))
-    scores, edge = trees.score(x), x[:, SHAPE]
-    limits, shapes = [], np.zeros((len(KINDS), 2, len(SHAPE)))
-    for k in range(len(KINDS)):
-        confirmed = edge[(kind == k) & (y == 1)]
-        if len(confirmed):
-            shapes[k] = confirmed.min(0), confirmed.max(0)
-        check = ~half & (kind == k)
-        limits.append(max(threshold(scores[check], y[check], precision), 0.5))
-    return Finder(trees, tuple(limits), shapes)
+            for draw, value in zip(batch.column(0).to_pylist(), batch.column(1)):
+                for c, right, x in examples(value.as_py(), random.Random(draw)):
+                    out.append((draw & 1, c[0], float(right), [min(int(v), LARGEST) for v in x]))
+                    if len(out) == ROWS_AT_ONCE:
+                        yield packed(out)
+                        out = []
+        if out:
+            yield packed(out)
+
+    return batchwise(drawn, run, "half int, kind int, label double, x array<int>")
+
+
+def train(docs: DataFrame, key: str = "doc_id", text: str = "text", precision: float = 0.98) -> Finder:
+    """Trees from all documents: half of them train, half set the thresholds."""
+    none = Finder(None, (float("inf"),) * len(KINDS))
+    rows = materialize(_labelled(docs, key, text), "examples")
+    trees = fit_rows(rows.where("half = 0"))
+    if trees is None:
+        return none
+    limits = thresholds(rows.where("half = 1"), trees, precision)
+    ends = [f(F.col("x")[i]).alias(f"{name}{i}") for name, f in (("low", F.min), ("high", F.max)) for i in SHAPE]
+    shapes = np.zeros((len(KINDS), 2, len(SHAPE)))
+    for r in rows.where("label = 1").groupBy("kind").agg(*ends).collect():  # one row a kind
+        shapes[r["kind"]] = [[r[f"{name}{i}"] for i in SHAPE] for name in ("low", "high")]
+    return Finder(trees, tuple(max(limits.get(k, float("inf")), 0.5) for k in range(len(KINDS))), shapes)
 
 
 def listed(spans: list[Span]) -> str:

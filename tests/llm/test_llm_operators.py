@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 import brute
 from conftest import DATA
 from pressloom.llm import components, decontaminate, hmm, langid, mixing, neardup, pii, quality, queries, secrets, spans, warc
-from pressloom.llm.boosting import fit, threshold
+from pressloom.llm.boosting import fit, fit_rows, threshold, thresholds
 
 EDGE = [
     (90001, None), (90002, ""), (90003, " \n"), (90004, "a b"), (90005, "A  B"), (90006, "a b c a b c"), (90007, "x y z " * 20000),
@@ -237,6 +237,33 @@ def test_components(spark):
     assert found == {x: root(x) for x in parent if root(x) != x}
 
 
+def test_trees_of_all_rows(spark):
+    """The jobs grow the trees that one process grows of the same rows, values beyond the common ones too, and no
+    base span of a text is left out of the examples."""
+    rng = random.Random(5)
+    x = [[rng.randrange(8), rng.choice([0, 3, 300, 70000]), rng.randrange(2)] for _ in range(600)]
+    y = [float(a + (b > 200) * 4 + rng.random() * 2 > 6) for a, b, _ in x]
+    rows = spark.createDataFrame([(i % 2, b, a) for i, (a, b) in enumerate(zip(x, y))], "kind int, label double, x array<int>").repartition(3)
+    grown, plain = fit_rows(rows, trees=3), fit(np.array(x, float), np.array(y), trees=3)
+    assert np.abs(grown.score(np.array(x, float)) - plain.score(np.array(x, float))).max() < 1e-6
+    scores, labels, even = grown.score(np.array(x, float)), np.array(y), np.arange(600) % 2 == 0
+    found = thresholds(rows, grown, 0.9)
+    for k, part in enumerate((even, ~even)):
+        want = threshold(scores[part], labels[part], 0.9)
+        assert want - 1.1e-4 <= found[k] <= want
+    assert fit_rows(rows.where("label = 0")) is None
+
+    text = " ".join(f"10.{i // 250}.{i % 250}.7 and" for i in range(400))
+    spans, places = pii.base_spans(text), collections.Counter()
+    original = pii.rewritten
+    try:
+        pii.rewritten = lambda kind, value, r: places.update([value]) or original(kind, value, r)
+        list(pii.examples(text, random.Random(1), copies=1))
+    finally:
+        pii.rewritten = original
+    assert len(spans) == 400 and set(places) == {text[s:e] for _, s, e in spans}
+
+
 def test_personal_data_that_the_patterns_miss(spark):
     """On table data, with the defaults: forms that no base pattern matches are found where they are set into documents that
     the model has not seen, and what only looks like them is left alone."""
